@@ -21,6 +21,14 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``, as far as it exists."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at ``path``, or no rows where nothing has been written."""
     if path_exists(spark, path):

@@ -22,13 +22,14 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from listmill.operators import merge
 from listmill.operators.joins import BROADCAST_LIMIT, broadcast_if_small, key_bytes
 from listmill.operators.merge import DATE
 from listmill.schemas import BRONZE
 from listmill.session import work_dir
-from listmill.sources.paths import read_or_empty, remove_path
+from listmill.sources.paths import folder_names, read_or_empty, remove_path
 
 _DATES = "version long, ingestion_date date, held_in long"
 
@@ -89,9 +90,9 @@ def _write(rows: DataFrame, path: str, version: int, mode: str) -> None:
     rows.write.partitionBy(DATE).mode(mode).parquet(f"{path}/rows/version={version}")
 
 
-def _commit(
-    spark: SparkSession, path: str, version: int, touched: set[dt.date], written: set[dt.date]
-) -> None:
+def _commit(spark: SparkSession, path: str, version: int, touched: set[dt.date]) -> None:
+    """Make the written version current for the dates in it and the dates it replaces."""
+    written = _dates_in(spark, f"{path}/rows/version={version}")
     if not touched | written:
         return
     entries = [(version, d, version if d in written else None) for d in sorted(touched | written)]
@@ -99,9 +100,10 @@ def _commit(
     frame.write.mode("append").parquet(f"{path}/dates")
 
 
-def _dates_in(spark: SparkSession, path: str, version: int) -> set[dt.date]:
-    rows = spark.read.parquet(f"{path}/rows/version={version}")
-    return {r[DATE] for r in rows.select(DATE).distinct().collect()}
+def _dates_in(spark: SparkSession, rows: str) -> set[dt.date]:
+    """The dates a written folder has partitions of."""
+    names = (name.partition("=") for name in folder_names(spark, rows))
+    return {dt.date.fromisoformat(value) for column, _, value in names if column == DATE}
 
 
 def upsert_silver(
@@ -123,16 +125,17 @@ def upsert_silver(
         _write(batch, path, new, "overwrite")
         rows = counted.get["rows"]
         if rows:
-            _commit(spark, path, new, set(), _dates_in(spark, path, new))
+            _commit(spark, path, new, set())
         return rows
 
     work = work_dir(spark, "upsert")
     try:
-        batch.write.parquet(f"{work}/batch")
+        batch.write.partitionBy(DATE).parquet(f"{work}/batch")
         sizes = counted.get
-        touched = _merge(spark, path, held, new, work, key, only_newer, sizes["key_bytes"])
-        written = _dates_in(spark, path, new) if sizes["rows"] else set()
-        _commit(spark, path, new, touched, written)
+        touched = _merge(
+            spark, path, held, new, work, batch.schema, key, only_newer, sizes["key_bytes"]
+        )
+        _commit(spark, path, new, touched)
         return sizes["rows"]
     finally:
         remove_path(spark, work)
@@ -144,6 +147,7 @@ def _merge(
     held: dict[dt.date, int],
     new: int,
     work: str,
+    schema: StructType,
     key: str,
     only_newer: bool,
     keys_size: int,
@@ -153,7 +157,7 @@ def _merge(
     Reads the table twice: key and date of all rows, to find the matches, and then
     all columns of the touched dates.
     """
-    batch = spark.read.parquet(f"{work}/batch")
+    batch = spark.read.schema(schema).parquet(f"{work}/batch")
     keys = broadcast_if_small(merge.batch_keys(batch, key), keys_size)
     hit_dates: set[dt.date] = set()
     changed = batch
@@ -165,8 +169,7 @@ def _merge(
         changed = merge.updated_rows(matched, batch, key, only_newer).unionByName(
             merge.added_rows(matched, batch, key)
         )
-    batch_dates = {r[DATE] for r in batch.select(DATE).distinct().collect()}
-    touched = hit_dates | (batch_dates & held.keys())
+    touched = hit_dates | (_dates_in(spark, f"{work}/batch") & held.keys())
     if touched:
         old = _read_dates(spark, path, {d: held[d] for d in touched})
         changed = changed.unionByName(merge.kept_rows(old, keys, key, only_newer))
