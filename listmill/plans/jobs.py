@@ -44,8 +44,9 @@ class ReplayTopic:
 
     def unread(self, spark: SparkSession, target: str, offsets: DataFrame) -> DataFrame:
         log = self.log.where(F.col("topic") == self.topic)
-        stored = spark.createDataFrame(offsets.collect(), OFFSETS)
-        return resume(log, broadcast_if_small(stored, ROW_OVERHEAD * stored.count()))
+        rows = offsets.collect()
+        stored = spark.createDataFrame(rows, OFFSETS)
+        return resume(log, broadcast_if_small(stored, ROW_OVERHEAD * len(rows)))
 
 
 @dataclass(frozen=True)

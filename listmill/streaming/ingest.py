@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from listmill.operators.bronze import to_bronze
 from listmill.schemas import LOG_RECORD
@@ -28,8 +29,8 @@ def replay_stream(spark: SparkSession, path: str) -> DataFrame:
 
 def ingest_stream(
     log: DataFrame, sink: str, checkpoint: str, ingestion_date: dt.date | Column | None = None
-) -> int:
-    """Append what the log has gained since the last run, then stop; returns the rows appended.
+) -> StreamingQuery:
+    """Append what the log has gained since the last run, then stop; returns the ended query.
 
     Spark's file sink records the files of each micro-batch, so a batch that is
     repeated after a failure is stored once. Its readers see only recorded files:
@@ -44,4 +45,4 @@ def ingest_stream(
         .start(sink)
     )
     query.awaitTermination()
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+    return query
