@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from listmill.functions.links import HREF_PATTERN, links, links_in_block, related_link, sitemap_locs
 from listmill.functions.urls import url_id
-from listmill.operators.joins import drop_matching
+from listmill.operators.joins import drop_matching, join_unique
 
 # Default size of one round's sample.
 SAMPLE_SIZE = 2400
@@ -24,9 +24,27 @@ def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFra
     return drop_matching(rows, ids, "_id").drop("_id")
 
 
+def _new_members(members: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates that are not in the set, each once; nulls are no members.
+
+    Looking for the candidates in the set leaves the set where it is when they are
+    few enough to broadcast (by Spark's estimate or a hint on the candidates); a
+    union with ``distinct`` would shuffle all of it.
+    """
+    columns = candidates.columns
+    fresh = candidates.dropna().distinct()
+    known = join_unique(members.select(*columns), fresh, columns, "left_semi")
+    return drop_matching(fresh, known, columns)
+
+
+def new_pending(pending: DataFrame, urls: DataFrame) -> DataFrame:
+    """URLs to append to the pending set."""
+    return _new_members(pending, urls.select("url"))
+
+
 def pending_add(pending: DataFrame, urls: DataFrame) -> DataFrame:
-    """Set union of pending URLs and new ones."""
-    return pending.select("url").union(urls.select("url")).distinct()
+    """The pending set with the URLs in it."""
+    return pending.select("url").unionByName(new_pending(pending, urls))
 
 
 def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
@@ -34,10 +52,15 @@ def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
     return drop_matching(pending, done.select("url").distinct(), "url")
 
 
+def new_visited(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
+    """Rows to append to the visited set for URLs that are done."""
+    ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
+    return _new_members(visited, ids)
+
+
 def visited_add(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
-    """Visited set plus the ids of the URLs that are done."""
-    new = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
-    return visited.select("target", "id").union(new).distinct()
+    """The visited set with the ids of the URLs in it."""
+    return visited.select("target", "id").unionByName(new_visited(visited, done, target))
 
 
 def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFrame:

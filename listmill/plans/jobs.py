@@ -23,15 +23,22 @@ from listmill.sources.tables import append_bronze, read_bronze, upsert_silver
 
 @dataclass(frozen=True)
 class KafkaTopic:
-    """A broker topic; ``partitions`` names those added since the last run."""
+    """A broker topic.
+
+    ``partitions`` names those added since the last run; ``min_tasks`` makes that
+    many tasks read it where it has fewer partitions, or one that holds most records.
+    """
 
     topic: str
     brokers: str = "localhost:9092"
     partitions: Iterable[int] | None = None
+    min_tasks: int | None = None
 
     def unread(self, spark: SparkSession, target: str, offsets: DataFrame) -> DataFrame:
         stored = {r["partition"]: r["next_offset"] for r in offsets.collect()}
-        options = kafka_options(self.brokers, self.topic, target, stored, self.partitions)
+        options = kafka_options(
+            self.brokers, self.topic, target, stored, self.partitions, self.min_tasks
+        )
         return read_kafka(spark, options)
 
 

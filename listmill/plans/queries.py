@@ -132,7 +132,8 @@ def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_for_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "bronze")
-    append_bronze(to_bronze(_event_log(spark, sf_dir), F.to_date("timestamp")), folder)
+    rows = to_bronze(_event_log(spark, sf_dir), F.to_date("timestamp"))
+    append_bronze(rows, folder, backfill=True)
     return rows_of_date(read_bronze(spark, folder), EVENT_DATE).select(*BRONZE_COLUMNS)
 
 

@@ -32,14 +32,17 @@ def kafka_options(
     target: str,
     stored: Mapping[int, int],
     partitions: Iterable[int] | None = None,
+    min_tasks: int | None = None,
 ) -> dict[str, str]:
-    return {
+    """Options of a batch read; ``min_tasks`` splits large partitions over several tasks."""
+    options = {
         "kafka.bootstrap.servers": brokers,
         "subscribe": topic,
         "startingOffsets": starting_offsets(topic, stored, partitions),
         "endingOffsets": "latest",
         "kafka.group.id": f"spark.{target}.job",
     }
+    return options | ({"minPartitions": str(min_tasks)} if min_tasks else {})
 
 
 def read_kafka(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:

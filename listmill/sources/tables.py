@@ -38,15 +38,18 @@ class ConflictingKeys(ValueError):
     """Several rows of a batch would replace the same table row."""
 
 
-def append_bronze(rows: DataFrame, path: str) -> int:
-    """Append to the partitioned bronze table; returns the number of rows, counted by the write."""
+def append_bronze(rows: DataFrame, path: str, backfill: bool = False) -> int:
+    """Append to the partitioned bronze table; returns the number of rows, counted by the write.
+
+    A day's rows go to one partition and are written where they were read. With
+    ``backfill`` they have many dates: those are brought together first, a large
+    date on several tasks, so that each task does not add a file to every date.
+    """
     counted = Observation("bronze")
-    (
-        rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.partitionBy(DATE)
-        .mode("append")
-        .parquet(path)
-    )
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    if backfill:
+        rows = rows.hint("rebalance", DATE)
+    rows.write.partitionBy(DATE).mode("append").parquet(path)
     return counted.get["rows"]
 
 

@@ -1,4 +1,7 @@
+from pyspark.sql import functions as F
+
 from listmill.operators import frontier
+from tests.conftest import final_plan
 
 
 def urls(spark, *texts):
@@ -19,12 +22,25 @@ def test_sets_do_not_repeat(spark):
     pending = urls(spark, "u-1", "u-2")
     added = frontier.pending_add(pending, urls(spark, "u-2", "u-3", "u-3"))
     assert texts(added) == ["u-1", "u-2", "u-3"]
+    more = spark.createDataFrame([("u-1",), ("u-9",), (None,)], "url string")
+    assert texts(frontier.new_pending(added, more)) == ["u-9"]
     assert texts(frontier.pending_remove(added, urls(spark, "u-1", "x"))) == ["u-2", "u-3"]
     visited = spark.createDataFrame([("sold", "1")], "target string, id string")
     both = frontier.visited_add(visited, urls(spark, "a-1", "b-2"), "sold")
     assert sorted(map(tuple, both.collect())) == [("sold", "1"), ("sold", "2")]
 
 
+def test_adding_to_a_set_does_not_shuffle_it(spark, folder):
+    spark.range(1000).selectExpr("concat('u-', id) AS url").write.parquet(f"{folder}/pending")
+    pending = spark.read.parquet(f"{folder}/pending")
+    few = F.broadcast(urls(spark, "u-1", "x-1"))
+    plan = final_plan(frontier.new_pending(pending, few))
+    # between the scan of the set and the join with the candidates
+    above = plan[: plan.index("FileScan")]
+    above = above[above.rindex("BroadcastHashJoin") :]
+    assert plan.count("FileScan") == 1 and "Exchange" not in above
+
+
 def test_sample_is_repeatable_and_bounded(spark):
     pending = urls(spark, *[f"u-{i}" for i in range(200)])
     first = texts(frontier.sample(pending, 50, "a"))

@@ -26,6 +26,8 @@ def test_starting_offsets():
     assert json.loads(starting_offsets("t", {1: 34, 0: 26})) == {"t": {"0": 26, "1": 34}}
     assert json.loads(starting_offsets("t", {0: 26}, range(3))) == {"t": {"0": 26, "1": -2, "2": -2}}
     options = kafka_options("h:9092", "t", "sold", {})
+    assert "minPartitions" not in options
+    assert kafka_options("h:9092", "t", "sold", {}, min_tasks=40)["minPartitions"] == "40"
     assert options["subscribe"] == "t" and options["kafka.group.id"] == "spark.sold.job"
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -131,6 +132,14 @@ def test_bronze_partitions_are_pruned(spark, folder):
     assert "key" not in read and "timestampType" not in read
 
 
+def test_backfill_writes_few_files_per_date(spark, folder):
+    days = F.expr("date_add(DATE'2024-01-01', CAST(id % 5 AS INT))").alias("ingestion_date")
+    rows = spark.range(0, 2000, 1, 8).select(days, "id")
+    for name, backfill, files in (("many", False, 40), ("few", True, 5)):
+        assert append_bronze(rows, f"{folder}/{name}", backfill) == 2000
+        assert len(list(Path(folder, name).glob("*/part-*"))) == files
+
+
 def test_to_bronze_takes_a_date_a_column_or_today(spark):
     log = spark.createDataFrame(
         [(b"k", "å".encode(), "t", 0, 0, dt.datetime(2020, 5, 6, 7), 0)],
