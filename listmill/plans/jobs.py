@@ -92,6 +92,7 @@ def ingest(
     target: str,
     state: str,
     ingestion_date: str | dt.date | None = None,
+    table_format: str = "parquet",
 ) -> IngestReport:
     """Append a topic's unread records to bronze, then store how far it was read.
 
@@ -107,9 +108,10 @@ def ingest(
     date = parse_date(ingestion_date)
 
     offsets = read_offsets(spark, state, target).where(F.col("topic") == source.topic)
-    rows = append_bronze(to_bronze(source.unread(spark, target, offsets), date), sink)
+    unread = to_bronze(source.unread(spark, target, offsets), date)
+    rows = append_bronze(unread, sink, table_format=table_format)
     if rows:
-        stored = bronze_for_date(read_bronze(spark, sink), date)
+        stored = bronze_for_date(read_bronze(spark, sink, table_format), date)
         read = stored.where(F.col("topic") == source.topic)
         commit_offsets(next_offsets(read, target), state)
     return IngestReport(date, rows)
@@ -133,7 +135,7 @@ def refine_date(
     upsert = {"parquet": upsert_silver, "delta": upsert_delta}[table_format]
     read = Observation("bronze")
     columns = ("ingestion_date", "value", "topic", "partition", "offset")
-    bronze = bronze_for_date(read_bronze(spark, source), date).select(*columns)
+    bronze = bronze_for_date(read_bronze(spark, source, table_format), date).select(*columns)
     bronze = bronze.observe(read, F.count(F.lit(1)).alias("records"))
     stored = upsert(spark, sink, refine(bronze, spec), spec.merge_key, only_newer)
     return RefineReport(date, read.get["records"], stored)
@@ -147,8 +149,11 @@ def run_daily(
     target: str,
     state: str,
     date: str | dt.date | None = None,
+    table_format: str = "parquet",
 ) -> tuple[IngestReport, RefineReport]:
     """Both jobs for one date, which is fixed before the first so that midnight cannot part them."""
-    ingested = ingest(spark, source, bronze, target, state, date)
-    refined = refine_date(spark, bronze, silver, ingested.ingestion_date, SPECS[target])
+    ingested = ingest(spark, source, bronze, target, state, date, table_format)
+    refined = refine_date(
+        spark, bronze, silver, ingested.ingestion_date, SPECS[target], table_format=table_format
+    )
     return ingested, refined

@@ -29,7 +29,10 @@ from listmill.operators.joins import BROADCAST_LIMIT, broadcast_if_small, key_by
 from listmill.operators.merge import DATE
 from listmill.schemas import BRONZE
 from listmill.session import work_dir
-from listmill.sources.paths import folder_names, read_or_empty, remove_path
+from listmill.sources.paths import folder_names, path_exists, read_or_empty, remove_path
+
+# Where Spark's file sink lists the files of a stream's table.
+STREAM_LOG = "_spark_metadata"
 
 _DATES = "version long, ingestion_date date, held_in long"
 
@@ -38,23 +41,29 @@ class ConflictingKeys(ValueError):
     """Several rows of a batch would replace the same table row."""
 
 
-def append_bronze(rows: DataFrame, path: str, backfill: bool = False) -> int:
+def append_bronze(
+    rows: DataFrame, path: str, backfill: bool = False, table_format: str = "parquet"
+) -> int:
     """Append to the partitioned bronze table; returns the number of rows, counted by the write.
 
     A day's rows go to one partition and are written where they were read. With
     ``backfill`` they have many dates: those are brought together first, a large
     date on several tasks, so that each task does not add a file to every date.
     """
+    if path_exists(rows.sparkSession, f"{path}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream, whose readers would not see these rows")
     counted = Observation("bronze")
     rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
     if backfill:
         rows = rows.hint("rebalance", DATE)
-    rows.write.partitionBy(DATE).mode("append").parquet(path)
+    rows.write.partitionBy(DATE).format(table_format).mode("append").save(path)
     return counted.get["rows"]
 
 
-def read_bronze(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(BRONZE).parquet(path)
+def read_bronze(spark: SparkSession, path: str, table_format: str = "parquet") -> DataFrame:
+    if table_format == "parquet":
+        return spark.read.schema(BRONZE).parquet(path)
+    return spark.read.format(table_format).load(path)
 
 
 def _entries(spark: SparkSession, path: str) -> DataFrame:

@@ -9,6 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from listmill.operators.bronze import to_bronze
 from listmill.schemas import LOG_RECORD
+from listmill.sources.paths import folder_names, path_exists
+from listmill.sources.tables import STREAM_LOG
 
 
 def kafka_stream(spark: SparkSession, brokers: str, topic: str) -> DataFrame:
@@ -28,7 +30,11 @@ def replay_stream(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ingest_stream(
-    log: DataFrame, sink: str, checkpoint: str, ingestion_date: dt.date | Column | None = None
+    log: DataFrame,
+    sink: str,
+    checkpoint: str,
+    ingestion_date: dt.date | Column | None = None,
+    table_format: str = "parquet",
 ) -> StreamingQuery:
     """Append what the log has gained since the last run, then stop; returns the ended query.
 
@@ -36,9 +42,13 @@ def ingest_stream(
     repeated after a failure is stored once. Its readers see only recorded files:
     keep batch ingest and stream ingest to different bronze tables.
     """
+    spark = log.sparkSession
+    if table_format == "parquet" and folder_names(spark, sink):
+        if not path_exists(spark, f"{sink}/{STREAM_LOG}"):
+            raise ValueError(f"{sink} has rows of batch runs, which the stream's readers would not see")
     query = (
         to_bronze(log, ingestion_date)
-        .writeStream.format("parquet")
+        .writeStream.format(table_format)
         .partitionBy("ingestion_date")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -149,6 +149,11 @@ def test_stream_equals_batch_and_resumes(spark, folder):
         sorted(map(str, read_bronze(spark, path).select(columns).collect())) for path in (sink, batch)
     )
     assert streamed == batched
+    # neither may add to the other's table, where its rows would not show
+    with pytest.raises(ValueError, match="written by a stream"):
+        ingest(spark, ReplayTopic("t", first), sink, "sold", f"{folder}/o2", D1)
+    with pytest.raises(ValueError, match="rows of batch runs"):
+        ingest_stream(stream, batch, f"{folder}/checkpoint2", D1)
 
 
 @pytest.mark.parametrize("master", ["local[4]", "spark://h:7077"])
