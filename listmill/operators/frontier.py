@@ -24,27 +24,28 @@ def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFra
     return drop_matching(rows, ids, "_id").drop("_id")
 
 
-def _new_members(members: DataFrame, candidates: DataFrame) -> DataFrame:
+def _new_members(members: DataFrame, candidates: DataFrame, few: bool) -> DataFrame:
     """Candidates that are not in the set, each once; nulls are no members.
 
-    Looking for the candidates in the set leaves the set where it is when they are
-    few enough to broadcast (by Spark's estimate or a hint on the candidates); a
-    union with ``distinct`` would shuffle all of it.
+    ``few`` says that the candidates are known to fit a broadcast: they are then
+    looked up where the set's rows are, which shuffles only those found.
     """
     columns = candidates.columns
     fresh = candidates.dropna().distinct()
-    known = join_unique(members.select(*columns), fresh, columns, "left_semi")
+    known = members.select(*columns)
+    if few:
+        known = join_unique(known, F.broadcast(fresh), columns, "left_semi")
     return drop_matching(fresh, known, columns)
 
 
-def new_pending(pending: DataFrame, urls: DataFrame) -> DataFrame:
+def new_pending(pending: DataFrame, urls: DataFrame, few: bool = False) -> DataFrame:
     """URLs to append to the pending set."""
-    return _new_members(pending, urls.select("url"))
+    return _new_members(pending, urls.select("url"), few)
 
 
-def pending_add(pending: DataFrame, urls: DataFrame) -> DataFrame:
+def pending_add(pending: DataFrame, urls: DataFrame, few: bool = False) -> DataFrame:
     """The pending set with the URLs in it."""
-    return pending.select("url").unionByName(new_pending(pending, urls))
+    return pending.select("url").unionByName(new_pending(pending, urls, few))
 
 
 def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
@@ -52,15 +53,19 @@ def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
     return drop_matching(pending, done.select("url").distinct(), "url")
 
 
-def new_visited(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
+def new_visited(
+    visited: DataFrame, done: DataFrame, target: str, few: bool = False
+) -> DataFrame:
     """Rows to append to the visited set for URLs that are done."""
     ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
-    return _new_members(visited, ids)
+    return _new_members(visited, ids, few)
 
 
-def visited_add(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
+def visited_add(
+    visited: DataFrame, done: DataFrame, target: str, few: bool = False
+) -> DataFrame:
     """The visited set with the ids of the URLs in it."""
-    return visited.select("target", "id").unionByName(new_visited(visited, done, target))
+    return visited.select("target", "id").unionByName(new_visited(visited, done, target, few))
 
 
 def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFrame:

@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from listmill.operators import frontier
 from tests.conftest import final_plan
 
@@ -30,11 +28,12 @@ def test_sets_do_not_repeat(spark):
     assert sorted(map(tuple, both.collect())) == [("sold", "1"), ("sold", "2")]
 
 
-def test_adding_to_a_set_does_not_shuffle_it(spark, folder):
+def test_adding_a_few_to_a_set_does_not_shuffle_it(spark, folder):
     spark.range(1000).selectExpr("concat('u-', id) AS url").write.parquet(f"{folder}/pending")
     pending = spark.read.parquet(f"{folder}/pending")
-    few = F.broadcast(urls(spark, "u-1", "x-1"))
-    plan = final_plan(frontier.new_pending(pending, few))
+    some = urls(spark, "u-1", "x-1")
+    assert texts(frontier.new_pending(pending, some, few=True)) == ["x-1"]
+    plan = final_plan(frontier.new_pending(pending, some, few=True))
     # between the scan of the set and the join with the candidates
     above = plan[: plan.index("FileScan")]
     above = above[above.rindex("BroadcastHashJoin") :]
