@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from listmill.functions.links import HREF_PATTERN, links, links_in_block, related_link, sitemap_locs
 from listmill.functions.urls import url_id
-from listmill.operators.joins import drop_matching, join_unique
+from listmill.operators.joins import BROADCAST_LIMIT, drop_matching, join_unique
 
 # Default size of one round's sample.
 SAMPLE_SIZE = 2400
@@ -24,28 +24,29 @@ def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFra
     return drop_matching(rows, ids, "_id").drop("_id")
 
 
-def _new_members(members: DataFrame, candidates: DataFrame, few: bool) -> DataFrame:
+def _new_members(members: DataFrame, candidates: DataFrame, size: int | None) -> DataFrame:
     """Candidates that are not in the set, each once; nulls are no members.
 
-    ``few`` says that the candidates are known to fit a broadcast: they are then
-    looked up where the set's rows are, which shuffles only those found.
+    ``size`` is what the candidates take in bytes, where the caller has measured it
+    (see ``joins.key_bytes``). Within the broadcast limit they are looked up where the
+    set's rows are, which shuffles only those found.
     """
     columns = candidates.columns
     fresh = candidates.dropna().distinct()
     known = members.select(*columns)
-    if few:
+    if size is not None and size <= BROADCAST_LIMIT:
         known = join_unique(known, F.broadcast(fresh), columns, "left_semi")
     return drop_matching(fresh, known, columns)
 
 
-def new_pending(pending: DataFrame, urls: DataFrame, few: bool = False) -> DataFrame:
+def new_pending(pending: DataFrame, urls: DataFrame, size: int | None = None) -> DataFrame:
     """URLs to append to the pending set."""
-    return _new_members(pending, urls.select("url"), few)
+    return _new_members(pending, urls.select("url"), size)
 
 
-def pending_add(pending: DataFrame, urls: DataFrame, few: bool = False) -> DataFrame:
+def pending_add(pending: DataFrame, urls: DataFrame, size: int | None = None) -> DataFrame:
     """The pending set with the URLs in it."""
-    return pending.select("url").unionByName(new_pending(pending, urls, few))
+    return pending.select("url").unionByName(new_pending(pending, urls, size))
 
 
 def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
@@ -54,18 +55,18 @@ def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def new_visited(
-    visited: DataFrame, done: DataFrame, target: str, few: bool = False
+    visited: DataFrame, done: DataFrame, target: str, size: int | None = None
 ) -> DataFrame:
     """Rows to append to the visited set for URLs that are done."""
     ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
-    return _new_members(visited, ids, few)
+    return _new_members(visited, ids, size)
 
 
 def visited_add(
-    visited: DataFrame, done: DataFrame, target: str, few: bool = False
+    visited: DataFrame, done: DataFrame, target: str, size: int | None = None
 ) -> DataFrame:
     """The visited set with the ids of the URLs in it."""
-    return visited.select("target", "id").unionByName(new_visited(visited, done, target, few))
+    return visited.select("target", "id").unionByName(new_visited(visited, done, target, size))
 
 
 def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFrame:

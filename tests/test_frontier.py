@@ -32,8 +32,11 @@ def test_adding_a_few_to_a_set_does_not_shuffle_it(spark, folder):
     spark.range(1000).selectExpr("concat('u-', id) AS url").write.parquet(f"{folder}/pending")
     pending = spark.read.parquet(f"{folder}/pending")
     some = urls(spark, "u-1", "x-1")
-    assert texts(frontier.new_pending(pending, some, few=True)) == ["x-1"]
-    plan = final_plan(frontier.new_pending(pending, some, few=True))
+    assert texts(frontier.new_pending(pending, some, size=256)) == ["x-1"]
+    plan = final_plan(frontier.new_pending(pending, some, size=256))
+    beyond = frontier.new_pending(pending, some, size=1 << 40)
+    assert texts(beyond) == ["x-1"]
+    assert "broadcast" not in beyond._jdf.queryExecution().analyzed().toString().lower()
     # between the scan of the set and the join with the candidates
     above = plan[: plan.index("FileScan")]
     above = above[above.rindex("BroadcastHashJoin") :]
