@@ -6,9 +6,10 @@ from listmill.llm.decontamination import op9_decontaminate
 from listmill.llm.mixing import op1_mix
 from listmill.llm.sharding import op8_shard
 from listmill.llm.simhash import op10_simhash
+from listmill.llm.toxicity import op5_toxicity
 
 QUERIES = {
-    query.__name__: query for query in (op1_mix, op8_shard, op9_decontaminate, op10_simhash)
+    query.__name__: query for query in (op1_mix, op5_toxicity, op8_shard, op9_decontaminate, op10_simhash)
 }
 
 ORACLE: dict[str, str] = {}
