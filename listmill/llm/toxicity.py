@@ -42,13 +42,13 @@ SAMPLE = {1: 1500, 0: 3000}
 SAMPLE_WINDOWS = 200
 THRESHOLD = 0.3
 
-ORDINARY_BYTES = 1024
-TOXIC_BYTES = 512
+ORDINARY_BYTES = 8192
+TOXIC_BYTES = 768
 # Length of the byte sequences that set toxic words apart.
 GRAM = 5
 # A sequence counts that this share of toxic texts have, so many times the share of ordinary ones.
 GRAM_SHARE = 0.03
-GRAM_RATIO = 30
+GRAM_RATIO = 100
 
 # Distances in bytes beyond which windows are counted.
 STEPS = (1, 2, 3, 5)
