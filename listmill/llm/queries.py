@@ -9,10 +9,11 @@ from listmill.llm.secrets import op2_secrets
 from listmill.llm.sharding import op8_shard
 from listmill.llm.simhash import op10_simhash
 from listmill.llm.toxicity import op5_toxicity
+from listmill.llm.url_filter import op6_urls
 from listmill.llm.warc import op3_warc
 
 QUERIES = {
-    query.__name__: query for query in (op1_mix, op2_secrets, op3_warc, op4_repeats, op5_toxicity, op8_shard, op9_decontaminate, op10_simhash)
+    query.__name__: query for query in (op1_mix, op2_secrets, op3_warc, op4_repeats, op5_toxicity, op6_urls, op8_shard, op9_decontaminate, op10_simhash)
 }
 
 ORACLE: dict[str, str] = {}
