@@ -16,11 +16,17 @@ SOLD_LINK_PATTERN = r'(?d)href="(https:.*/salda/.*[0-9])">'
 # Every quoted href, one by one.
 HREF_PATTERN = r'href="([^"]+)"'
 
-# Block that holds a result page's list, and the link of each of its items.
-RESULT_LIST_PATTERN = r'(?s)\bid="result"[^>]*>\s*<ul\b[^>]*>(.*?)</ul>'
-ITEM_LINK_PATTERN = r'<li\b[^>]*>\s*<a\b[^>]*?\bhref="([^"]*)"'
+# Id of the element whose direct list holds a result page's links.
+RESULT_LIST = "result"
 
-SITEMAP = "url array<struct<loc: string>>"
+# Elements that have no end tag.
+VOID = "area base br col embed hr img input link meta source track wbr".split()
+
+# What looks like tags and is none.
+NO_TAGS = r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>"
+
+BROKEN = "_broken"
+SITEMAP = f"url array<struct<loc: string>>, {BROKEN} string"
 
 # HTML entities that occur in URLs; the ampersand's own comes last.
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
@@ -37,12 +43,54 @@ def links(html: Column, pattern: str = HREF_PATTERN) -> Column:
     return F.regexp_extract_all(html, F.lit(pattern), 1)
 
 
-def links_in_block(
-    html: Column, block: str = RESULT_LIST_PATTERN, link: str = ITEM_LINK_PATTERN
-) -> Column:
-    """Links within the first match of ``block``; an empty array where the block is missing."""
-    found = links(F.regexp_extract(html, block, 1), link)
-    return F.transform(found, unescape)
+def links_in_list(html: Column, block: str = RESULT_LIST) -> Column:
+    """Links of the list items of an element: ``//*[@id=block]/ul/li/a/@href``.
+
+    The tags are folded from first to last with the stack of elements that are open
+    within the block. An end tag closes its element and whatever is open in it; one
+    without a start is ignored; an item closes the item before it.
+    """
+    tags = F.transform(
+        F.regexp_extract_all(F.regexp_replace(html, NO_TAGS, ""), F.lit(r"(</?[a-zA-Z][^>]*>)"), 1),
+        lambda tag: F.struct(
+            F.lower(F.regexp_extract(tag, r"^</?([a-zA-Z][^\s/>]*)", 1)).alias("name"),
+            tag.startswith("</").alias("ends"),
+            tag.alias("tag"),
+        ),
+    )
+    texts = F.array().cast("array<string>")
+    start = F.struct(texts.alias("stack"), texts.alias("links"))
+
+    def open_tag(state: Column, tag: Column) -> Column:
+        name, stack = tag["name"], state["stack"]
+        inside = F.size(stack) > 0
+        in_item = F.element_at(F.concat(stack, F.array(F.lit(""))), F.size(stack)) == "li"
+        parents = F.when(
+            inside & (name == "li") & in_item, F.slice(stack, 1, F.size(stack) - 1)
+        ).otherwise(stack)
+        begins = inside | (attribute(tag["tag"], "id") == block)
+        empty = name.isin(*VOID) | tag["tag"].endswith("/>")
+        direct = (F.size(parents) == 3) & (F.slice(parents, 2, 2) == F.array(F.lit("ul"), F.lit("li")))
+        href = attribute(tag["tag"], "href")
+        found = F.when(direct & (name == "a") & (href != ""), F.array(href)).otherwise(texts)
+        return F.struct(
+            F.when(begins & ~empty, F.concat(parents, F.array(name))).otherwise(parents).alias("stack"),
+            F.concat(state["links"], found).alias("links"),
+        )
+
+    def end_tag(state: Column, tag: Column) -> Column:
+        stack = state["stack"]
+        behind = F.array_position(F.reverse(stack), tag["name"]).cast("int")
+        left = F.when(behind > 0, F.slice(stack, 1, F.size(stack) - behind)).otherwise(stack)
+        return F.struct(left.alias("stack"), state["links"].alias("links"))
+
+    folded = F.aggregate(
+        tags,
+        start,
+        lambda state, tag: F.when(tag["ends"], end_tag(state, tag)).otherwise(open_tag(state, tag)),
+        lambda state: state["links"],
+    )
+    return F.transform(folded, unescape)
 
 
 def attribute(tag: Column, name: str) -> Column:
@@ -58,6 +106,32 @@ def related_link(html: Column, rel: str = "prev") -> Column:
     return unescape(F.get(hrefs, F.lit(0)))
 
 
-def sitemap_locs(xml: Column) -> Column:
-    """The ``urlset/url/loc`` texts of a sitemap document as an array."""
-    return F.transform(F.from_xml(xml, SITEMAP)["url"], lambda url: url["loc"])
+def next_page(html: Column, url: Column, css_class: str = "next_page") -> Column:
+    """href of the first ``<a>`` of this class, as a URL; null without one.
+
+    A href from the root is joined to the page's scheme and host, one with a scheme
+    stays, another replaces what follows the page's last slash.
+    """
+    tags = F.regexp_extract_all(html, F.lit(r"(?i)(<a\b[^>]*>)"), 1)
+    fitting = F.filter(
+        tags, lambda tag: F.array_contains(F.split(attribute(tag, "class"), r"\s+"), css_class)
+    )
+    hrefs = F.filter(F.transform(fitting, lambda tag: attribute(tag, "href")), lambda h: h != "")
+    href = unescape(F.get(hrefs, F.lit(0)))
+    root = F.regexp_extract(url, r"^([a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*)", 1)
+    folder = F.regexp_extract(url, r"^([^?#]*/)", 1)
+    return (
+        F.when(href.rlike(r"^[a-zA-Z][a-zA-Z0-9+.-]*:"), href)
+        .when(href.startswith("/"), F.concat(root, href))
+        .otherwise(F.concat(folder, href))
+    )
+
+
+def sitemap(xml: Column) -> Column:
+    """A sitemap document as a struct; its text is in field ``BROKEN`` if it is not well-formed."""
+    return F.from_xml(xml, SITEMAP, {"columnNameOfCorruptRecord": BROKEN})
+
+
+def sitemap_locs(document: Column) -> Column:
+    """The ``urlset/url/loc`` texts of a parsed sitemap as an array."""
+    return F.transform(document["url"], lambda url: url["loc"])

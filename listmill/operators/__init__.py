@@ -1 +1,4 @@
-"""DataFrame -> DataFrame operators; none of them runs an action or writes."""
+"""DataFrame -> DataFrame operators.
+
+Those on URL sets store and measure what they look up; no other runs an action or writes.
+"""

@@ -1,72 +1,85 @@
 """Bookkeeping of URLs to fetch: pending and visited sets, links, fetch results.
 
 A set is a DataFrame of unique rows: pending ``(url)``, visited ``(target, id)``.
-Membership is exact.
+Membership is exact. A set is large and what is looked up in it is mostly small, so
+candidates are stored and measured first; within the broadcast limit they are looked
+up where the set's rows are, and only those found are moved.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from listmill.functions.links import HREF_PATTERN, links, links_in_block, related_link, sitemap_locs
+from listmill.functions.links import (
+    BROKEN,
+    HREF_PATTERN,
+    RESULT_LIST,
+    links,
+    links_in_list,
+    related_link,
+    sitemap,
+    sitemap_locs,
+)
 from listmill.functions.urls import url_id
-from listmill.operators.joins import BROADCAST_LIMIT, drop_matching, join_unique
+from listmill.operators.joins import broadcast_if_small, drop_matching, join_unique
+from listmill.sources.work import stored, stored_keys
 
 # Default size of one round's sample.
 SAMPLE_SIZE = 2400
 
 
-def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFrame:
-    """Candidates (any columns, with ``url``) whose id the target has not visited."""
-    ids = visited.where(F.col("target") == target).select(F.col("id").alias("_id")).distinct()
-    rows = candidates.withColumn("_id", url_id(F.col("url")))
-    return drop_matching(rows, ids, "_id").drop("_id")
+def _known(members: DataFrame, keys: DataFrame, size: int) -> DataFrame:
+    """The keys, each there once, that the set has; ``size`` is what they take."""
+    found = join_unique(
+        members.select(*keys.columns), broadcast_if_small(keys, size), keys.columns, "left_semi"
+    )
+    # the set's rows are unique, so these are no more than the keys
+    return broadcast_if_small(found, size)
 
 
-def _new_members(members: DataFrame, candidates: DataFrame, size: int | None) -> DataFrame:
-    """Candidates that are not in the set, each once; nulls are no members.
+def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFrame:
+    """Candidates (any columns, with ``url``) whose id the target has not visited.
 
-    ``size`` is what the candidates take in bytes, where the caller has measured it
-    (see ``joins.key_bytes``). Within the broadcast limit they are looked up where the
-    set's rows are, which shuffles only those found.
+    Candidates without a URL are none.
     """
-    columns = candidates.columns
-    fresh = candidates.dropna().distinct()
-    known = members.select(*columns)
-    if size is not None and size <= BROADCAST_LIMIT:
-        known = join_unique(known, F.broadcast(fresh), columns, "left_semi")
-    return drop_matching(fresh, known, columns)
+    rows = candidates.where(F.col("url").isNotNull()).withColumn("_id", url_id(F.col("url")))
+    ids, size = stored_keys(rows.select(F.col("_id").alias("id")).distinct(), "candidates")
+    known = _known(visited.where(F.col("target") == target), ids, size)
+    return drop_matching(rows, known.withColumnRenamed("id", "_id"), "_id", spread_by=["_id"]).drop("_id")
+
+
+def _new_members(members: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Candidates that are not in the set, each once; nulls are no members."""
+    fresh, size = stored_keys(candidates.dropna().distinct(), "candidates")
+    return drop_matching(fresh, _known(members, fresh, size), fresh.columns)
 
 
-def new_pending(pending: DataFrame, urls: DataFrame, size: int | None = None) -> DataFrame:
+def new_pending(pending: DataFrame, urls: DataFrame) -> DataFrame:
     """URLs to append to the pending set."""
-    return _new_members(pending, urls.select("url"), size)
+    return _new_members(pending, urls.select("url"))
 
 
-def pending_add(pending: DataFrame, urls: DataFrame, size: int | None = None) -> DataFrame:
+def pending_add(pending: DataFrame, urls: DataFrame) -> DataFrame:
     """The pending set with the URLs in it."""
-    return pending.select("url").unionByName(new_pending(pending, urls, size))
+    return pending.select("url").unionByName(new_pending(pending, urls))
 
 
 def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
     """Pending URLs without those that are done."""
-    return drop_matching(pending, done.select("url").distinct(), "url")
+    urls, size = stored_keys(done.select("url").dropna().distinct(), "done")
+    return drop_matching(pending, broadcast_if_small(urls, size), "url", spread_by=["url"])
 
 
-def new_visited(
-    visited: DataFrame, done: DataFrame, target: str, size: int | None = None
-) -> DataFrame:
+def new_visited(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
     """Rows to append to the visited set for URLs that are done."""
     ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
-    return _new_members(visited, ids, size)
+    return _new_members(visited, ids)
 
 
-def visited_add(
-    visited: DataFrame, done: DataFrame, target: str, size: int | None = None
-) -> DataFrame:
+def visited_add(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
     """The visited set with the ids of the URLs in it."""
-    return visited.select("target", "id").unionByName(new_visited(visited, done, target, size))
+    return visited.select("target", "id").unionByName(new_visited(visited, done, target))
 
 
 def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFrame:
@@ -82,11 +95,19 @@ def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFram
 def next_round(
     pending: DataFrame, visited: DataFrame, target: str, n: int = SAMPLE_SIZE, seed: str = ""
 ) -> tuple[DataFrame, DataFrame]:
-    """Draw a sample; its unvisited URLs are to be fetched, the others leave the pending set."""
-    drawn = sample(pending, n, seed)
-    to_fetch = unvisited(drawn, visited, target)
-    stale = drop_matching(drawn, to_fetch, "url")
-    return to_fetch, pending_remove(pending, stale)
+    """Draw a sample; its unvisited URLs are to be fetched, the others leave the pending set.
+
+    The drawn URLs are looked up once and stored with the answer, at most ``n`` rows,
+    so either result is a scan and, for the pending set, one broadcast join.
+    """
+    drawn = sample(pending, n, seed).select("url", url_id(F.col("url")).alias("id"))
+    ids = visited.where(F.col("target") == target).select("id", F.lit(True).alias("seen"))
+    # at most n drawn rows; a visited id is in the set once
+    hits = ids.join(F.broadcast(drawn.select("id").distinct()), "id", "left_semi")
+    marked = stored(drawn.join(F.broadcast(hits), "id", "left").select("url", "seen"), "round")
+    to_fetch = marked.where(F.col("seen").isNull()).select("url")
+    stale = F.broadcast(marked.where(F.col("seen")).select("url"))
+    return to_fetch, drop_matching(pending, stale, "url", spread_by=["url"])
 
 
 def fetched_ok(fetches: DataFrame) -> DataFrame:
@@ -99,9 +120,9 @@ def extract_links(pages: DataFrame, pattern: str = HREF_PATTERN) -> DataFrame:
     return _explode(pages, "html", links(F.col("html"), pattern), "link")
 
 
-def extract_block_links(pages: DataFrame, **patterns: str) -> DataFrame:
-    """As ``extract_links``, within one block of the page."""
-    return _explode(pages, "html", links_in_block(F.col("html"), **patterns), "link")
+def extract_list_links(pages: DataFrame, block: str = RESULT_LIST) -> DataFrame:
+    """As ``extract_links``, for the items of the list in one element of the page."""
+    return _explode(pages, "html", links_in_list(F.col("html"), block), "link")
 
 
 def related_links(pages: DataFrame, rel: str = "prev") -> DataFrame:
@@ -111,8 +132,31 @@ def related_links(pages: DataFrame, rel: str = "prev") -> DataFrame:
 
 
 def sitemap_urls(documents: DataFrame) -> DataFrame:
-    """One row per URL of each sitemap document: the other columns and ``url``."""
-    return _explode(documents, "xml", sitemap_locs(F.col("xml")), "url")
+    """One row per URL of each sitemap document: the other columns and ``url``.
+
+    A document that is not well-formed ends the query with an error.
+    """
+    parsed = sitemap(F.col("xml"))
+    failed = F.raise_error(F.concat(F.lit("broken sitemap: "), F.substring("xml", 1, 200)))
+    locs = F.when(parsed[BROKEN].isNotNull(), failed).otherwise(sitemap_locs(parsed))
+    return _explode(documents, "xml", locs, "url")
+
+
+def split_sitemaps(
+    documents: DataFrame, counted: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """As ``sitemap_urls``, and the documents that are not well-formed, unchanged.
+
+    ``counted`` gets their number as ``broken`` when the URLs are computed.
+    """
+    rest = [c for c in documents.columns if c != "xml"]
+    parsed = documents.withColumn("_parsed", sitemap(F.col("xml")))
+    is_broken = F.col(f"_parsed.{BROKEN}").isNotNull()
+    rows = parsed
+    if counted is not None:
+        rows = parsed.observe(counted, F.count_if(is_broken).alias("broken"))
+    urls = rows.select(*rest, F.explode(sitemap_locs(F.col("_parsed"))).alias("url"))
+    return urls, parsed.where(is_broken).drop("_parsed")
 
 
 def _explode(df: DataFrame, text: str, items: Column, name: str) -> DataFrame:

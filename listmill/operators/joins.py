@@ -13,9 +13,9 @@ the whole row where the key is null. This does two things:
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_, or_
+from operator import add, and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SPREAD = "_spread"
@@ -23,10 +23,11 @@ _SPREAD = "_spread"
 # What a row of a broadcast table takes at most besides its key.
 ROW_OVERHEAD = 128
 BROADCAST_LIMIT = 64 << 20
+BROADCAST_SETTING = "listmill.broadcastBytes"
 
 
-def _with_spread(df: DataFrame, keys: list[str]) -> DataFrame:
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+def _with_spread(df: DataFrame, keys: list[str], by: list[str]) -> DataFrame:
+    row = F.xxhash64(*[F.col(f"`{c}`") for c in by])
     unmatchable = reduce(or_, [F.col(k).isNull() for k in keys])
     return df.withColumn(_SPREAD, F.when(unmatchable, row).otherwise(F.xxhash64(*keys)))
 
@@ -37,15 +38,19 @@ def join_unique(
     key: str | list[str],
     how: str,
     condition: Column | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Join with a right side that has each key once; ``how`` is inner, left_semi or left_anti.
 
+    Left rows with null keys are spread by a hash of the columns ``spread_by``, all
+    unless given; name few where the others are not needed, so that they are not read.
+
     ``condition`` may compare further columns, as ``a.x`` (left) and ``b.y`` (right).
     The result has the left columns, for an inner join then the right's.
     """
     keys = [key] if isinstance(key, str) else key
-    a = _with_spread(left, keys).alias("a")
-    b = _with_spread(right, keys).alias("b")
+    a = _with_spread(left, keys, left.columns if spread_by is None else spread_by).alias("a")
+    b = _with_spread(right, keys, keys).alias("b")
     on = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in (*keys, _SPREAD)]
     if condition is not None:
         on.append(condition)
@@ -56,18 +61,28 @@ def join_unique(
 
 
 def drop_matching(
-    left: DataFrame, keys: DataFrame, key: str | list[str], condition: Column | None = None
+    left: DataFrame,
+    keys: DataFrame,
+    key: str | list[str],
+    condition: Column | None = None,
+    spread_by: list[str] | None = None,
 ) -> DataFrame:
     """Rows of ``left`` whose key is not in ``keys``; rows with a null key stay."""
-    return join_unique(left, keys, key, "left_anti", condition)
+    return join_unique(left, keys, key, "left_anti", condition, spread_by)
 
 
-def key_bytes(key: str) -> Column:
+def key_bytes(*keys: str) -> Column:
     """Aggregate: upper bound of what the keys of these rows take in a broadcast table."""
-    size = F.coalesce(F.octet_length(F.col(key).cast("string")), F.lit(0)) + ROW_OVERHEAD
+    sizes = [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys]
+    size = reduce(add, sizes) + ROW_OVERHEAD
     return F.coalesce(F.sum(size.cast("long")), F.lit(0).cast("long"))
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes of keys up to which a side is broadcast: the session's, else ``BROADCAST_LIMIT``."""
+    return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_LIMIT)))
+
+
 def broadcast_if_small(df: DataFrame, size: int) -> DataFrame:
     """Ask for a broadcast where the measured ``size`` in bytes is within the limit."""
-    return F.broadcast(df) if size <= BROADCAST_LIMIT else df
+    return F.broadcast(df) if size <= broadcast_limit(df.sparkSession) else df

@@ -35,6 +35,11 @@ def matched_rows(table: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return join_unique(table.select(key, DATE), keys, key, "inner")
 
 
+def matched_keys(matched: DataFrame, key: str) -> DataFrame:
+    """Each key that is in table and batch once, with the batch's newest date."""
+    return matched.groupBy(key).agg(F.max("batch_date").alias("batch_date"))
+
+
 def conflicting_keys(matched: DataFrame, key: str) -> DataFrame:
     """Keys that are in the table and more than once in the batch."""
     return matched.where("copies > 1").groupBy(key).agg(F.max("copies").alias("copies"))
@@ -42,7 +47,7 @@ def conflicting_keys(matched: DataFrame, key: str) -> DataFrame:
 
 def kept_rows(table: DataFrame, keys: DataFrame, key: str, only_newer: bool = False) -> DataFrame:
     """Table rows the batch does not replace."""
-    return drop_matching(table, keys, key, _not_newer(only_newer))
+    return drop_matching(table, keys, key, _not_newer(only_newer), spread_by=[key, DATE])
 
 
 def updated_rows(
@@ -56,19 +61,3 @@ def updated_rows(
 def added_rows(matched: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Batch rows that match no table row."""
     return drop_matching(batch, matched.select(key).distinct(), key)
-
-
-def merge_frames(
-    table: DataFrame, batch: DataFrame, key: str, only_newer: bool = False
-) -> DataFrame:
-    """The table after the upsert, as one lazy plan.
-
-    With ``only_newer`` a table row of a later date than the batch row stays.
-    """
-    keys = batch_keys(batch, key)
-    matched = matched_rows(table, keys, key)
-    return (
-        kept_rows(table, keys, key, only_newer)
-        .unionByName(updated_rows(matched, batch, key, only_newer))
-        .unionByName(added_rows(matched, batch, key))
-    )

@@ -16,9 +16,25 @@ def resume(log: DataFrame, offsets: DataFrame) -> DataFrame:
     ``offsets`` has one row per topic and partition, as ``merge_offsets`` gives for
     one target.
     """
-    start = offsets.select("topic", "partition", "next_offset")
+    # one row per log partition
+    start = F.broadcast(offsets.select("topic", "partition", "next_offset"))
     already_read = F.col("a.offset") < F.col("b.next_offset")
-    return drop_matching(log, start, ["topic", "partition"], already_read)
+    keys = ["topic", "partition"]
+    return drop_matching(log, start, keys, already_read, spread_by=keys)
+
+
+def behind(log: DataFrame, offsets: DataFrame) -> DataFrame:
+    """Log partitions that end before their stored offset: the log was emptied and refilled.
+
+    A partition without any record may just have expired and is not among them.
+    """
+    ends = latest_offsets(log).alias("l")
+    same = (F.col("l.topic") == F.col("o.topic")) & (F.col("l.partition") == F.col("o.partition"))
+    return (
+        ends.join(F.broadcast(offsets.alias("o")), same)
+        .where("l.offset + 1 < o.next_offset")
+        .select("l.topic", "l.partition", "l.offset", "o.next_offset")
+    )
 
 
 def latest_offsets(log: DataFrame) -> DataFrame:

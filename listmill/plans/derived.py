@@ -112,6 +112,9 @@ DISTANCE_IS_FRACTION = "l_linenumber = 6"
 # A sold page without the object of the home.
 NO_HOME = "l_returnflag = 'R'"
 
+# Key of an order in an upsert batch: lines have no key this high.
+ORDER_KEY = "CASE WHEN o_orderstatus = 'P' THEN o_orderkey + 1000000000000 ELSE o_orderkey END"
+
 # Position of a line's record in the listing log: later ship dates come later.
 DAYS = "datediff('day', DATE '1990-01-01', CAST(l_shipdate AS DATE))"
 PARTITION = "CAST(l_suppkey % 4 AS INT)"
@@ -121,14 +124,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores where the scan is too small to occupy them.
-
-    Building and parsing pages takes far longer than reading the lines does. The
-    scan of a large table has more tasks than the cluster has cores and stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *df.columns) if df.rdd.getNumPartitions() < cores else df
+# Tasks that build pages, which takes far longer than reading the lines does.
+PAGE_TASKS = 32
 
 
 def json_column(fields: dict) -> Column:
@@ -192,7 +189,8 @@ def listing_url() -> Column:
 
 def listing_log(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     """Log record per line item, of the ship date's time."""
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines.repartition(PAGE_TASKS, *lines.columns)
     value = F.to_json(
         F.struct(
             listing_url().alias("url"),

@@ -10,17 +10,30 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from listmill.functions.embedded import encode_message
 from listmill.operators.bronze import bronze_for_date, to_bronze
-from listmill.operators.joins import ROW_OVERHEAD, broadcast_if_small
-from listmill.operators.offsets import next_offsets, resume
+from listmill.operators.frontier import (
+    fetched_ok,
+    new_pending,
+    new_visited,
+    related_links,
+    sitemap_urls,
+    unvisited,
+)
+from listmill.operators.offsets import behind, next_offsets, resume
 from listmill.operators.refine import SPECS, RefineSpec, refine
-from listmill.schemas import OFFSETS, TARGETS
+from listmill.schemas import OFFSETS, PENDING, TARGETS, VISITED
 from listmill.sources.delta import upsert_delta
 from listmill.sources.log import kafka_options, read_kafka
+from listmill.sources.paths import read_or_empty
 from listmill.sources.state import commit_offsets, read_offsets
 from listmill.sources.tables import append_bronze, read_bronze, upsert_silver
 
 
+class LogBehind(ValueError):
+    """The log has fewer records than were read: it was emptied and refilled."""
+
+
 @dataclass(frozen=True)
 class KafkaTopic:
     """A broker topic.
@@ -33,27 +46,37 @@ class KafkaTopic:
     brokers: str = "localhost:9092"
     partitions: Iterable[int] | None = None
     min_tasks: int | None = None
+    group: str | None = None
 
     def unread(self, spark: SparkSession, target: str, offsets: DataFrame) -> DataFrame:
         stored = {r["partition"]: r["next_offset"] for r in offsets.collect()}
         options = kafka_options(
-            self.brokers, self.topic, target, stored, self.partitions, self.min_tasks
+            self.brokers, self.topic, stored, self.partitions, self.min_tasks, self.group
         )
         return read_kafka(spark, options)
 
 
 @dataclass(frozen=True)
 class ReplayTopic:
-    """A topic's records as a DataFrame with the columns of a log record."""
+    """A topic's records as a DataFrame with the columns of a log record.
+
+    As the connector does on lost data, reading fails where a partition of the log
+    ends before its stored offset. ``state.reset_offsets`` sets the offset back.
+    """
 
     topic: str
     log: DataFrame
 
     def unread(self, spark: SparkSession, target: str, offsets: DataFrame) -> DataFrame:
         log = self.log.where(F.col("topic") == self.topic)
-        rows = offsets.collect()
+        rows = offsets.collect()  # one per log partition
+        if not rows:
+            return log
         stored = spark.createDataFrame(rows, OFFSETS)
-        return resume(log, broadcast_if_small(stored, ROW_OVERHEAD * len(rows)))
+        lost = behind(log, stored).collect()
+        if lost:
+            raise LogBehind(f"{self.topic} ends before the stored offset: {lost}")
+        return resume(log, stored)
 
 
 @dataclass(frozen=True)
@@ -157,3 +180,50 @@ def run_daily(
         spark, bronze, silver, ingested.ingestion_date, SPECS[target], table_format=table_format
     )
     return ingested, refined
+
+
+@dataclass(frozen=True)
+class FetchReport:
+    messages: int
+    new_pending: int
+    new_visited: int
+
+
+def _append_counted(rows: DataFrame, path: str, name: str) -> int:
+    counted = Observation(name)
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    rows.write.mode("append").parquet(path)
+    return counted.get["rows"]
+
+
+def record_fetches(
+    spark: SparkSession,
+    fetches: DataFrame,
+    messages: str,
+    pending: str,
+    visited: str,
+    target: str,
+    rel: str = "prev",
+) -> FetchReport:
+    """Append what a round of fetches yields to three append-only tables.
+
+    ``fetches`` has url, status, source and timestamp. Of those that succeeded, the
+    pages go to ``messages`` as log values, the URLs they name as related to ``pending``
+    and their own ids to ``visited``. The ids come last: a run that dies before them is
+    fetched again.
+    """
+    _require(messages=messages, pending=pending, visited=visited, target=target)
+    ok = fetched_ok(fetches)
+    value = encode_message(F.col("url"), F.col("source"), F.col("timestamp"))
+    stored = _append_counted(ok.select(value.alias("value")), messages, "messages")
+    related = related_links(ok.select(F.col("source").alias("html")), rel)
+    known = read_or_empty(spark, pending, PENDING)
+    added = _append_counted(new_pending(known, related), pending, "pending")
+    seen = read_or_empty(spark, visited, VISITED)
+    marked = _append_counted(new_visited(seen, ok, target), visited, "visited")
+    return FetchReport(stored, added, marked)
+
+
+def sitemap_round(documents: DataFrame, visited: DataFrame, target: str) -> DataFrame:
+    """The sitemaps' URLs that the target has not visited, with the documents' other columns."""
+    return unvisited(sitemap_urls(documents), visited, target)

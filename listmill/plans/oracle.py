@@ -4,11 +4,17 @@ from __future__ import annotations
 
 from listmill.plans import derived as d
 from listmill.plans.queries import (
+    CUT_OFF,
     EVENT_DATE,
     EVENT_TOPIC,
+    FETCH_STATUS,
     LISTING_CUSTOMER,
     LISTING_ORDER,
     READ_UNTIL,
+    RELATED,
+    RESET_PARTITION,
+    RESET_TO,
+    RESET_TOPIC,
 )
 
 OFFSET = f"{d.DAYS} * 1000000000000 + l_partkey * 10 + l_linenumber"
@@ -23,7 +29,8 @@ SOLD_LISTED = f"NOT {d.BROKEN}"
 
 EVENT_BRONZE = f"""
     CAST(user_id AS VARCHAR) AS key, props AS value, '{EVENT_TOPIC}' AS topic,
-    CAST(user_id % 4 AS INT) AS partition, event_id AS "offset", ts AS "timestamp" """
+    CAST(user_id % 4 AS INT) AS partition, event_id AS "offset", ts AS "timestamp",
+    CAST(0 AS INT) AS "timestampType" """
 
 READ_BEFORE = f"""
     SELECT event_type AS topic, CAST(user_id % 4 AS INT) AS partition, max(event_id) + 1 AS next_offset
@@ -87,9 +94,9 @@ def _upserted(target: str, merge_key: str = "listing_id") -> str:
 LINES = f"""SELECT l_orderkey AS listing_id, l_extendedprice AS price,
     CASE WHEN l_linestatus = 'F' THEN DATE '{d.DAY_1}' ELSE DATE '{d.DAY_2}' END AS ingestion_date
     FROM lineitem"""
-ORDERS = f"""SELECT o_orderkey AS listing_id, o_totalprice AS price,
+ORDERS = f"""SELECT {d.ORDER_KEY} AS listing_id, o_totalprice AS price,
     CASE WHEN o_orderstatus = 'F' THEN DATE '{d.DAY_1}' ELSE DATE '{d.DAY_2}' END AS ingestion_date
-    FROM orders WHERE o_orderstatus <> 'P'"""
+    FROM orders"""
 
 
 def _each_match(condition: str) -> str:
@@ -113,8 +120,14 @@ HAS_OBJECT = f"NOT ({d.NO_DATA_LAYER} OR {d.OBJECT_ON_TWO_LINES})"
 SAMPLED = f"""SELECT url FROM (SELECT {ORDER_URL} AS url FROM orders)
     ORDER BY md5(concat('%s', url)), url LIMIT 2400"""
 
+SITEMAP_URLS = f"""
+    SELECT o_orderkey, o_orderstatus, concat('{LISTING_ORDER}', o_orderkey) AS url FROM orders
+    UNION ALL
+    SELECT o_orderkey, o_orderstatus, concat('{LISTING_CUSTOMER}', o_custkey, '&x=1') FROM orders
+    WHERE o_orderstatus <> 'F'"""
+
 ORACLE = {
-    "log_read": f"SELECT {EVENT_BRONZE}, CAST(0 AS INT) AS \"timestampType\" FROM events",
+    "log_read": f"SELECT {EVENT_BRONZE} FROM events",
     "offset_resume": f"""
         SELECT event_type AS topic, CAST(user_id % 4 AS INT) AS partition, event_id AS "offset", props AS value
         FROM events LEFT JOIN ({READ_BEFORE}) b
@@ -136,6 +149,12 @@ ORACLE = {
         SELECT target, topic, concat('{', string_agg(concat('"', partition, '":', next_offset), ','
             ORDER BY partition), '}') AS offsets
         FROM stored GROUP BY target, topic""",
+    "offset_reset": f"""
+        SELECT event_type AS topic, CAST(user_id % 4 AS INT) AS partition, event_id AS "offset", props AS value
+        FROM events
+        WHERE event_type = '{RESET_TOPIC}' AND user_id % 4 = {RESET_PARTITION} AND event_id >= {RESET_TO}""",
+    "ingest_today": """
+        SELECT CAST(user_id % 4 AS INT) AS partition, event_id AS "offset", true AS is_today FROM events""",
     "bronze_ingest": f"""
         SELECT {EVENT_BRONZE}, CASE WHEN event_id < coalesce((
                 SELECT max(event_id) + 1 FROM events b
@@ -191,6 +210,7 @@ ORACLE = {
         FROM (SELECT {ARRIVAL} AS for_date, CASE WHEN {LISTED} THEN l_orderkey END AS listed FROM lineitem)
         GROUP BY for_date""",
     "daily_run": _upserted("forsale"),
+    "daily_run_sold": _upserted("sold"),
     "frontier_unvisited": f"""
         SELECT {LINE_URL} AS url, l_linenumber, l_shipdate FROM lineitem
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')""",
@@ -208,8 +228,9 @@ ORACLE = {
     "link_extract": """
         SELECT page_id, unnest(regexp_extract_all(html, 'href="([^"]+)"', 1)) AS link FROM pages""",
     "link_extract_scoped": """
-        SELECT page_id, unnest(regexp_extract_all(
-            regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]+)"', 1)) AS link
+        SELECT page_id, unnest(list_append(regexp_extract_all(
+            regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]+)"', 1),
+            concat('/second-', page_id))) AS link
         FROM pages""",
     "link_extract_sold": """
         SELECT page_id, unnest([concat('https://www.example.org/salda/villa-', page_id), concat(
@@ -218,9 +239,18 @@ ORACLE = {
         FROM pages""",
     "related_link": "SELECT DISTINCT url FROM pages WHERE url LIKE 'https://%'",
     "sitemap_urls": f"""
-        SELECT o_orderkey, concat('{LISTING_ORDER}', o_orderkey) AS url FROM orders
-        UNION ALL
-        SELECT o_orderkey, concat('{LISTING_CUSTOMER}', o_custkey, '&x=1') FROM orders WHERE o_orderstatus <> 'F'""",
+        SELECT o_orderkey, url, false AS broken FROM ({SITEMAP_URLS}) WHERE NOT {CUT_OFF}
+        UNION ALL SELECT o_orderkey, NULL, true FROM orders WHERE {CUT_OFF}""",
+    "sitemap_round": f"""
+        SELECT o_orderkey, url FROM ({SITEMAP_URLS}) WHERE NOT (o_orderstatus = 'F' AND url LIKE '{LISTING_ORDER}%')""",
+    "fetch_round": f"""
+        WITH p AS (
+            SELECT page_id, url, {RELATED} AS related, list_extract(string_split(url, '-'), -1) AS id,
+                {FETCH_STATUS} < 300 AS ok
+            FROM pages)
+        SELECT 'message' AS part, url AS item FROM p WHERE ok
+        UNION ALL SELECT DISTINCT 'pending', related FROM p WHERE ok OR page_id % 3 = 0
+        UNION ALL SELECT DISTINCT 'visited', id FROM p WHERE ok OR page_id % 4 = 0""",
     "fetch_ok": """
         SELECT event_id, CAST(CASE event_type WHEN 'view' THEN 299 ELSE 200 END AS INT) AS status FROM events
         WHERE event_type NOT IN ('error', 'signup')""",

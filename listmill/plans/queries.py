@@ -41,12 +41,13 @@ from listmill.operators.refine import (
     parse_objects,
     refine,
 )
-from listmill.plans import derived
+from listmill.plans import derived, jobs
 from listmill.plans.derived import DAY_1, DAY_2, LISTING_TOPIC, SPLIT, flat, table
 from listmill.plans.jobs import ReplayTopic, ingest, refine_date, run_daily
 from listmill.schemas import OFFSETS
 from listmill.session import work_dir
-from listmill.sources.state import commit_offsets, read_offsets
+from listmill.sources.log import read_replay
+from listmill.sources.state import commit_offsets, read_offsets, reset_offsets
 from listmill.sources.tables import (
     append_bronze,
     read_bronze,
@@ -61,7 +62,19 @@ READ_UNTIL = dt.date(2024, 1, 2)
 EVENT_DATE = dt.date(2024, 1, 2)
 EVENT_TOPIC = "events"
 
-BRONZE_COLUMNS = ("key", "value", "topic", "partition", "offset", "timestamp", "ingestion_date")
+# Where a log partition that was read to its end is set back to.
+RESET_TOPIC, RESET_PARTITION, RESET_TO = "view", 1, 100
+
+BRONZE_COLUMNS = (
+    "key",
+    "value",
+    "topic",
+    "partition",
+    "offset",
+    "timestamp",
+    "timestampType",
+    "ingestion_date",
+)
 
 
 def _event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,7 +98,11 @@ def _bronze(spark: SparkSession, sf_dir: str, spec: RefineSpec, by_ship_date: bo
 
 
 def log_read(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source = ReplayTopic(EVENT_TOPIC, _event_log(spark, sf_dir))
+    """A stored log of two topics, of which one is read."""
+    other = _event_log(spark, sf_dir).withColumn("topic", F.lit("it's another"))
+    path = work_dir(spark, "log")
+    _event_log(spark, sf_dir).unionByName(other).write.parquet(path)
+    source = ReplayTopic(EVENT_TOPIC, read_replay(spark, path, EVENT_TOPIC))
     records = source.unread(spark, "forsale", spark.createDataFrame([], OFFSETS))
     text = [F.col(c).cast("string").alias(c) for c in ("key", "value")]
     return records.select(*text, "topic", "partition", "offset", "timestamp", "timestampType")
@@ -119,6 +136,23 @@ def offset_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return offsets_json(stored[0].unionByName(stored[1]))
 
 
+def offset_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is unread after all was read and one log partition was set back."""
+    state = work_dir(spark, "offsets")
+    log = derived.topic_log(spark, sf_dir)
+    commit_offsets(next_offsets(log, "forsale"), state)
+    reset_offsets(spark, state, "forsale", RESET_TOPIC, RESET_PARTITION, RESET_TO)
+    unread = resume(log, read_offsets(spark, state, "forsale"))
+    return unread.select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
+
+
+def ingest_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records stamped without a date are of today."""
+    rows = to_bronze(_event_log(spark, sf_dir))
+    today = F.col("ingestion_date") == F.current_date()
+    return rows.select("partition", "offset", today.alias("is_today"))
+
+
 def bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two runs of the ingest job; the second finds what the first has not read."""
     folder = work_dir(spark, "bronze")
@@ -271,16 +305,12 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A batch with unique keys: the orders that are not pending."""
+    """A batch with unique keys: all orders, pending ones under keys that no line has."""
     day = F.when(F.col("o_orderstatus") == "F", F.lit(DAY_1)).otherwise(F.lit(DAY_2))
-    return (
-        table(spark, sf_dir, "orders")
-        .where("o_orderstatus <> 'P'")
-        .select(
-            F.col("o_orderkey").alias("listing_id"),
-            F.col("o_totalprice").alias("price"),
-            day.alias("ingestion_date"),
-        )
+    return table(spark, sf_dir, "orders").select(
+        F.expr(derived.ORDER_KEY).alias("listing_id"),
+        F.col("o_totalprice").alias("price"),
+        day.alias("ingestion_date"),
     )
 
 
@@ -304,8 +334,10 @@ def upsert_each_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_only_newer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Table rows of a later date than the batch row stay."""
-    lines, orders = _lines(spark, sf_dir), _orders(spark, sf_dir)
-    return merge.merge_frames(lines, orders, "listing_id", only_newer=True)
+    folder = work_dir(spark, "silver")
+    upsert_silver(spark, folder, _lines(spark, sf_dir), "listing_id")
+    upsert_silver(spark, folder, _orders(spark, sf_dir), "listing_id", only_newer=True)
+    return read_silver(spark, folder)
 
 
 def upsert_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,9 +362,17 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir, "forsale")
+
+
+def daily_run_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir, "sold")
+
+
+def _daily(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     """Two daily runs of log -> bronze -> silver; the second day's log holds the first day's too."""
     folder = work_dir(spark, "daily")
-    log = derived.listing_log(spark, sf_dir, "forsale")
+    log = derived.listing_log(spark, sf_dir, target)
     arrived = log.where(F.to_date("timestamp") < F.lit(SPLIT))
     for part, day in ((arrived, DAY_1), (log, DAY_2)):
         run_daily(
@@ -340,7 +380,7 @@ def daily_run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ReplayTopic(LISTING_TOPIC, part),
             bronze=f"{folder}/bronze",
             silver=f"{folder}/silver",
-            target="forsale",
+            target=target,
             state=f"{folder}/offsets",
             date=day,
         )
@@ -403,9 +443,20 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_extract_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    html = F.regexp_replace("html", "<nav>", '<nav id="result" class="list">')
-    return frontier.extract_block_links(pages.select("page_id", html.alias("html")))
+    """Links of the list in one element, which gets a second list; others are all around."""
+    before = '''<a href="/before">b</a><ul><li><a href="/other">o</a></li></ul>
+        <nav class="list" id="result"><h2>Hits <a href="/heading">h</a></h2>'''
+    after = F.concat(
+        F.lit("<ul><li><img src='/i.png'><a class='x' href='/second-"),
+        F.col("page_id"),
+        F.lit(
+            '''\'>s</a><ul><li><a href="/nested">n</a></li></ul></li>
+            <li><p><a href="/deep">d</a></p></li></ul></nav><ul><li><a href="/after">a</a></li></ul>'''
+        ),
+    )
+    html = F.replace(F.replace("html", F.lit("<nav>"), F.lit(before)), F.lit("</nav>"), after)
+    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return frontier.extract_list_links(pages)
 
 
 def link_extract_sold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -430,7 +481,7 @@ def related_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.related_links(pages.select(F.concat(link, "html").alias("html")))
 
 
-def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _sitemaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A sitemap document per order, with the order's and, unless it is finished, the customer's URL."""
     xml = F.expr(
         f"""concat('<?xml version="1.0" encoding="UTF-8"?>\\n',
@@ -440,7 +491,53 @@ def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
                 concat('<url><priority>1</priority><loc> {LISTING_CUSTOMER}', o_custkey, '&amp;x=1 </loc></url>') END,
               '</urlset>')"""
     )
-    return frontier.sitemap_urls(table(spark, sf_dir, "orders").select("o_orderkey", xml.alias("xml")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", xml.alias("xml"))
+
+
+def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """URLs of the documents; some were cut off, and are returned as broken."""
+    cut = F.when(F.expr(CUT_OFF), F.expr("substring(xml, 1, length(xml) - 12)")).otherwise(F.col("xml"))
+    urls, broken = frontier.split_sitemaps(_sitemaps(spark, sf_dir).withColumn("xml", cut))
+    return urls.withColumn("broken", F.lit(False)).unionByName(
+        broken.select("o_orderkey", F.lit(None).cast("string").alias("url"), F.lit(True).alias("broken"))
+    )
+
+
+def sitemap_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sitemaps' URLs that are not visited."""
+    return jobs.sitemap_round(_sitemaps(spark, sf_dir), _visited(spark, sf_dir), "sold")
+
+
+def fetch_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three tables after the pages were fetched; a part failed, some is known already."""
+    folder = work_dir(spark, "fetches")
+    pages = table(spark, sf_dir, "pages")
+    link = F.concat(F.lit("<link rel='prev' href='"), F.expr(RELATED), F.lit("'>"), F.col("html"))
+    fetches = pages.select(
+        "url",
+        F.expr(FETCH_STATUS).alias("status"),
+        link.alias("source"),
+        F.col("page_id").cast("double").alias("timestamp"),
+    )
+    known = pages.where("page_id % 3 = 0").select(F.expr(RELATED).alias("url")).distinct()
+    known.write.parquet(f"{folder}/pending")
+    seen = pages.where("page_id % 4 = 0").select(url_id(F.col("url")).alias("id")).distinct()
+    seen.select(F.lit("sold").alias("target"), "id").write.parquet(f"{folder}/visited")
+    names = ("messages", "pending", "visited")
+    jobs.record_fetches(spark, fetches, *[f"{folder}/{n}" for n in names], "sold")
+    messages, pending, visited = (spark.read.parquet(f"{folder}/{n}") for n in names)
+    url = parse_message(F.col("value"))["url"]
+    return (
+        messages.select(F.lit("message").alias("part"), url.alias("item"))
+        .unionByName(pending.select(F.lit("pending").alias("part"), F.col("url").alias("item")))
+        .unionByName(visited.select(F.lit("visited").alias("part"), F.col("id").alias("item")))
+    )
+
+
+# Which sitemaps are cut off, which fetches fail, and what pages name as related.
+CUT_OFF = "o_orderkey % 10 = 3"
+FETCH_STATUS = "CASE WHEN page_id % 5 = 0 THEN 404 ELSE 200 END"
+RELATED = "concat('https://www.example.org/canonical/c-', CAST(floor(page_id / 2) AS BIGINT))"
 
 
 LISTING_ORDER = f"{derived.LISTING_URL}villa-"
@@ -465,6 +562,8 @@ QUERIES = _NAMED | {
         offset_latest,
         offset_latest_record,
         offset_commit,
+        offset_reset,
+        ingest_today,
         bronze_ingest,
         bronze_for_date,
         stream_ingest,
@@ -489,6 +588,7 @@ QUERIES = _NAMED | {
         upsert_conflicts,
         run_metrics,
         daily_run,
+        daily_run_sold,
         frontier_unvisited,
         frontier_commit,
         pending_add,
@@ -499,6 +599,8 @@ QUERIES = _NAMED | {
         link_extract_sold,
         related_link,
         sitemap_urls,
+        sitemap_round,
         fetch_ok,
+        fetch_round,
     )
 }

@@ -19,6 +19,10 @@ BRONZE = (
 
 PAGE_MESSAGE = "url string, source string, timestamp double"
 
+PENDING = "url string"
+
+VISITED = "target string, id string"
+
 OFFSETS = "target string, topic string, partition int, next_offset long"
 
 LOCATIONS = (

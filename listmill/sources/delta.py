@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 from listmill.operators.merge import DATE
+from listmill.sources.paths import remove_path
 
 try:
     from delta.tables import DeltaTable
@@ -23,8 +25,16 @@ def upsert_delta(
     """Create or MERGE; Delta itself rejects several batch rows for one table row."""
     if DeltaTable is None:
         raise RuntimeError("the delta package is not installed; use the Parquet tables")
-    counted = Observation("silver")
-    batch = batch.observe(counted, F.count(F.lit(1)).alias("rows"))
+    work = f"{path.rstrip('/')}/_work/{uuid.uuid4().hex}"
+    try:
+        # MERGE may run its source several times; the stored batch is counted once
+        batch.write.parquet(work)
+        return _merge(spark, path, spark.read.schema(batch.schema).parquet(work), key, only_newer)
+    finally:
+        remove_path(spark, work)
+
+
+def _merge(spark: SparkSession, path: str, batch: DataFrame, key: str, only_newer: bool) -> int:
     if not DeltaTable.isDeltaTable(spark, path):
         batch.write.partitionBy(DATE).format("delta").mode("append").save(path)
     else:
@@ -32,4 +42,4 @@ def upsert_delta(
         table = DeltaTable.forPath(spark, path).alias("t")
         merging = table.merge(batch.alias("s"), f"t.{key} = s.{key}")
         merging.whenMatchedUpdateAll(newer).whenNotMatchedInsertAll().execute()
-    return counted.get["rows"]
+    return batch.count()

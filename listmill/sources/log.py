@@ -6,6 +6,7 @@ import json
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listmill.schemas import LOG_RECORD
 
@@ -29,10 +30,10 @@ def starting_offsets(
 def kafka_options(
     brokers: str,
     topic: str,
-    target: str,
     stored: Mapping[int, int],
     partitions: Iterable[int] | None = None,
     min_tasks: int | None = None,
+    group: str | None = None,
 ) -> dict[str, str]:
     """Options of a batch read; ``min_tasks`` splits large partitions over several tasks."""
     options = {
@@ -40,8 +41,9 @@ def kafka_options(
         "subscribe": topic,
         "startingOffsets": starting_offsets(topic, stored, partitions),
         "endingOffsets": "latest",
-        "kafka.group.id": f"spark.{target}.job",
     }
+    if group:
+        options["kafka.group.id"] = group
     return options | ({"minPartitions": str(min_tasks)} if min_tasks else {})
 
 
@@ -63,4 +65,4 @@ def write_kafka(messages: DataFrame, brokers: str, topic: str) -> None:
 
 def read_replay(spark: SparkSession, path: str, topic: str) -> DataFrame:
     """A topic's records from a Parquet table with the columns of a log record."""
-    return spark.read.schema(LOG_RECORD).parquet(path).where(f"topic = '{topic}'")
+    return spark.read.schema(LOG_RECORD).parquet(path).where(F.col("topic") == topic)

@@ -5,6 +5,8 @@ directories for the dates a batch touches:
 
     <table>/rows/version=<n>/ingestion_date=<d>/...   written once, never changed
     <table>/dates/...                                 (version, ingestion_date, held_in)
+    <table>/columns/...                               names and types, written with the first rows
+    <table>/work/...                                  of a running update, removed at its end
 
 ``dates`` says which version directory holds each date; the entry of the highest
 version counts, and a null ``held_in`` means that the date has no rows any more.
@@ -19,16 +21,17 @@ names may be deleted once no reader of that time is left.
 from __future__ import annotations
 
 import datetime as dt
+import json
+import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from listmill.operators import merge
-from listmill.operators.joins import BROADCAST_LIMIT, broadcast_if_small, key_bytes
+from listmill.operators.joins import broadcast_if_small, key_bytes
 from listmill.operators.merge import DATE
 from listmill.schemas import BRONZE
-from listmill.session import work_dir
 from listmill.sources.paths import folder_names, path_exists, read_or_empty, remove_path
 
 # Where Spark's file sink lists the files of a stream's table.
@@ -41,6 +44,10 @@ class ConflictingKeys(ValueError):
     """Several rows of a batch would replace the same table row."""
 
 
+class SchemaMismatch(ValueError):
+    """A batch has other columns than the table, or other types."""
+
+
 def append_bronze(
     rows: DataFrame, path: str, backfill: bool = False, table_format: str = "parquet"
 ) -> int:
@@ -84,10 +91,29 @@ def silver_exists(spark: SparkSession, path: str) -> bool:
     return _held(spark, path)[0] > 0
 
 
+def _columns(schema: StructType) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def _stored_schema(spark: SparkSession, path: str) -> StructType:
+    rows = spark.read.schema("columns string").parquet(f"{path}/columns").collect()
+    return StructType.fromJson(json.loads(rows[0]["columns"]))
+
+
+def _check_schema(spark: SparkSession, path: str, batch: StructType) -> None:
+    table, given = _columns(_stored_schema(spark, path)), _columns(batch)
+    odd = sorted(n for n in table.keys() | given.keys() if table.get(n) != given.get(n))
+    if odd:
+        raise SchemaMismatch(
+            "; ".join(f"{n}: table {table.get(n)}, batch {given.get(n)}" for n in odd)
+        )
+
+
 def _read_dates(spark: SparkSession, path: str, held: dict[dt.date, int]) -> DataFrame:
+    schema = _stored_schema(spark, path)
     folders = [f"{path}/rows/version={v}/{DATE}={d}" for d, v in sorted(held.items())]
-    rows = spark.read.option("basePath", f"{path}/rows").parquet(*folders)
-    return rows.drop("version")
+    rows = spark.read.schema(schema).option("basePath", f"{path}/rows").parquet(*folders)
+    return rows.select(*[F.col(f"`{n}`") for n in schema.fieldNames()])
 
 
 def read_silver(spark: SparkSession, path: str) -> DataFrame:
@@ -125,9 +151,12 @@ def upsert_silver(
 
     The first batch is stored as it is, without a check for repeated keys. Later
     ones follow ``operators.merge``; ``ConflictingKeys`` is raised before the table
-    changes. The batch is evaluated once; the result is the number of its rows.
+    changes, and ``SchemaMismatch`` before anything is written. The batch is evaluated
+    once; the result is the number of its rows.
     """
     version, held = _held(spark, path)
+    if version:
+        _check_schema(spark, path, batch.schema)
     counted = Observation("silver")
     batch = batch.observe(
         counted, F.count(F.lit(1)).alias("rows"), key_bytes(key).alias("key_bytes")
@@ -137,10 +166,12 @@ def upsert_silver(
         _write(batch, path, new, "overwrite")
         rows = counted.get["rows"]
         if rows:
+            columns = spark.createDataFrame([(batch.schema.json(),)], "columns string")
+            columns.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
             _commit(spark, path, new, set())
         return rows
 
-    work = work_dir(spark, "upsert")
+    work = f"{path}/work/{uuid.uuid4().hex}"
     try:
         batch.write.partitionBy(DATE).parquet(f"{work}/batch")
         sizes = counted.get
@@ -167,7 +198,8 @@ def _merge(
     """Write the merged rows of all dates the stored batch touches; return those of the table.
 
     Reads the table twice: key and date of all rows, to find the matches, and then
-    all columns of the touched dates.
+    all columns of the touched dates. Rows are kept by the keys that matched, which are
+    measured on their own and mostly fewer than the batch's.
     """
     batch = spark.read.schema(schema).parquet(f"{work}/batch")
     keys = broadcast_if_small(merge.batch_keys(batch, key), keys_size)
@@ -175,8 +207,11 @@ def _merge(
     changed = batch
     if held:
         table = _read_dates(spark, path, held)
-        merge.matched_rows(table, keys, key).write.parquet(f"{work}/matched")
-        matched = spark.read.parquet(f"{work}/matched")
+        found = Observation("matched")
+        hits = merge.matched_rows(table, keys, key)
+        hits.observe(found, key_bytes(key).alias("bytes")).write.parquet(f"{work}/matched")
+        matched = spark.read.schema(hits.schema).parquet(f"{work}/matched")
+        hit_keys = broadcast_if_small(merge.matched_keys(matched, key), found.get["bytes"])
         hit_dates = _checked_dates(matched, key)
         changed = merge.updated_rows(matched, batch, key, only_newer).unionByName(
             merge.added_rows(matched, batch, key)
@@ -184,11 +219,10 @@ def _merge(
     touched = hit_dates | (_dates_in(spark, f"{work}/batch") & held.keys())
     if touched:
         old = _read_dates(spark, path, {d: held[d] for d in touched})
-        changed = changed.unionByName(merge.kept_rows(old, keys, key, only_newer))
-    if keys_size > BROADCAST_LIMIT:
-        # Rows come out of the join by key, each task with every date. Rebalancing
-        # brings dates together, splitting a date that is too large for one task.
-        changed = changed.hint("rebalance", DATE)
+        changed = changed.unionByName(merge.kept_rows(old, hit_keys, key, only_newer))
+    # Rows may come out of a join by key, each task with every date. Rebalancing brings
+    # dates together, splitting a date that is too large for one task.
+    changed = changed.hint("rebalance", DATE)
     _write(changed, path, new, "overwrite")
     return touched
 

@@ -1,3 +1,6 @@
+import pytest
+from pyspark.sql import Observation
+
 from listmill.operators import frontier
 from tests.conftest import final_plan
 
@@ -28,19 +31,71 @@ def test_sets_do_not_repeat(spark):
     assert sorted(map(tuple, both.collect())) == [("sold", "1"), ("sold", "2")]
 
 
-def test_adding_a_few_to_a_set_does_not_shuffle_it(spark, folder):
+@pytest.fixture
+def sets(spark, folder):
+    """Stored pending and visited sets of a thousand members."""
     spark.range(1000).selectExpr("concat('u-', id) AS url").write.parquet(f"{folder}/pending")
-    pending = spark.read.parquet(f"{folder}/pending")
-    some = urls(spark, "u-1", "x-1")
-    assert texts(frontier.new_pending(pending, some, size=256)) == ["x-1"]
-    plan = final_plan(frontier.new_pending(pending, some, size=256))
-    beyond = frontier.new_pending(pending, some, size=1 << 40)
-    assert texts(beyond) == ["x-1"]
-    assert "broadcast" not in beyond._jdf.queryExecution().analyzed().toString().lower()
-    # between the scan of the set and the join with the candidates
-    above = plan[: plan.index("FileScan")]
-    above = above[above.rindex("BroadcastHashJoin") :]
-    assert plan.count("FileScan") == 1 and "Exchange" not in above
+    ids = spark.range(1000).selectExpr("'sold' AS target", "cast(id AS string) AS id")
+    ids.write.parquet(f"{folder}/visited")
+    return spark.read.parquet(f"{folder}/pending"), spark.read.parquet(f"{folder}/visited")
+
+
+LOOKUPS = {
+    "unvisited": lambda p, v, some: frontier.unvisited(some, v, "sold"),
+    "new_pending": lambda p, v, some: frontier.new_pending(p, some),
+    "new_visited": lambda p, v, some: frontier.new_visited(v, some, "sold").selectExpr("id AS url"),
+    "pending_remove": lambda p, v, some: frontier.pending_remove(p, some),
+    "next_round": lambda p, v, some: frontier.next_round(p, v, "sold", 5)[1],
+}
+
+
+@pytest.mark.parametrize("name", LOOKUPS)
+def test_a_few_are_looked_up_where_the_set_is(spark, sets, conf, name):
+    some = urls(spark, "u-1", "x-7777", None)
+    result = LOOKUPS[name](*sets, some)
+    expected = texts(result)
+    plan = final_plan(result)
+    # no row of the set is shuffled but those found; none of this needs Spark's own estimate
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    plan = final_plan(LOOKUPS[name](*sets, some))
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    conf(listmill__broadcastBytes="0")
+    beyond = LOOKUPS[name](*sets, some)
+    if name != "next_round":  # bounded by its sample
+        assert "SortMergeJoin" in final_plan(beyond)
+    assert texts(beyond) == expected
+
+
+def test_a_round_draws_and_looks_up_once(spark, sets):
+    to_fetch, rest = frontier.next_round(*sets, "sold", 5)
+    for result in (to_fetch, rest):
+        plan = final_plan(result)
+        assert "TakeOrdered" not in plan and plan.count("Join") <= 1
+
+
+def test_candidates_without_url_are_none(spark, sets):
+    assert texts(frontier.unvisited(urls(spark, None, "x-7777"), sets[1], "sold")) == ["x-7777"]
+
+
+SITEMAPS = [
+    (1, "<urlset><url><loc>a-1</loc></url></urlset>"),
+    (2, "<urlset><url><loc>b-2</loc></url><url><loc>c"),
+    (3, ""),
+    (4, "<urlset></urlset>"),
+    (5, None),
+]
+
+
+def test_broken_sitemaps_are_not_lost(spark):
+    documents = spark.createDataFrame(SITEMAPS, "doc int, xml string")
+    with pytest.raises(Exception, match="broken sitemap"):
+        frontier.sitemap_urls(documents).collect()
+    assert texts(frontier.sitemap_urls(documents.where("doc IN (1, 4, 5)"))) == ["a-1"]
+    counted = Observation("broken")
+    found, broken = frontier.split_sitemaps(documents, counted)
+    assert texts(found) == ["a-1"]
+    assert sorted(map(tuple, broken.collect())) == [SITEMAPS[1], SITEMAPS[2]]
+    assert counted.get["broken"] == 2
 
 
 def test_sample_is_repeatable_and_bounded(spark):

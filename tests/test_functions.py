@@ -131,14 +131,62 @@ def test_sold_links_are_greedy_within_a_line(spark):
     ]
 
 
-def test_links_in_block(spark):
-    html = (
+LISTS = [
+    (
         '<a href="/no">n</a><div class="x" id="result">\n<ul class="l"><li class="a">\n'
         '<a class="c" href="/1?a=1&amp;b=2"><b>1</b><a href="/inner">i</a></a></li><li><a href="/2">2</a></li>'
-        '<li><p><a href="/3">3</a></p></li></ul></div><ul><li><a href="/no">n</a></li></ul>'
-    )
-    rows = values(spark, [html, "<p>none</p>", None], links.links_in_block(F.col("x")))
-    assert rows == [(["/1?a=1&b=2", "/2"],), ([],), (None,)]
+        '<li><p><a href="/3">3</a></p></li></ul></div><ul><li><a href="/no">n</a></li></ul>',
+        ["/1?a=1&b=2", "/2"],
+    ),
+    # a nested list, then more items
+    (
+        "<div id='result'><ul><li><a href='/1'>1</a><ul><li><a href='/n'>n</a></li></ul></li>"
+        "<li><a href='/2'>2</a></li></ul></div>",
+        ["/1", "/2"],
+    ),
+    # a second list
+    ('<p id="result"><ul><li><a href="/1"></a></ul><ul><li><a href="/2"></a></ul>', ["/1", "/2"]),
+    # a heading before the list, a tag before the link, upper case
+    ('<DIV ID="result"><h1>x<br></h1><UL><LI><img src="i"><A HREF="/1">1</A></LI></UL></DIV>', ["/1"]),
+    # items without end tags, several links in one, end tags without start
+    (
+        '<div id="result"><ul></p><li><a href="/1"></a><a href="/2"></a><li></b><a href="/3"></a></ul></div>'
+        '<ul><li><a href="/no"></a></ul>',
+        ["/1", "/2", "/3"],
+    ),
+    # no tags in comments and scripts
+    (
+        '<div id="result"><!-- </div> --><script>var t = "</div>";</script><ul><li><a href="/1">'
+        "</a></li></ul></div>",
+        ["/1"],
+    ),
+    ('<div id="result"><div><ul><li><a href="/deep"></a></li></ul></div></div>', []),
+    ('<div id="results"><ul><li><a href="/no"></a></li></ul></div>', []),
+    ('<br id="result"><ul><li><a href="/no"></a></li></ul>', []),
+    ("<p>none</p>", []),
+    ("", []),
+    (None, None),
+]
+
+
+def test_links_in_list(spark):
+    rows = values(spark, [html for html, _ in LISTS], links.links_in_list(F.col("x")))
+    assert rows == [(found,) for _, found in LISTS]
+
+
+@pytest.mark.parametrize(
+    "html, href",
+    [
+        ('<a class="x">1</a><a class="b next_page" href="/p?page=2&amp;a=1">2</a>', "https://h.se/p?page=2&a=1"),
+        ("<a href='?page=2' class='next_page'>", "https://h.se/a/?page=2"),
+        ("<a class='next_page' href='http://o/x'>", "http://o/x"),
+        ("<a class='next_pages' href='/x'>", None),
+        (None, None),
+    ],
+)
+def test_next_page(spark, html, href):
+    page = F.lit("https://h.se/a/b?page=1/x")
+    assert values(spark, [html], links.next_page(F.col("x"), page)) == [(href,)]
 
 
 @pytest.mark.parametrize(
@@ -165,5 +213,5 @@ def test_sitemap(spark):
         "<url><loc>https://h/?a=1&amp;b=2</loc></url></urlset>"
     )
     one = "<urlset><url><loc>x</loc></url></urlset>"
-    rows = values(spark, [xml, one, "<urlset></urlset>"], links.sitemap_locs(F.col("x")))
+    rows = values(spark, [xml, one, "<urlset></urlset>"], links.sitemap_locs(links.sitemap(F.col("x"))))
     assert rows == [(["https://h/a-1", "https://h/?a=1&b=2"],), (["x"],), (None,)]

@@ -6,9 +6,19 @@ from pyspark.sql import functions as F
 
 from listmill.operators.refine import FORSALE, SOLD
 from listmill.plans import jobs
-from listmill.plans.jobs import ReplayTopic, ingest, parse_date, refine_date, run_daily
+from listmill.plans.jobs import (
+    FetchReport,
+    LogBehind,
+    ReplayTopic,
+    ingest,
+    parse_date,
+    record_fetches,
+    refine_date,
+    run_daily,
+)
 from listmill.schemas import BRONZE, LOG_RECORD
 from listmill.session import work_dir
+from listmill.sources.state import reset_offsets
 from listmill.sources.tables import read_bronze, read_silver
 from listmill.streaming.ingest import ingest_stream, replay_stream
 from tests.test_refine import bronze, page
@@ -101,6 +111,33 @@ def test_daily_runs(spark, folder):
     assert read_silver(spark, paths["silver"]).count() == 3
 
 
+def test_a_recreated_log_is_not_skipped(spark, folder):
+    rows, state = f"{folder}/rows", f"{folder}/state"
+    old = log(spark, *[message(i, i) for i in range(20)])
+    ingest(spark, ReplayTopic("t", old), rows, "forsale", state, D1)
+    fresh = ReplayTopic("t", log(spark, *[message(i, i) for i in range(8)]))
+    with pytest.raises(LogBehind):
+        ingest(spark, fresh, rows, "forsale", state, D2)
+    reset_offsets(spark, state, "forsale", "t", 0, 0)
+    assert ingest(spark, fresh, rows, "forsale", state, D2).rows == 8
+    assert ingest(spark, fresh, rows, "forsale", state, D2).rows == 0
+
+
+def test_fetches_are_recorded(spark, folder):
+    paths = [f"{folder}/{n}" for n in ("messages", "pending", "visited")]
+    fetches = [
+        ("http://h/a-1", 200, "<link rel='prev' href='http://h/c-9'>", 1.0),
+        ("http://h/b-2", 404, "<link rel='prev' href='http://h/c-8'>", 2.0),
+        ("http://h/a-1", 200, "", 3.0),
+    ]
+    frame = spark.createDataFrame(fetches, "url string, status int, source string, timestamp double")
+    assert record_fetches(spark, frame, *paths, "sold") == FetchReport(2, 1, 1)
+    assert record_fetches(spark, frame, *paths, "sold") == FetchReport(2, 0, 0)
+    assert [tuple(r) for r in spark.read.parquet(paths[1]).collect()] == [("http://h/c-9",)]
+    assert [tuple(r) for r in spark.read.parquet(paths[2]).collect()] == [("sold", "1")]
+    assert record_fetches(spark, frame, *paths, "forsale") == FetchReport(2, 0, 1)
+
+
 def test_a_first_day_without_records(spark, folder):
     source = ReplayTopic("other", log(spark, message(1, 1)))
     reports = run_daily(spark, source, f"{folder}/b", f"{folder}/s", "sold", f"{folder}/o", D1)

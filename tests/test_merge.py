@@ -1,16 +1,23 @@
 """The upsert contract, as one plan and on the stored table."""
 
 import datetime as dt
+import os
 from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from listmill.operators import joins, merge
+from listmill.operators import merge
 from listmill.sources import tables
 from listmill.sources.delta import delta_available, upsert_delta
-from listmill.sources.tables import ConflictingKeys, read_silver, silver_exists, upsert_silver
+from listmill.sources.tables import (
+    ConflictingKeys,
+    SchemaMismatch,
+    read_silver,
+    silver_exists,
+    upsert_silver,
+)
 
 SCHEMA = "k string, v int, ingestion_date date"
 D1, D2, D3 = (dt.date(2024, 1, d) for d in (1, 2, 3))
@@ -41,7 +48,6 @@ def test_matched_unmatched_and_null_keys(spark, folder):
     expected = Counter(
         [("a", 1, D1), ("b", 2, D2), ("c", 2, D2), (None, 1, D1), (None, 9, D2)]
     )
-    assert rows(merge.merge_frames(frame(spark, *table), frame(spark, *batch), "k")) == expected
     assert not silver_exists(spark, folder)
     assert upsert_silver(spark, folder, frame(spark, *table), "k") == 3
     assert silver_exists(spark, folder)
@@ -119,10 +125,8 @@ def test_empty_batches(spark, folder):
     assert rows(read_silver(spark, folder)) == Counter([("a", 1, D1)])
 
 
-def test_keys_too_large_to_broadcast(spark, folder, monkeypatch, conf):
-    monkeypatch.setattr(joins, "BROADCAST_LIMIT", 0)
-    monkeypatch.setattr(tables, "BROADCAST_LIMIT", 0)
-    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+def test_keys_too_large_to_broadcast(spark, folder, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", listmill__broadcastBytes="0")
     table = [(str(i), 1, D1 if i % 2 else D2) for i in range(50)] + [(None, 1, D1)] * 3
     batch = [(str(i), 2, D3) for i in range(40, 60)] + [(None, 2, D3)]
     upsert_silver(spark, folder, frame(spark, *table), "k")
@@ -142,9 +146,50 @@ batches = st.lists(
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(some_rows, batches, st.booleans())
-def test_merge_frames_is_row_by_row_merge(spark, table, batch, only_newer):
-    merged = merge.merge_frames(frame(spark, *table), frame(spark, *batch), "k", only_newer)
-    assert rows(merged) == brute_force(table, batch, only_newer)
+def test_upsert_is_row_by_row_merge(spark, tmp_path_factory, table, batch, only_newer):
+    folder = str(tmp_path_factory.mktemp("silver"))
+    upsert_silver(spark, folder, frame(spark, ("other", 0, D1), *table), "k")
+    upsert_silver(spark, folder, frame(spark, *batch), "k", only_newer)
+    want = brute_force([("other", 0, D1), *table], batch, only_newer)
+    assert rows(read_silver(spark, folder)) == want
+
+
+@pytest.mark.parametrize(
+    "other", ["k string, w int, ingestion_date date", "k string, v long, ingestion_date date",
+              "k string, v int, w int, ingestion_date date", "k string, ingestion_date date"]
+)
+def test_other_columns_are_refused(spark, folder, other):
+    upsert_silver(spark, folder, frame(spark, ("a", 1, D1)), "k")
+    values = {"k": "b", "v": 2, "w": 3, "ingestion_date": D3}
+    names = [c.split()[0] for c in other.split(", ")]
+    batch = spark.createDataFrame([tuple(values[n] for n in names)], other)
+    before = set(os.listdir(f"{folder}/rows"))
+    with pytest.raises(SchemaMismatch):
+        upsert_silver(spark, folder, batch, "k")
+    assert set(os.listdir(f"{folder}/rows")) == before
+    assert rows(read_silver(spark, folder)) == Counter([("a", 1, D1)])
+    # another order of the same columns is fine
+    upsert_silver(spark, folder, frame(spark, ("b", 2, D3)).select("ingestion_date", "v", "k"), "k")
+    assert rows(read_silver(spark, folder)) == Counter([("a", 1, D1), ("b", 2, D3)])
+
+
+def test_few_matches_of_a_large_batch_keep_rows_without_a_shuffle(spark, folder, conf, monkeypatch):
+    """Beyond the limit the batch's keys are joined by sorting, those that matched are broadcast."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", listmill__broadcastBytes="2000")
+    upsert_silver(spark, folder, frame(spark, *[(f"t{i}", 1, D1) for i in range(200)]), "k")
+    plans, kept = [], merge.kept_rows
+
+    def noted(*args):
+        result = kept(*args)
+        plans.append(result._jdf.queryExecution().executedPlan().toString())
+        return result
+
+    monkeypatch.setattr(merge, "kept_rows", noted)
+    batch = [(f"b{i}", 2, D2) for i in range(100)] + [("t1", 2, D2), ("t2", 2, D2)]
+    upsert_silver(spark, folder, frame(spark, *batch), "k")
+    assert "BroadcastHashJoin" in plans[0] and "SortMergeJoin" not in plans[0]
+    assert read_silver(spark, folder).count() == 300
+    assert not os.path.exists(f"{folder}/work") or not os.listdir(f"{folder}/work")
 
 
 @pytest.mark.skipif(delta_available(), reason="the package is installed")

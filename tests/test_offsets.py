@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from listmill.operators import offsets
 from listmill.schemas import LOG_RECORD, OFFSETS
 from listmill.sources.log import kafka_options, read_replay, starting_offsets
-from listmill.sources.state import commit_offsets, read_offsets
+from listmill.sources.state import commit_offsets, read_offsets, reset_offsets
+from tests.conftest import final_plan
 
 
 def log(spark, records):
@@ -25,10 +26,11 @@ def test_starting_offsets():
     assert starting_offsets("t", {}) == "earliest"
     assert json.loads(starting_offsets("t", {1: 34, 0: 26})) == {"t": {"0": 26, "1": 34}}
     assert json.loads(starting_offsets("t", {0: 26}, range(3))) == {"t": {"0": 26, "1": -2, "2": -2}}
-    options = kafka_options("h:9092", "t", "sold", {})
-    assert "minPartitions" not in options
-    assert kafka_options("h:9092", "t", "sold", {}, min_tasks=40)["minPartitions"] == "40"
-    assert options["subscribe"] == "t" and options["kafka.group.id"] == "spark.sold.job"
+    options = kafka_options("h:9092", "t", {})
+    assert "minPartitions" not in options and "kafka.group.id" not in options
+    assert kafka_options("h:9092", "t", {}, min_tasks=40)["minPartitions"] == "40"
+    assert kafka_options("h:9092", "t", {}, group="g")["kafka.group.id"] == "g"
+    assert options["subscribe"] == "t"
 
 
 def test_resume_starts_unseen_partitions_at_the_earliest(spark):
@@ -70,8 +72,8 @@ def test_state_never_goes_back_and_keeps_idle_partitions(spark, folder):
 
 
 def test_replay_table(spark, folder):
-    log(spark, [("t", 0, 0), ("u", 0, 1)]).write.parquet(f"{folder}/log")
-    assert [r["offset"] for r in read_replay(spark, f"{folder}/log", "u").collect()] == [1]
+    log(spark, [("t", 0, 0), ("it's", 0, 1)]).write.parquet(f"{folder}/log")
+    assert [r["offset"] for r in read_replay(spark, f"{folder}/log", "it's").collect()] == [1]
 
 
 def test_latest_offsets_combines_before_the_shuffle(spark):
@@ -79,8 +81,32 @@ def test_latest_offsets_combines_before_the_shuffle(spark):
     assert "partial_max" in plan.toString()
 
 
-def test_resume_does_not_need_a_broadcast(spark, conf):
+def test_resume_reads_only_what_is_used_and_shuffles_nothing(spark, conf, folder):
     conf(spark__sql__autoBroadcastJoinThreshold="-1")
-    records = log(spark, [("t", 0, o) for o in range(100)])
+    log(spark, [("t", 0, o) for o in range(100)]).write.parquet(folder + "/log")
+    records = spark.read.schema(LOG_RECORD).parquet(folder + "/log")
     stored = spark.createDataFrame([("x", "t", 0, 40)], OFFSETS)
-    assert offsets.resume(records, stored).agg(F.min("offset")).first()[0] == 40
+    unread = offsets.resume(records, stored).select("offset")
+    plan = final_plan(unread)
+    assert "ReadSchema: struct<topic:string,partition:int,offset:bigint>" in plan
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert unread.agg(F.min("offset")).first()[0] == 40
+
+
+def test_reset_offsets(spark, folder):
+    path = f"{folder}/state"
+    commit_offsets(offsets.next_offsets(log(spark, [("t", 0, 9), ("t", 1, 9)]), "sold"), path)
+    reset_offsets(spark, path, "sold", "t", 0, 3)
+    assert state(read_offsets(spark, path, "sold")) == {("t", 0): 3, ("t", 1): 10}
+    commit_offsets(offsets.next_offsets(log(spark, [("t", 0, 5), ("t", 1, 2)]), "sold"), path)
+    assert state(read_offsets(spark, path, "sold")) == {("t", 0): 6, ("t", 1): 10}
+    reset_offsets(spark, path, "forsale", "u", 2, 7)
+    reset_offsets(spark, path, "sold", "t", 1, 99)
+    assert state(read_offsets(spark, path, "sold")) == {("t", 0): 6, ("t", 1): 99}
+    assert state(read_offsets(spark, path, "forsale")) == {("u", 2): 7}
+
+
+def test_a_log_behind_its_offsets_is_found(spark):
+    records = log(spark, [("t", 0, 49), ("t", 1, 9), ("t", 2, 3)])
+    stored = spark.createDataFrame([("x", "t", p, n) for p, n in ((0, 100), (1, 10), (3, 5))], OFFSETS)
+    assert [tuple(r) for r in offsets.behind(records, stored).collect()] == [("t", 0, 49, 100)]
