@@ -796,30 +796,80 @@ def test_one_document_of_each_group_stays(spark, edge, edge_rows, nothing):
 # --- pipeline -----------------------------------------------------------------------------
 
 
-def test_pipeline(spark):
+def brute_mix(rows):
+    """How often each row is taken, source by source in the order of the ranks."""
+    sizes = defaultdict(int)
+    for _, text, source in rows:
+        sizes[source] += len(words_of(text))
+    targets, copies = brute_targets(sizes), [0] * len(rows)
+    for source, target in targets.items():
+        rate = min(target / sizes[source], 2.0) if sizes[source] else 0.0
+        whole, p = int(rate), rate - int(rate)
+        own = [i for i, r in enumerate(rows) if r[2] == source]
+        open_ = target - sum(whole * len(words_of(rows[i][1])) for i in own)
+        ranked = []
+        for i in own:
+            copies[i] = whole
+            digest = hashlib.md5(f"mix:{rows[i][0]}".encode()).hexdigest()
+            u = (int(digest[:13], 16) + 0.5) / 16.0**13
+            if p > 0:
+                ranked.append(((u / (1 - u)) / (p / (1 - p)), str(rows[i][0]), i))
+        taken = 0
+        for _, _, i in sorted(ranked):
+            size = len(words_of(rows[i][1]))
+            if taken + size / 2 > open_:
+                break
+            taken += size
+            copies[i] += 1
+    return copies
+
+
+def test_pipeline_against_brute_force(spark):
+    """Stage by stage in plain Python; the stages' own tests cover their models and hashes."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = [(r["doc_id"], r["text"], r["source"]) for r in docs.collect()]
+    scorer = toxicity.train(docs, labels).scorer()
+    scores = scorer.scores([scorer.features(toxicity.windows(t.encode())) for _, t, _ in rows])
+    rows = [r for r, score in zip(rows, scores, strict=True) if score < 0.3]
+    rows = [r for r, (doc, _, name) in zip(rows, brute_components(rows), strict=True) if doc == name]
+    items = [
+        decontamination.tokens(r["text"].encode())
+        for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
+    ]
+
+    def is_dirty(text):
+        words = decontamination.tokens(text.encode())
+        grams = {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+        return any(
+            brute_tiles(item, words, 5) / len(item) >= 0.6
+            for item in items
+            if any(tuple(item[i : i + 5]) in grams for i in range(len(item) - 4))
+        )
+
+    clean = [r for r in rows if not is_dirty(r[1])]
+    assert len(docs.collect()) > len(rows) > len(clean)
+    want = {r[0]: n for r, n in zip(clean, brute_mix(clean), strict=True) if n}
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert got.columns == [*docs.columns, "shard"]
+    counts = {r["doc_id"]: r["count"] for r in got.groupBy("doc_id").count().collect()}
+    assert counts == want
+    sizes = defaultdict(int)
+    for r in got.collect():
+        sizes[r["shard"]] += len(r["text"].encode()) + 8
+    assert set(sizes) <= set(range(24))
+    largest = max(len(t.encode()) for _, t, _ in clean) + 8
+    assert max(sizes.values()) <= sum(sizes.values()) / 24 + largest
+
+
+def test_stages_keep_the_columns():
     names = [name for name, _ in corpus_pipeline.STAGES]
-    assert len(names) == 5
-    before, counts = docs, []
-    for _, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, before, SF_DIR)
-        assert after.columns == docs.columns
-        counts.append(after.count())
-        before = after
-    sharded = corpus_pipeline.run(spark, SF_DIR)
-    assert sharded.columns == [*docs.columns, "shard"]
-    assert sharded.count() == counts[-1]
-    # what the first three stages leave is in the mix, at most twice
-    assert counts[0] > counts[1] > counts[2]
-    kept = {r["doc_id"] for r in sharded.select("doc_id").distinct().collect()}
-    near = brute_components([(r["doc_id"], r["text"], None) for r in docs.collect()])
-    assert len(kept) <= len({c for _, _, c in near})
-    assert max(r["count"] for r in sharded.groupBy("doc_id").count().collect()) <= 2
-
-
-def test_pipeline_stages_on_edge_cases(spark, edge, nothing, tmp_path):
+    assert names == ["toxicity", "near copies", "benchmark decontamination", "mixing", "sharding"]
+
+
+def test_pipeline_stages_on_edge_cases(spark, edge, nothing):
     for rows in (edge, nothing):
         for _, stage in corpus_pipeline.STAGES:
             out = stage(spark, rows, SF_DIR)
-            assert set(edge.columns) <= set(out.columns)
+            assert out.columns == edge.columns or stage is corpus_pipeline.sharding
             out.count()
