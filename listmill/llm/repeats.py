@@ -41,11 +41,14 @@ from pyspark.sql import functions as F
 from listmill.llm.common import chunks, table
 
 WINDOW = 20
-GRAM = 3
-BUCKET_BYTES = 4 << 20
+GRAM = 2
+BUCKET_BYTES = 2 << 20
+# Bytes of text that a task packs at once, and the level it compresses with.
+PIECE_BYTES = 4 << 20
+LEVEL = 3
 HOT_SHARE = 4096
 # A minimiser with fewer super-k-mers fits any bucket.
-HOT_LEAST = 1 << 15
+HOT_LEAST = 1 << 14
 
 _NULL_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -113,8 +116,9 @@ class _Piece:
         self.minimiser = np.zeros(0, np.uint64)
         if len(at):
             hashes = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            grams = _scrambled(_sum_of_runs(hashes, GRAM))
-            self.minimiser = _sliding_min(grams, window - GRAM + 1)[self.at]
+            del words
+            hashes = _scrambled(_sum_of_runs(hashes, GRAM))
+            self.minimiser = _sliding_min(hashes, window - GRAM + 1)[self.at]
 
     def runs(self) -> tuple[np.ndarray, np.ndarray]:
         """First window and number of windows of each super-k-mer."""
@@ -184,9 +188,9 @@ def _packer(window: int, buckets: int, hot: list[int]):
     hot_set = np.array(hot, np.uint64)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compress = zstd.ZstdCompressor(level=1).compress
+        compress = zstd.ZstdCompressor(level=LEVEL).compress
         digest = xxhash.xxh64_intdigest
-        for batch in chunks(batches, "_text"):
+        for batch in chunks(batches, "_text", PIECE_BYTES):
             piece = _Piece(batch.column(2).cast(pa.binary()).to_pylist(), window)
             ids = pc.fill_null(batch.column(0), _NULL_ID).to_pylist()
             hashes = batch.column(1).to_pylist()
@@ -227,9 +231,12 @@ def _packer(window: int, buckets: int, hot: list[int]):
                 blob = _pack(compress, *zip(*entries, strict=True))
                 out.append(-1 - digest(blob) % buckets)
                 blobs.append(blob)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.int64()), pa.array(blobs, pa.binary())], ["bucket", "packed"]
-            )
+            columns = [pa.array(out, pa.int64()), pa.array(blobs, pa.binary())]
+            # a worker keeps nothing of a piece while it waits for the next
+            del piece, seen, parts, repeats, first, count, rows, places, starts, ends, text, out, blobs
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "packed"])
+            del columns
+            pa.default_memory_pool().release_unused()
 
     return packed
 
@@ -319,16 +326,19 @@ def _unpacker(window: int):
     return unpacked
 
 
-def repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(id, h, place, windows): runs of windows whose words also start earlier.
-
-    ``id`` is doc_id, with the smallest long for null, ``h`` the hash of the text.
-    """
+def _rows(documents: DataFrame) -> DataFrame:
+    """(id, h, _text): the smallest long for a null id; a hash of the text where ids repeat."""
     rows = documents.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64("text").alias("h"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID)).alias("id"),
         F.col("text").cast("string").alias("_text"),
     )
+    again = rows.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    h = F.lit(0).cast("long") if again.isEmpty() else F.xxhash64("_text")
+    return rows.select("id", h.alias("h"), "_text")
+
+
+def repeats(rows: DataFrame, window: int = WINDOW) -> DataFrame:
+    """(id, h, place, windows): runs of windows whose words also start earlier."""
     size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = -(-size // BUCKET_BYTES) or 1
     hot = _hot_minimisers(rows, window)
@@ -337,6 +347,15 @@ def repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     return sorted_.mapInArrow(_unpacker(window), "id long, h long, place long, windows long")
 
 
+def _zipped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed before they are shuffled."""
+    compress = zstd.ZstdCompressor(level=LEVEL).compress
+    for batch in chunks(batches, "_text"):
+        texts = batch.column(2).cast(pa.binary()).to_pylist()
+        packed = pa.array([compress(t or b"") for t in texts], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], packed], ["id", "h", "packed"])
+
+
 def _kept_words(text: bytes, runs: list[dict], window: int) -> tuple[int, int, bytes]:
     words = text.split()
     if not runs:
@@ -350,24 +369,19 @@ def _kept_words(text: bytes, runs: list[dict], window: int) -> tuple[int, int, b
 
 def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every document."""
-    runs = repeats(documents, window).groupBy("id", F.col("h").alias("r_h")).agg(
+    rows = _rows(documents)
+    runs = repeats(rows, window).groupBy(F.col("id").alias("r_id"), F.col("h").alias("r_h")).agg(
         F.collect_list(F.struct("place", "windows")).alias("runs")
     )
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NULL_ID))
-    texts = documents.select(
-        "doc_id", F.col("text").cast("string").alias("_text"), F.xxhash64("text").alias("h"), key.alias("k")
-    )
-    joined = texts.join(runs, (F.col("h") == F.col("r_h")) & (F.col("k") == F.col("id")), "left")
-    rows = joined.select("doc_id", "runs", "_text")
-    schema = rows.select("doc_id").schema.add("n_words", "long").add("n_removed", "long")
-    schema = schema.add("kept", "string")
+    texts = rows.mapInArrow(_zipped, "id long, h long, packed binary")
+    joined = texts.join(runs, (F.col("h") == F.col("r_h")) & (F.col("id") == F.col("r_id")), "left")
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "_text"):
-            texts = batch.column(2).cast(pa.binary()).to_pylist()
+        decompress = zstd.ZstdDecompressor().decompress
+        for batch in chunks(batches, "packed"):
             found = [
-                _kept_words(t or b"", r, window)
-                for t, r in zip(texts, batch.column(1).to_pylist(), strict=True)
+                _kept_words(decompress(t.as_buffer()), r.as_py(), window)
+                for t, r in zip(batch.column(2), batch.column(1), strict=True)
             ]
             words, removed, left = zip(*found, strict=True)
             yield pa.RecordBatch.from_arrays(
@@ -377,10 +391,13 @@ def without_repeats(documents: DataFrame, window: int = WINDOW) -> DataFrame:
                     pa.array(removed, pa.int64()),
                     pa.array(left, pa.binary()).cast(pa.string()),
                 ],
-                ["doc_id", "n_words", "n_removed", "kept"],
+                ["id", "n_words", "n_removed", "kept"],
             )
 
-    return rows.mapInArrow(kept, schema)
+    schema = "id long, n_words long, n_removed long, kept string"
+    found = joined.select("id", "runs", "packed").mapInArrow(kept, schema)
+    doc_id = F.when(F.col("id") != _NULL_ID, F.col("id")).alias("doc_id")
+    return found.select(doc_id, "n_words", "n_removed", "kept")
 
 
 def op4_repeats(spark, sf_dir: str) -> DataFrame:
