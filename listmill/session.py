@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,6 +28,14 @@ def local_session(cores: int | str = 8, name: str = "listmill", **conf: str) ->
     return builder.getOrCreate()
 
 
+@cache
+def _own_folder() -> str:
+    """A folder of this process, removed at its end."""
+    folder = tempfile.mkdtemp(prefix="listmill-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -35,5 +46,5 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="listmill-")
+        base = _own_folder()
     return f"{base.rstrip('/')}/listmill/{purpose}-{uuid.uuid4().hex}"
