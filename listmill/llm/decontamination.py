@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from listmill.llm.common import chunks, table, word_count
+from listmill.llm.common import chunks, stored, table, word_count
 
 TILE = 5
 COVERAGE = 0.6
@@ -232,7 +232,9 @@ def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **options) ->
     """The documents that contain no benchmark item."""
     key = F.xxhash64(F.col("doc_id"), F.col("text"))
     rows = documents.select("doc_id", "text", key.alias("_h"))
+    # stored, so that Spark knows its size and, if it is small, does not shuffle the texts
     dirty = overlaps(rows, benchmark, id_columns=("_h",), **options).select("_h").distinct()
+    dirty = stored(dirty, "contaminated")
     kept = documents.select(F.struct("*").alias("row"), key.alias("_h"))
     return kept.join(dirty, "_h", "left_anti").select("row.*")
 
