@@ -345,7 +345,12 @@ def drop_near_duplicates(
     named = near_groups(rows, radius).groupBy("group").agg(first.alias("first"))
     kept = stored(named.select(F.col("first.doc_id").alias("k_id"), F.col("first.h").alias("k_h")), "kept")
     texts = documents.select(F.struct("*").alias("row"), "doc_id", key.alias("h"))
-    same = (F.col("h") == F.col("k_h")) & F.col("doc_id").eqNullSafe(F.col("k_id"))
+    # ids are compared as a range: as a join key they would make Spark shuffle the texts again
+    # for the duplicates
+    equal = F.coalesce(F.col("doc_id").between(F.col("k_id"), F.col("k_id")), F.lit(False))
+    same = (F.col("h") == F.col("k_h")) & (
+        equal | (F.col("doc_id").isNull() & F.col("k_id").isNull())
+    )
     return texts.join(kept, same, "left_semi").dropDuplicates(["h", "doc_id"]).select("row.*")
 
 
