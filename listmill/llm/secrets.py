@@ -1,12 +1,14 @@
 """Secret scan: patterns, and strings that a tokenizer finds unlikely.
 
-The token-efficiency test looks at unbroken runs of ``RUN`` characters or more that
-have letters and digits. A vocabulary made from ordinary text spells such a run in few long
-tokens if it is language, and in many short ones if it is random: below ``RATIO``
-characters per token it is reported as ``random``. Before that, runs are left out
-that are digests by their form (hexadecimal of a digest's length) or identifiers
-(UUIDs, dates and version-like strings, whose parts are letters or digits only), and
-runs that a pattern has already reported.
+The token-efficiency test looks at unbroken runs of ``RUN`` characters or more, of
+``LETTERS_RUN`` or more without digits. A vocabulary made from ordinary text spells such
+a run in few long tokens if it is language, and in many short ones if it is random: below
+``RATIO`` characters per token it is reported as ``random``. A run that passes is cut at
+``/ = + - _`` and stretches of pieces that all are below the ratio are reported, so plain
+words beside a random string do not hide it. Left out are digests by their form
+(hexadecimal of a digest's length), UUIDs, identifiers (dates, version-like strings and
+names, whose parts are letters or digits only, with fewer than ``LETTERS_RUN`` letters in
+parts below the ratio), numbers, and what a pattern has already reported.
 
 The vocabulary's ranks are read once, on the driver, from ``vocabulary``, and sent to
 the executors; they are about a megabyte.
@@ -20,7 +22,7 @@ from __future__ import annotations
 
 import base64
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import tiktoken
@@ -36,7 +38,10 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
-RUN = 20
+RUN = 16
+LETTERS_RUN = 18
+# Pieces below this length say nothing.
+SHORT = 4
 RATIO = 1.9
 
 # Kinds of spans in the order in which equal starts are listed.
@@ -58,10 +63,10 @@ _RUNS = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % RUN)
 # Hexadecimal lengths of MD5, SHA-1, SHA-224, SHA-256, SHA-384 and SHA-512.
 _DIGEST_LENGTHS = frozenset((32, 40, 56, 64, 96, 128))
 _ONLY_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
-_IDENTIFIER = re.compile(
-    r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"
-    r"|([A-Za-z]+|[0-9]+)([-_/+=]+([A-Za-z]+|[0-9]+))*[-_/+=]*"
+_UUID = re.compile(
+    r"(?<![A-Za-z0-9])[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}(?![A-Za-z0-9])"
 )
+_PIECE = re.compile(r"[A-Za-z0-9]+")
 
 Span = tuple[str, int, int]
 
@@ -95,26 +100,71 @@ def _longest(text: str) -> int:
     return max(map(len, text.split()), default=0)
 
 
-def is_known(run: str) -> bool:
-    """Digests and identifiers, which are no secrets however random they look."""
-    if len(run) in _DIGEST_LENGTHS and _ONLY_HEX.fullmatch(run):
-        return True
-    return _IDENTIFIER.fullmatch(run) is not None
+def _is_digest(piece: str) -> bool:
+    return len(piece) in _DIGEST_LENGTHS and _ONLY_HEX.fullmatch(piece) is not None
+
+
+def _is_word(piece: str, tokens: int) -> bool:
+    """Letters that the vocabulary spells in long tokens, or too few to tell."""
+    return piece.isalpha() and (len(piece) < SHORT or len(piece) / tokens >= RATIO)
+
+
+def _has_least(letters_only: bool, size: int) -> bool:
+    return size >= (LETTERS_RUN if letters_only else RUN)
+
+
+def random_stretches(run: str, tokens: Callable[[str], int]) -> list[tuple[int, int]]:
+    """First and end place of what is random in a run: all of it, or stretches of its pieces.
+
+    A stretch has no digest, UUID or piece in long tokens; short pieces and numbers in it
+    count for nothing.
+    """
+    known = {m.start() + at for m in _UUID.finditer(run) for at in (0, 9, 14, 19, 24)}
+    pieces = [(m.start(), m.end(), m.group()) for m in _PIECE.finditer(run)]
+    known |= {start for start, _, piece in pieces if _is_digest(piece)}
+    counts = [tokens(piece) for *_, piece in pieces]
+    if all(piece.isdigit() or piece.isalpha() for *_, piece in pieces):
+        odd = [p for (*_, p), n in zip(pieces, counts, strict=True) if not _is_word(p, n)]
+        if sum(len(piece) for piece in odd if piece.isalpha()) < LETTERS_RUN:
+            return []  # an identifier
+    letters_only = not any(c.isdigit() for c in run)
+    if not known and _has_least(letters_only, len(run)) and len(run) / tokens(run) < RATIO:
+        return [(0, len(run))]
+    found, first, end, size, letters_only = [], None, 0, 0, True
+
+    def close() -> None:
+        nonlocal first, size, letters_only
+        if first is not None and _has_least(letters_only, size):
+            found.append((first, end))
+        first, size, letters_only = None, 0, True
+
+    for (start, stop, piece), n in zip(pieces, counts, strict=True):
+        if len(piece) < SHORT or piece.isdigit():
+            continue
+        if len(piece) / n >= RATIO or start in known:
+            close()
+            continue
+        first = start if first is None else first
+        end, size = stop, size + len(piece)
+        letters_only = letters_only and piece.isalpha()
+    close()
+    return found
 
 
 def random_spans(text: str, encoding: tiktoken.Encoding, taken: list[Span]) -> list[Span]:
-    """Runs with few characters per token, outside the spans already taken."""
+    """Runs and parts of runs with few characters per token, outside the spans already taken."""
     if _longest(text) < RUN:
         return []
+
+    def tokens(part: str) -> int:
+        return len(encoding.encode_ordinary(part))
+
     found = []
     for m in _RUNS.finditer(text):
-        run = m.group()
-        if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)) or is_known(run):
-            continue
-        if any(start < m.end() and m.start() < end for _, start, end in taken):
-            continue
-        if len(run) / len(encoding.encode_ordinary(run)) < RATIO:
-            found.append((RANDOM, m.start(), m.end()))
+        for start, end in random_stretches(m.group(), tokens):
+            start, end = start + m.start(), end + m.start()
+            if not any(a < end and start < b for _, a, b in taken):
+                found.append((RANDOM, start, end))
     return found
 
 

@@ -6,11 +6,13 @@ import datetime as dt
 import hashlib
 import random
 import re
+import string
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pytest
+import tiktoken
 import xxhash
 from pyspark.sql import functions as F
 
@@ -220,6 +222,48 @@ def test_secret_spans(spark):
     assert random_ones[8] == [("random", 4, 26)]
 
 
+@pytest.fixture(scope="module")
+def vocabulary():
+    return tiktoken.Encoding(
+        "vocabulary", pat_str=secrets.PATTERN, mergeable_ranks=secrets.read_ranks(), special_tokens={}
+    )
+
+
+@pytest.mark.parametrize("before", ["", "authorization=", "/services/webhooks/incoming/"])
+@pytest.mark.parametrize("kind", ["mixed", "letters", "short"])
+def test_random_strings_are_found_alone_and_behind_words(vocabulary, before, kind):
+    rng = random.Random(8)
+    letters = string.ascii_letters if kind == "letters" else string.ascii_letters + string.digits
+    size = 18 if kind == "short" else 20
+    found = 0
+    for _ in range(200):
+        key = "".join(rng.choices(letters, k=size))
+        text = f"see {before}{key} there"
+        spans = secrets.secret_spans(text, vocabulary)
+        found += any(k == "random" and key in text[a:b] for k, a, b in spans)
+    assert found >= 190
+
+
+def test_a_random_string_behind_words_is_reported_alone(vocabulary):
+    text = "at /services/webhooks/incoming/notifications/production/q7Zx9LmT2vWb8RkD4sHy1N/status"
+    (kind, start, end), = secrets.secret_spans(text, vocabulary)
+    assert (kind, text[start:end]) == ("random", "q7Zx9LmT2vWb8RkD4sHy1N")
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "/2024/01/02/report-final-v-2/getElementsByTagName",
+        "BINARY_OP_ADD_FLOAT internationalization",
+        "/api/v1/items/123e4567-e89b-12d3-a456-426614174000",
+        "/downloads/" + "AB" * 20,
+        "4086777956532909-1234567890123",
+    ],
+)
+def test_names_and_digests_are_no_secrets(vocabulary, text):
+    assert secrets.secret_spans(text, vocabulary) == []
+
+
 def test_op2_columns(spark):
     got = {r["doc_id"]: r for r in QUERIES["op2_secrets"](spark, SF_DIR).collect()}
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
