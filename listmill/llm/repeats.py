@@ -13,10 +13,10 @@ A task keeps each super-k-mer of a piece of its input only once, with its earlie
 place; later places are repeats already. What goes to one bucket is compressed
 together. Buckets are as many as keep one at about ``BUCKET_BYTES`` of text.
 
-Minimisers with a share of ``1 / HOT_SHARE`` or more of all super-k-mers, at most
-``HOT_SHARE`` of them, are counted first. Their windows travel one by one and are dealt out by
-their own words, so text around a passage that everybody quotes does not gather in
-one bucket.
+Minimisers with ``HOT_LEAST`` windows or more, and none with less than half of that, are
+counted first: in text of a short period one super-k-mer has as many windows as the text.
+Their windows travel one by one and are dealt out by their own words, so neither text around
+a passage that everybody quotes nor a line repeated in succession gathers in one bucket.
 
 Defined cases: null and empty texts have no words; windows do not cross documents; a
 text shorter than a window repeats nothing; rows with equal id and text are one
@@ -46,9 +46,10 @@ BUCKET_BYTES = 2 << 20
 # Bytes of text that a task packs at once, and the level it compresses with.
 PIECE_BYTES = 4 << 20
 LEVEL = 3
-HOT_SHARE = 4096
-# A minimiser with fewer super-k-mers fits any bucket.
-HOT_LEAST = 1 << 14
+# A minimiser with fewer windows fits any bucket; comparing takes some 100 bytes a window.
+HOT_LEAST = 1 << 19
+# Super-k-mers that a task has as Python objects at once.
+SLICE = 1 << 16
 
 _NULL_ID = -(1 << 63)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -141,35 +142,36 @@ class _Piece:
         return np.repeat(first, times) + nth, np.where(single, 1, np.repeat(count, times))
 
 
-def _hot_minimisers(rows: DataFrame, window: int) -> np.ndarray:
-    """Minimisers with a share of at least ``1 / HOT_SHARE``.
+def _text_bytes(rows: DataFrame) -> int:
+    return rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
 
-    A piece reports those with half that share in it. What it leaves out adds up to
-    less than half of the share, so half of it is enough to count.
+
+def _hot_minimisers(rows: DataFrame, window: int, size: int | None = None) -> np.ndarray:
+    """Minimisers with ``HOT_LEAST`` windows; ``size`` is the bytes of all texts.
+
+    A piece reports those with its share of half that many windows. What it leaves out
+    adds up to less than half, so half is enough to count.
     """
+    size = max(_text_bytes(rows) if size is None else size, 1)
+    most = HOT_LEAST / 2
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "_text"):
-            piece = _Piece(batch.column(2).cast(pa.binary()).to_pylist(), window)
-            first, _ = piece.runs()
-            found, n = np.unique(piece.minimiser[first], return_counts=True)
-            heavy = n * 2 * HOT_SHARE >= len(first)
+            texts = batch.column(2).cast(pa.binary())
+            own = pc.sum(pc.binary_length(texts)).as_py() or 0
+            piece = _Piece(texts.to_pylist(), window)
+            first, count = piece.runs()
+            found, which = np.unique(piece.minimiser[first], return_inverse=True)
+            n = np.bincount(which, count, len(found)).astype(np.int64)
+            heavy = n >= most * own / size
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.append(found[heavy].view(np.int64), 0)),
-                    pa.array(np.append(n[heavy], 0)),
-                    pa.array(np.append(np.zeros(heavy.sum(), np.int64), len(first))),
-                ],
-                ["minimiser", "n", "total"],
+                [pa.array(found[heavy].view(np.int64)), pa.array(n[heavy])], ["minimiser", "n"]
             )
 
-    counts = rows.mapInArrow(counted, "minimiser long, n long, total long")
-    sums = counts.groupBy("minimiser").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    # the row of minimiser 0 carries the total of each group it is in
-    every = sums.agg(F.sum("total").alias("total")).first()["total"] or 0
-    least = max(HOT_LEAST, every // (2 * HOT_SHARE))
-    # at most 2 * HOT_SHARE rows
-    hot = sums.where(F.col("n") > least).select("minimiser").collect()
+    counts = rows.mapInArrow(counted, "minimiser long, n long")
+    sums = counts.groupBy("minimiser").agg(F.sum("n").alias("n"))
+    # at most a row per HOT_LEAST / 2 windows of the table
+    hot = sums.where(F.col("n") >= most).select("minimiser").collect()
     return np.array([r["minimiser"] for r in hot], np.int64).view(np.uint64)
 
 
@@ -195,47 +197,63 @@ def _packer(window: int, buckets: int, hot: list[int]):
             ids = pc.fill_null(batch.column(0), _NULL_ID).to_pylist()
             hashes = batch.column(1).to_pylist()
             first, count = piece.split(hot_set)
-            word = piece.at[first]
-            rows = piece.row[first].tolist()
-            places = piece.place[first].tolist()
-            starts = piece.starts[word].tolist()
-            ends = piece.ends[word + count + window - 2].tolist()
+            columns = rows = None
             minimisers = piece.minimiser[first]
-            own = np.isin(minimisers, hot_set).tolist() if len(hot_set) else [False] * len(first)
-            by_minimiser = (_scrambled(minimisers) % np.uint64(buckets)).tolist()
             text = piece.text
             seen: dict[bytes, tuple] = {}
-            repeats = []
-            for i, n in enumerate(count.tolist()):
-                string = text[starts[i] : ends[i]]
-                here = (ids[rows[i]], hashes[rows[i]], places[i], n, i)
-                other = seen.get(string)
-                if other is None:
-                    seen[string] = here
-                elif here[:3] < other[:3]:
-                    seen[string] = here
-                    repeats.append(other)
-                elif here[:3] > other[:3]:
-                    repeats.append(here)
+            repeats: list[list[int]] = []
+
+            def repeat(entry: tuple, repeats=repeats) -> None:
+                """Windows side by side become one run."""
+                last = repeats[-1] if repeats else None
+                if last and last[0] == entry[0] and last[1] == entry[1] and last[2] + last[3] == entry[2]:
+                    last[3] += entry[3]
+                else:
+                    repeats.append(list(entry[:4]))
+
+            for at in range(0, len(first), SLICE):
+                part, n = first[at : at + SLICE], count[at : at + SLICE]
+                word = piece.at[part]
+                columns = (
+                    piece.row[part],
+                    piece.place[part],
+                    n,
+                    piece.starts[word],
+                    piece.ends[word + n + window - 2],
+                )
+                rows = zip(*(c.tolist() for c in columns), strict=True)
+                for i, (row, place, n, start, end) in enumerate(rows, at):
+                    string = text[start:end]
+                    here = (ids[row], hashes[row], place, n, i)
+                    other = seen.get(string)
+                    if other is None:
+                        seen[string] = here
+                    elif here[:3] < other[:3]:
+                        seen[string] = here
+                        repeat(other)
+                    elif here[:3] > other[:3]:
+                        repeat(here)
             parts = defaultdict(list)
-            for string, entry in seen.items():
-                i = entry[4]
-                bucket = digest(string) % buckets if own[i] else by_minimiser[i]
+            kept = np.fromiter((entry[4] for entry in seen.values()), np.int64, len(seen))
+            own = np.isin(minimisers[kept], hot_set).tolist()
+            by_minimiser = (_scrambled(minimisers[kept]) % np.uint64(buckets)).tolist()
+            for (string, entry), alone, bucket in zip(seen.items(), own, by_minimiser, strict=True):
+                bucket = digest(string) % buckets if alone else bucket
                 parts[bucket].append((*entry[:4], string))
             out, blobs = [], []
             for bucket, entries in parts.items():
                 out.append(bucket)
                 blobs.append(_pack(compress, *zip(*entries, strict=True)))
             for at in range(0, len(repeats), 4096):
-                entries = [(*entry[:4], b"") for entry in repeats[at : at + 4096]]
+                entries = [(*entry, b"") for entry in repeats[at : at + 4096]]
                 blob = _pack(compress, *zip(*entries, strict=True))
                 out.append(-1 - digest(blob) % buckets)
                 blobs.append(blob)
-            columns = [pa.array(out, pa.int64()), pa.array(blobs, pa.binary())]
+            arrays = [pa.array(out, pa.int64()), pa.array(blobs, pa.binary())]
             # a worker keeps nothing of a piece while it waits for the next
-            del piece, seen, parts, repeats, first, count, rows, places, starts, ends, text, out, blobs
-            yield pa.RecordBatch.from_arrays(columns, ["bucket", "packed"])
-            del columns
+            del piece, seen, parts, repeats, repeat, first, count, columns, rows, kept, text, out, blobs
+            yield pa.RecordBatch.from_arrays(arrays, ["bucket", "packed"])
+            del arrays
             pa.default_memory_pool().release_unused()
 
     return packed
@@ -339,9 +357,9 @@ def _rows(documents: DataFrame) -> DataFrame:
 
 def repeats(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """(id, h, place, windows): runs of windows whose words also start earlier."""
-    size = rows.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
+    size = _text_bytes(rows)
     buckets = -(-size // BUCKET_BYTES) or 1
-    hot = _hot_minimisers(rows, window)
+    hot = _hot_minimisers(rows, window, size)
     packed = rows.mapInArrow(_packer(window, buckets, hot.tolist()), "bucket long, packed binary")
     sorted_ = packed.repartition("bucket").sortWithinPartitions("bucket")
     return sorted_.mapInArrow(_unpacker(window), "id long, h long, place long, windows long")

@@ -11,9 +11,11 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
+import zstandard as zstd
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -390,6 +392,29 @@ def test_repeats_around_a_hot_passage(spark, monkeypatch):
     assert rows_of(repeats.without_repeats(docs)) == want
 
 
+def test_long_stretches_of_one_line_are_dealt_out(spark, monkeypatch):
+    """One super-k-mer has all windows of a stretch; the windows are what counts."""
+    rows = [(i, f"{prose(i, 25)} {'- ' * (300 + 11 * i)} {prose(500 + i, 25)}", "a") for i in range(20)]
+    rows += [(100 + i, f"{prose(i, 9)} {'one short line ' * (200 + i)}", "a") for i in range(20)]
+    docs = document_frame(spark, rows)
+    monkeypatch.setattr(repeats, "HOT_LEAST", 4000)
+    hot = repeats._hot_minimisers(repeats._rows(docs), 20)
+    assert len(hot) == 2
+    assert rows_of(repeats.without_repeats(docs)) == sorted(brute_repeats(rows), key=repr)
+    ids, texts, _ = zip(*rows, strict=True)
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array([0] * len(ids), pa.int64()), pa.array(texts)], ["id", "h", "_text"]
+    )
+    (out,) = repeats._packer(20, 4, hot.tolist())(iter([batch]))
+    compared = known = 0
+    for bucket, packed in zip(*(c.to_pylist() for c in out.columns), strict=True):
+        entries, _ = repeats._unpack(zstd.ZstdDecompressor().decompress(packed))
+        compared += entries[3].sum() if bucket >= 0 else 0
+        known += entries.shape[1] if bucket < 0 else 0
+    # of some 20,000 windows, those at the stretches' ends and one of each kind within them
+    assert compared < 3000 and known < 200
+
+
 def test_repeats_of_equal_hashes_are_compared(monkeypatch):
     monkeypatch.setattr(repeats, "_scrambled", lambda x: x * np.uint64(0))
     strings = [b"a b c", b"a b d", b"a b c"]
