@@ -4,7 +4,7 @@ Trees see lexical features of a URL only: lengths, depth, share of digits, entro
 characters, numbers of parameters, hyphens and host labels, and statistics of its
 host's suffix over all URLs (how many there are, their mean length, depth and share of digits).
 They are trained from labelled URLs, by default those that a rule judges, at most
-``TRAIN_ROWS`` of them, drawn by a hash of the URL. Without labels of both kinds there is no
+``TRAIN_ROWS`` different ones of them, drawn by a hash of the URL. Without labels of both kinds there is no
 model and the verdict is that of the labels there are, or allow.
 
 Everything is built-in expressions and Spark's own trees.
@@ -131,7 +131,9 @@ def train(labelled: DataFrame, most: int = TRAIN_ROWS) -> GBTClassificationModel
     """Trees from rows with the features, ``url`` and ``verdict``, or the only verdict there is."""
     order = F.xxhash64(F.lit(SEED), F.col("url"))
     sample = labelled.select("url", *FEATURES, (F.col("verdict") == BLOCK).cast("double").alias("label"))
-    sample = stored(sample.orderBy(order, "url").limit(most), "url-sample")
+    # rows of one URL are alike but for given labels: each label counts once
+    sample = sample.dropDuplicates(["url", "label"])
+    sample = stored(sample.orderBy(order, "url", "label").limit(most), "url-sample")
     kinds = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(kinds) < 2:
         return BLOCK if 1.0 in kinds else ALLOW

@@ -538,6 +538,17 @@ def test_url_trees_generalise(spark):
     assert wrong <= 10
 
 
+def test_a_hot_url_does_not_fill_the_sample(spark):
+    urls = [f"http://h{i}.org/p/{i}" if i % 2 else f"http://h{i}.com/de/{i}" for i in range(40)]
+    # the URL that comes first in the sample has a third of the rows and more
+    frame = page_frame(spark, [(i, u, None) for i, u in enumerate(urls)])
+    order = F.xxhash64(F.lit(url_filter.SEED), F.col("url"))
+    hot = frame.orderBy(order, "url").first()["url"]
+    pages = page_frame(spark, [(i, u, None) for i, u in enumerate([*urls, *[hot] * 30])])
+    rows = url_filter.with_suffixes(url_filter.lexical(pages)).withColumn("verdict", F.col("best.verdict"))
+    assert not isinstance(url_filter.train(rows, 20), str)
+
+
 def test_urls_of_nothing(spark):
     assert url_filter.judge(page_frame(spark, [])).count() == 0
 
