@@ -103,6 +103,8 @@ def _build(trees: int, bits: int):
 
 def build_index(vectors: DataFrame, trees: int = TREES, bits: int = BITS) -> DataFrame:
     """The stored forest: a row per block of the usable vectors."""
+    # h follows from id and vector, so a row that repeats neither gathers nor counts
+    vectors = vectors.dropDuplicates(["vec_id", "h"])
     counts = vectors.groupBy(F.col("dim").alias("d")).agg(F.count(F.lit(1)).alias("n"))
     # a row per vector length
     blocks = stored(counts.select("d", F.ceil(F.col("n") / BLOCK).alias("blocks")), "blocks")

@@ -609,6 +609,30 @@ def test_neighbours_recall(spark):
     assert hits >= 0.9 * 180
 
 
+def test_a_repeated_vector_is_dealt_out_once(spark, monkeypatch):
+    """One row that is a third of the table neither fills a block nor makes more of them."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(200)] + [(7, [1.0] * 8)] * 100
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    monkeypatch.setattr(neighbours, "BLOCK", 101)
+    sizes = spark.sparkContext.accumulator(0)
+    build = neighbours._build
+
+    def counting(trees, bits):
+        built = build(trees, bits)
+
+        def counted(group):
+            sizes.add(group.num_rows)
+            return built(group)
+
+        return counted
+
+    monkeypatch.setattr(neighbours, "_build", counting)
+    index = neighbours.build_index(neighbours.usable(frame))
+    assert index.count() == 2
+    assert sizes.value == 201
+
+
 def test_neighbours_of_nothing(spark):
     vectors = neighbours.usable(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert neighbours.nearest_neighbours(vectors, vectors).count() == 0
