@@ -40,7 +40,7 @@ from listmill.llm.tokens import WordIds, byte_letters, filled, load, read_file,
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 # SentencePiece writes a space so.
 _SPACE = "▁"
@@ -261,6 +261,9 @@ def _pieces(rows: DataFrame, byte_level: str, pieces: str, digest: bool) -> Data
                 ["piece", "documents", "a", "b", "n", "uses"],
             )
             piece += 1
+            # a worker keeps nothing of a piece while it waits for the next
+            del columns, distinct, n, uses, documents
+            pa.default_memory_pool().release_unused()
 
     return rows.mapInArrow(aligned, _PIECE)
 

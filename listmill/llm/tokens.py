@@ -7,6 +7,7 @@ ids that it gives for the whole text. Words repeat, so most of them are looked u
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -15,7 +16,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-IDS = pa.list_(pa.int32())
+# Words that are encoded at once.
+SLICE = 1 << 14
 
 # Words that both byte-level vocabularies cut in the same simple way: letters up to U+00FF,
 # then punctuation without an apostrophe. All others take the tokenizer's own way.
@@ -90,7 +92,8 @@ class WordIds:
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 18):
         self.encode, self.limit = encode, limit
-        self.known: dict[str, list[int]] = {}
+        # ids as the bytes of 32-bit integers, which take a third of a list
+        self.known: dict[str, bytes] = {}
 
     def of_words(self, words: pa.Array) -> pa.ListArray:
         """A list of ids for every word."""
@@ -101,8 +104,14 @@ class WordIds:
         if len(known) + len(new) > self.limit:
             known.clear()
             new = own
-        known.update(zip(new, self.encode(new), strict=True))
-        return pa.array([known[w] for w in own], IDS).take(distinct.indices)
+        for at in range(0, len(new), SLICE):
+            part = new[at : at + SLICE]
+            known.update((w, array("i", i).tobytes()) for w, i in zip(part, self.encode(part), strict=True))
+        found = [known[w] for w in own]
+        ends = np.zeros(len(found) + 1, np.int32)
+        np.cumsum([len(i) // 4 for i in found], out=ends[1:])
+        ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
+        return pa.ListArray.from_arrays(pa.array(ends), ids).take(distinct.indices)
 
     def of_texts(self, words: pa.ListArray) -> pa.ListArray:
         """A list of ids for every list of words."""
