@@ -12,8 +12,9 @@ affects the grams that contain it, and grams behind it that a gram reaching over
 edit, of ``LONGEST`` characters at most, may cover. The largest number of them over all places
 is the word's bound: near words share all grams but that many. Merging their lists therefore may begin with
 the ``bound + 1`` rarest grams of each word, the short lists; near words meet in one of
-them, as far from the start (a gram before the edit) or from the end (behind it), and with a
-length that differs by one at most. Pairs that meet are verified by their edit distance
+them. The gram is before the edit or behind it, so near words also have in common all that is before the
+gram, or all behind it, and their lengths differ by one at most: lists are kept by
+the gram together with that, and by length. Pairs that meet are verified by their edit distance
 inside the join, which AQE splits where a list is long.
 
 Defined cases: null and empty texts have no words; a null ``doc_id`` is written as
@@ -42,7 +43,7 @@ DAMAGED = 97
 
 SHORTEST, LONGEST = 2, 4
 PAD = 2
-SHARE = 1 / 1024
+SHARE = 1 / 8192
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _START, _END = "\x01", "\x02"
@@ -116,32 +117,35 @@ def affected(grams: list[tuple[int, str]], length: int) -> int:
 
 
 def _indexer(dictionary):
-    """(word, n) -> the lists that the word is in: its rarest grams and their places."""
+    """(word, n) -> the lists that the word is in: its rarest grams with what is on one side."""
 
     def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams_of = dictionary.value
         for batch in batches:
-            rows, grams, places, sizes = [], [], [], []
+            rows, keys, sizes = [], [], []
             for row, word in enumerate(batch.column(0).to_pylist()):
                 found = decompose(word, grams_of)
                 most = affected(found, len(word)) + 1
                 found.sort(key=lambda g: (grams_of[g[1]][0], g[1], g[0]))
-                whole = len(word) + 2 * PAD
+                padded = _START * PAD + word + _END * PAD
                 for place, gram in found[:most]:
-                    grams += (gram, gram)
-                    places += (place, place - whole)
-                    rows += (row, row)
-                    sizes += (len(word), len(word))
+                    # an edit can only be inside the word
+                    if place + len(gram) < len(word) + PAD:
+                        keys.append(padded[: place + len(gram)])
+                        rows.append(row)
+                    if place >= PAD:
+                        keys.append(padded[place:])
+                        rows.append(row)
+                sizes += [len(word)] * (len(rows) - len(sizes))
             rows = pa.array(rows, pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(grams, pa.string()),
-                    pa.array(places, pa.int32()),
+                    pa.array(keys, pa.string()),
                     pa.array(sizes, pa.int32()),
                     batch.column(0).take(rows),
                     batch.column(1).take(rows),
                 ],
-                ["gram", "place", "size", "word", "n"],
+                ["list", "size", "word", "n"],
             )
 
     return lists
@@ -150,9 +154,9 @@ def _indexer(dictionary):
 def near_pairs(found: DataFrame) -> DataFrame:
     """(word, n, other, other_n): every two words one edit apart, once."""
     dictionary = found.sparkSession.sparkContext.broadcast(gram_dictionary(found))
-    schema = "gram string, place int, size int, word string, n long"
+    schema = "list string, size int, word string, n long"
     lists = stored(found.mapInArrow(_indexer(dictionary), schema), "gram-lists")
-    key = ["gram", "place", "size"]
+    key = ["list", "size"]
     others = lists.select(*key, F.col("word").alias("other"), F.col("n").alias("other_n"))
     own = lists.withColumnRenamed("size", "own_size").withColumn(
         "size", F.explode(F.array("own_size", F.col("own_size") + 1))
