@@ -160,6 +160,25 @@ LISTS = [
         "</a></li></ul></div>",
         ["/1"],
     ),
+    # a bracket in quotes, no quotes, an attribute that looks like another, references by number
+    (
+        """<div id=result><ul><li><a title="5 > 3" href="/1"></a><li><a href=/2></a><li><a data-x=" href='/bad'" href='/3'>
+        </a><li><a href="/4?a&#38;b&#x26;c&#8211;d&eacute;&nope;&#0;"></a><li><a HREF = '/5' href="/second"></a></ul></div>""",
+        ["/1", "/2", "/3", "/4?a&b&c–dé&nope;�", "/5"],
+    ),
+    # values that are empty, missing or end in a slash, attributes without space between, a lone quote
+    (
+        """<div hidden id="result"><ul><li><a href=></a><a href></a><a href=/1/><i></i></a></li>
+        <li><a class="x"href="/2"></a></li><li><a it's href="/3"></a><a x=y' href="/4"/></li></ul></div>""",
+        ["/1/", "/2", "/3", "/4"],
+    ),
+    # what looks like a comment or a script in quotes, and tags in a script
+    (
+        """<a title="<!--" alt='<script>'></a><script type="a>b">"<div id='result'>"</script>
+        <div id="result"><ul><li><a href="/1" title="-->"></a></li></ul></div><!-- <ul> not ended""",
+        ["/1"],
+    ),
+    ("<div id='result'><ul><li><a href='/1'" + " x" * 20000 + "></a></li></ul></div>", ["/1"]),
     ('<div id="result"><div><ul><li><a href="/deep"></a></li></ul></div></div>', []),
     ('<div id="results"><ul><li><a href="/no"></a></li></ul></div>', []),
     ('<br id="result"><ul><li><a href="/no"></a></li></ul>', []),
@@ -198,6 +217,8 @@ def test_next_page(spark, html, href):
         ("<link rel='prev'><link rel='prev' href='/b'>", "/b"),
         ("<link rel='prev' data-href='/x'>", None),
         ("<a rel='prev' href='/a'>", None),
+        ("<link title='a>b' rel=prev href=/p?a=1&#38;b=2>", "/p?a=1&b=2"),
+        ("<!-- <link rel='prev' href='/c'> --><link data-y=\" rel='prev'\" href='/n'>", None),
         ("", None),
         (None, None),
     ],
