@@ -3,11 +3,13 @@
 A set is a DataFrame of unique rows: pending ``(url)``, visited ``(target, id)``.
 Membership is exact. A set is large and what is looked up in it is mostly small, so
 candidates are stored and measured first; within the broadcast limit they are looked
-up where the set's rows are, and only those found are moved.
+up where the set's rows are, and only those found are moved, which are measured too.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -34,16 +36,18 @@ def _known(members: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     found = join_unique(
         members.select(*keys.columns), broadcast_if_small(keys, size), keys.columns, "left_semi"
     )
-    # the set's rows are unique, so these are no more than the keys
-    return broadcast_if_small(found, size)
+    known, size = stored_keys(found.distinct(), "known")
+    return broadcast_if_small(known, size)
 
 
 def unvisited(candidates: DataFrame, visited: DataFrame, target: str) -> DataFrame:
     """Candidates (any columns, with ``url``) whose id the target has not visited.
 
-    Candidates without a URL are none.
+    Candidates without a URL are none. They are stored with their ids, so that what
+    they are computed from is computed once.
     """
     rows = candidates.where(F.col("url").isNotNull()).withColumn("_id", url_id(F.col("url")))
+    rows = stored(rows, "candidates")
     ids, size = stored_keys(rows.select(F.col("_id").alias("id")).distinct(), "candidates")
     known = _known(visited.where(F.col("target") == target), ids, size)
     return drop_matching(rows, known.withColumnRenamed("id", "_id"), "_id", spread_by=["_id"]).drop("_id")
@@ -71,6 +75,26 @@ def pending_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
     return drop_matching(pending, broadcast_if_small(urls, size), "url", spread_by=["url"])
 
 
+def still_pending(added: DataFrame, removed: DataFrame) -> DataFrame:
+    """The set from a row per time that a URL was added and per time that it was removed.
+
+    A URL is added only while it is not in the set and removed only while it is, so it is
+    there if it was added more often. Few were removed since the tables were last
+    folded, and only their rows are brought together.
+    """
+    times = removed.groupBy("url").agg(F.count(F.lit(1)).alias("_removed"))
+    untouched = drop_matching(added.select("url"), times.select("url"), "url", spread_by=["url"])
+    again = join_unique(added.select("url"), times, "url", "inner", spread_by=["url"])
+    again = again.groupBy("url").agg(F.count(F.lit(1)).alias("_added"), F.max("_removed").alias("_removed"))
+    return untouched.unionByName(again.where("_added > _removed").select("url"))
+
+
+def to_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
+    """Those of the URLs that are in the pending set, each once."""
+    urls, size = stored_keys(done.select("url").dropna().distinct(), "done")
+    return _known(pending, urls, size)
+
+
 def new_visited(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
     """Rows to append to the visited set for URLs that are done."""
     ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
@@ -92,22 +116,36 @@ def sample(pending: DataFrame, n: int = SAMPLE_SIZE, seed: str = "") -> DataFram
     return pending.select("url").orderBy(order, "url").limit(n)
 
 
-def next_round(
+class Round(NamedTuple):
+    """A drawn sample: URLs to fetch, and those that were visited already."""
+
+    to_fetch: DataFrame
+    stale: DataFrame
+
+
+def draw(
     pending: DataFrame, visited: DataFrame, target: str, n: int = SAMPLE_SIZE, seed: str = ""
-) -> tuple[DataFrame, DataFrame]:
-    """Draw a sample; its unvisited URLs are to be fetched, the others leave the pending set.
+) -> Round:
+    """Draw a sample and look it up in the visited set.
 
-    The drawn URLs are looked up once and stored with the answer, at most ``n`` rows,
-    so either result is a scan and, for the pending set, one broadcast join.
+    The drawn URLs are looked up once and stored with the answer, at most ``n`` rows.
     """
     drawn = sample(pending, n, seed).select("url", url_id(F.col("url")).alias("id"))
     ids = visited.where(F.col("target") == target).select("id", F.lit(True).alias("seen"))
-    # at most n drawn rows; a visited id is in the set once
-    hits = ids.join(F.broadcast(drawn.select("id").distinct()), "id", "left_semi")
+    # at most n drawn rows, and as many visited ids
+    hits = ids.join(F.broadcast(drawn.select("id").distinct()), "id", "left_semi").distinct()
     marked = stored(drawn.join(F.broadcast(hits), "id", "left").select("url", "seen"), "round")
-    to_fetch = marked.where(F.col("seen").isNull()).select("url")
-    stale = F.broadcast(marked.where(F.col("seen")).select("url"))
-    return to_fetch, drop_matching(pending, stale, "url", spread_by=["url"])
+    return Round(
+        marked.where(F.col("seen").isNull()).select("url"), marked.where(F.col("seen")).select("url")
+    )
+
+
+def next_round(
+    pending: DataFrame, visited: DataFrame, target: str, n: int = SAMPLE_SIZE, seed: str = ""
+) -> tuple[DataFrame, DataFrame]:
+    """As ``draw``, with the pending set that is left in place of what leaves it."""
+    to_fetch, stale = draw(pending, visited, target, n, seed)
+    return to_fetch, drop_matching(pending, F.broadcast(stale), "url", spread_by=["url"])
 
 
 def fetched_ok(fetches: DataFrame) -> DataFrame:

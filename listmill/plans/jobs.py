@@ -11,23 +11,26 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.functions.embedded import encode_message
+from listmill.functions.links import related_link
 from listmill.operators.bronze import bronze_for_date, to_bronze
 from listmill.operators.frontier import (
+    SAMPLE_SIZE,
+    draw,
     fetched_ok,
-    new_pending,
     new_visited,
-    related_links,
     sitemap_urls,
     unvisited,
 )
 from listmill.operators.offsets import behind, next_offsets, resume
 from listmill.operators.refine import SPECS, RefineSpec, refine
-from listmill.schemas import OFFSETS, PENDING, TARGETS, VISITED
+from listmill.schemas import OFFSETS, TARGETS, VISITED
 from listmill.sources.delta import upsert_delta
 from listmill.sources.log import kafka_options, read_kafka
 from listmill.sources.paths import read_or_empty
+from listmill.sources.pending import add_pending, read_pending, remove_pending
 from listmill.sources.state import commit_offsets, read_offsets
 from listmill.sources.tables import append_bronze, read_bronze, upsert_silver
+from listmill.sources.work import append_counted, stored
 
 
 class LogBehind(ValueError):
@@ -187,13 +190,7 @@ class FetchReport:
     messages: int
     new_pending: int
     new_visited: int
-
-
-def _append_counted(rows: DataFrame, path: str, name: str) -> int:
-    counted = Observation(name)
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-    rows.write.mode("append").parquet(path)
-    return counted.get["rows"]
+    removed: int = 0
 
 
 def record_fetches(
@@ -204,24 +201,39 @@ def record_fetches(
     visited: str,
     target: str,
     rel: str = "prev",
+    drawn_from: str | None = None,
 ) -> FetchReport:
-    """Append what a round of fetches yields to three append-only tables.
+    """Append what a round of fetches yields to three tables.
 
     ``fetches`` has url, status, source and timestamp. Of those that succeeded, the
     pages go to ``messages`` as log values, the URLs they name as related to ``pending``
-    and their own ids to ``visited``. The ids come last: a run that dies before them is
-    fetched again.
+    and their own ids to ``visited``; their URLs leave the pending set ``drawn_from``, which
+    is ``pending`` itself unless given. The fetches are computed once and stored. The ids come
+    after the pages: a run that dies before them is fetched again. One that dies
+    before the URLs leave has them dropped by the next ``draw_round``.
     """
     _require(messages=messages, pending=pending, visited=visited, target=target)
-    ok = fetched_ok(fetches)
     value = encode_message(F.col("url"), F.col("source"), F.col("timestamp"))
-    stored = _append_counted(ok.select(value.alias("value")), messages, "messages")
-    related = related_links(ok.select(F.col("source").alias("html")), rel)
-    known = read_or_empty(spark, pending, PENDING)
-    added = _append_counted(new_pending(known, related), pending, "pending")
+    related = related_link(F.col("source"), rel)
+    ok = fetched_ok(fetches).select("url", value.alias("value"), related.alias("related"))
+    ok = stored(ok, "fetched")
+    written = append_counted(ok.select("value"), messages)
+    added = add_pending(spark, pending, ok.select(F.col("related").alias("url")))
     seen = read_or_empty(spark, visited, VISITED)
-    marked = _append_counted(new_visited(seen, ok, target), visited, "visited")
-    return FetchReport(stored, added, marked)
+    marked = append_counted(new_visited(seen, ok, target), visited)
+    removed = remove_pending(spark, drawn_from or pending, ok.select("url"))
+    return FetchReport(written, added, marked, removed)
+
+
+def draw_round(
+    spark: SparkSession, pending: str, visited: str, target: str, n: int = SAMPLE_SIZE, seed: str = ""
+) -> DataFrame:
+    """URLs to fetch, from a sample of the stored pending set; those visited already leave it."""
+    drawn = draw(
+        read_pending(spark, pending), read_or_empty(spark, visited, VISITED), target, n, seed
+    )
+    remove_pending(spark, pending, drawn.stale)
+    return drawn.to_fetch
 
 
 def sitemap_round(documents: DataFrame, visited: DataFrame, target: str) -> DataFrame:

@@ -211,12 +211,14 @@ ORACLE = {
         GROUP BY for_date""",
     "daily_run": _upserted("forsale"),
     "daily_run_sold": _upserted("sold"),
+    "stream_refine": _upserted("forsale"),
     "frontier_unvisited": f"""
         SELECT {LINE_URL} AS url, l_linenumber, l_shipdate FROM lineitem
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')""",
     "frontier_commit": f"""
         SELECT 'pending' AS part, {ORDER_URL} AS item FROM orders WHERE o_orderstatus <> 'F'
-        UNION ALL SELECT 'visited', CAST(o_orderkey AS VARCHAR) FROM orders""",
+        UNION ALL SELECT 'visited', CAST(o_orderkey AS VARCHAR) FROM orders
+        UNION ALL SELECT 'visited', CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderstatus = 'F'""",
     "pending_add": f"SELECT {ORDER_URL} AS url FROM orders UNION SELECT {LINE_URL} FROM lineitem",
     "frontier_sample": SAMPLED % "1:",
     "frontier_round": f"""
@@ -230,7 +232,7 @@ ORACLE = {
     "link_extract_scoped": """
         SELECT page_id, unnest(list_append(regexp_extract_all(
             regexp_extract(html, '(?s)<nav>(.*?)</nav>', 1), 'href="([^"]+)"', 1),
-            concat('/second-', page_id))) AS link
+            concat('/second-', page_id)) || ['/bracket', '/plain', '/good', '/r?a&b&c']) AS link
         FROM pages""",
     "link_extract_sold": """
         SELECT page_id, unnest([concat('https://www.example.org/salda/villa-', page_id), concat(
@@ -249,7 +251,9 @@ ORACLE = {
                 {FETCH_STATUS} < 300 AS ok
             FROM pages)
         SELECT 'message' AS part, url AS item FROM p WHERE ok
-        UNION ALL SELECT DISTINCT 'pending', related FROM p WHERE ok OR page_id % 3 = 0
+        UNION ALL SELECT DISTINCT 'pending', u FROM (
+            SELECT related AS u FROM p WHERE ok OR page_id % 3 = 0 UNION SELECT url FROM p WHERE page_id % 2 = 0)
+        WHERE u NOT IN (SELECT url FROM p WHERE ok)
         UNION ALL SELECT DISTINCT 'visited', id FROM p WHERE ok OR page_id % 4 = 0""",
     "fetch_ok": """
         SELECT event_id, CAST(CASE event_type WHEN 'view' THEN 299 ELSE 200 END AS INT) AS status FROM events

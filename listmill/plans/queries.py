@@ -47,6 +47,8 @@ from listmill.plans.jobs import ReplayTopic, ingest, refine_date, run_daily
 from listmill.schemas import OFFSETS
 from listmill.session import work_dir
 from listmill.sources.log import read_replay
+from listmill.sources.paths import remove_path
+from listmill.sources.pending import add_pending, read_pending
 from listmill.sources.state import commit_offsets, read_offsets, reset_offsets
 from listmill.sources.tables import (
     append_bronze,
@@ -56,6 +58,7 @@ from listmill.sources.tables import (
     upsert_silver,
 )
 from listmill.streaming.ingest import ingest_stream
+from listmill.streaming.refine import refine_stream
 
 # Records up to here count as read in the offset queries.
 READ_UNTIL = dt.date(2024, 1, 2)
@@ -387,6 +390,20 @@ def _daily(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     return flat(read_silver(spark, f"{folder}/silver"))
 
 
+def stream_refine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The silver table of a stream over two days of bronze, whose last batch is run twice."""
+    folder = work_dir(spark, "stream-refine")
+    rows, silver, checkpoint = (f"{folder}/{n}" for n in ("bronze", "silver", "checkpoint"))
+    log = derived.listing_log(spark, sf_dir, "forsale")
+    for day in (DAY_1, DAY_2):
+        part = to_bronze(log, derived.arrival_day()).where(F.col("ingestion_date") == day)
+        append_bronze(part, rows)
+        refine_stream(spark, rows, silver, checkpoint, FORSALE)
+    remove_path(spark, f"{checkpoint}/commits/1")
+    refine_stream(spark, rows, silver, checkpoint, FORSALE)
+    return flat(read_silver(spark, silver))
+
+
 # --- URL bookkeeping ----------------------------------------------------------------------
 
 
@@ -413,9 +430,10 @@ def frontier_unvisited(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def frontier_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both sets after finished orders were fetched for the other target too."""
     pending = derived.order_urls(spark, sf_dir).select("url")
     done = _done(spark, sf_dir)
-    visited = _visited(spark, sf_dir).where("target = 'forsale'")
+    visited = _visited(spark, sf_dir)
     return _labelled(
         ("pending", frontier.pending_remove(pending, done)),
         ("visited", frontier.visited_add(visited, done, "forsale")),
@@ -443,14 +461,20 @@ def link_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def link_extract_scoped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Links of the list in one element, which gets a second list; others are all around."""
+    """Links of the list in one element, which gets a second list; others are all around.
+
+    The second list has values without quotes, a bracket in quotes, an attribute whose value
+    looks like another and references by number.
+    """
     before = '''<a href="/before">b</a><ul><li><a href="/other">o</a></li></ul>
-        <nav class="list" id="result"><h2>Hits <a href="/heading">h</a></h2>'''
+        <nav class="list" id=result><h2>Hits <a href="/heading">h</a></h2>'''
     after = F.concat(
         F.lit("<ul><li><img src='/i.png'><a class='x' href='/second-"),
         F.col("page_id"),
         F.lit(
             '''\'>s</a><ul><li><a href="/nested">n</a></li></ul></li>
+            <li><a title="5 > 3" href="/bracket">b</a></li><li><a href=/plain>p</a></li>
+            <li><a data-x=" href='/bad'" href="/good">g</a></li><li><a href="/r?a&#38;b&#x26;c">r</a></li>
             <li><p><a href="/deep">d</a></p></li></ul></nav><ul><li><a href="/after">a</a></li></ul>'''
         ),
     )
@@ -509,7 +533,10 @@ def sitemap_round(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetch_round(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The three tables after the pages were fetched; a part failed, some is known already."""
+    """The three tables after the pages were fetched; a part failed, some is known already.
+
+    Half of the pages were pending; those that did not fail are no more.
+    """
     folder = work_dir(spark, "fetches")
     pages = table(spark, sf_dir, "pages")
     link = F.concat(F.lit("<link rel='prev' href='"), F.expr(RELATED), F.lit("'>"), F.col("html"))
@@ -519,13 +546,15 @@ def fetch_round(spark: SparkSession, sf_dir: str) -> DataFrame:
         link.alias("source"),
         F.col("page_id").cast("double").alias("timestamp"),
     )
-    known = pages.where("page_id % 3 = 0").select(F.expr(RELATED).alias("url")).distinct()
-    known.write.parquet(f"{folder}/pending")
+    known = pages.where("page_id % 3 = 0").select(F.expr(RELATED).alias("url"))
+    known = known.unionByName(pages.where("page_id % 2 = 0").select("url"))
+    add_pending(spark, f"{folder}/pending", known)
     seen = pages.where("page_id % 4 = 0").select(url_id(F.col("url")).alias("id")).distinct()
     seen.select(F.lit("sold").alias("target"), "id").write.parquet(f"{folder}/visited")
     names = ("messages", "pending", "visited")
     jobs.record_fetches(spark, fetches, *[f"{folder}/{n}" for n in names], "sold")
-    messages, pending, visited = (spark.read.parquet(f"{folder}/{n}") for n in names)
+    messages, visited = (spark.read.parquet(f"{folder}/{n}") for n in ("messages", "visited"))
+    pending = read_pending(spark, f"{folder}/pending")
     url = parse_message(F.col("value"))["url"]
     return (
         messages.select(F.lit("message").alias("part"), url.alias("item"))
@@ -589,6 +618,7 @@ QUERIES = _NAMED | {
         run_metrics,
         daily_run,
         daily_run_sold,
+        stream_refine,
         frontier_unvisited,
         frontier_commit,
         pending_add,

@@ -4,7 +4,7 @@ Bronze is append-only. Silver is updated in place of MERGE by writing new
 directories for the dates a batch touches:
 
     <table>/rows/version=<n>/ingestion_date=<d>/...   written once, never changed
-    <table>/dates/...                                 (version, ingestion_date, held_in)
+    <table>/dates/...                                 (version, ingestion_date, held_in, stream, batch)
     <table>/columns/...                               names and types, written with the first rows
     <table>/work/...                                  of a running update, removed at its end
 
@@ -12,7 +12,9 @@ directories for the dates a batch touches:
 version counts, and a null ``held_in`` means that the date has no rows any more.
 Adding a run's entries, one file, is the last step of an update. Until then
 readers see the old rows, and what a failed run wrote is never named. Dates that
-a batch does not touch are neither read nor rewritten.
+a batch does not touch are neither read nor rewritten. The entries of a stream's micro-batch
+also name the stream and the batch, so a batch is known to be stored as soon as its rows are
+there, and is not stored again.
 
 One writer per table at a time. A version directory that ``dates`` no longer
 names may be deleted once no reader of that time is left.
@@ -37,7 +39,7 @@ from listmill.sources.paths import folder_names, path_exists, read_or_empty, rem
 # Where Spark's file sink lists the files of a stream's table.
 STREAM_LOG = "_spark_metadata"
 
-_DATES = "version long, ingestion_date date, held_in long"
+_DATES = "version long, ingestion_date date, held_in long, stream string, batch long"
 
 
 class ConflictingKeys(ValueError):
@@ -128,12 +130,26 @@ def _write(rows: DataFrame, path: str, version: int, mode: str) -> None:
     rows.write.partitionBy(DATE).mode(mode).parquet(f"{path}/rows/version={version}")
 
 
-def _commit(spark: SparkSession, path: str, version: int, touched: set[dt.date]) -> None:
+def _is_stored(spark: SparkSession, path: str, stream: str, batch: int) -> bool:
+    later = (F.col("stream") == stream) & (F.col("batch") >= batch)
+    return not _entries(spark, path).where(later).isEmpty()
+
+
+def _commit(
+    spark: SparkSession,
+    path: str,
+    version: int,
+    touched: set[dt.date],
+    batch_of: tuple[str, int] | None,
+) -> None:
     """Make the written version current for the dates in it and the dates it replaces."""
     written = _dates_in(spark, f"{path}/rows/version={version}")
     if not touched | written:
         return
-    entries = [(version, d, version if d in written else None) for d in sorted(touched | written)]
+    stream = batch_of or (None, None)
+    entries = [
+        (version, d, version if d in written else None, *stream) for d in sorted(touched | written)
+    ]
     frame = spark.createDataFrame(entries, _DATES).coalesce(1)
     frame.write.mode("append").parquet(f"{path}/dates")
 
@@ -145,15 +161,23 @@ def _dates_in(spark: SparkSession, rows: str) -> set[dt.date]:
 
 
 def upsert_silver(
-    spark: SparkSession, path: str, batch: DataFrame, key: str, only_newer: bool = False
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: str,
+    only_newer: bool = False,
+    batch_of: tuple[str, int] | None = None,
 ) -> int:
     """Create the table from the batch, or merge the batch into it by ``key``.
 
     The first batch is stored as it is, without a check for repeated keys. Later
     ones follow ``operators.merge``; ``ConflictingKeys`` is raised before the table
     changes, and ``SchemaMismatch`` before anything is written. The batch is evaluated
-    once; the result is the number of its rows.
+    once; the result is the number of its rows. ``batch_of`` names a stream and the batch's
+    number in it; a batch that is stored already is left out, with 0 as result.
     """
+    if batch_of is not None and _is_stored(spark, path, *batch_of):
+        return 0
     version, held = _held(spark, path)
     if version:
         _check_schema(spark, path, batch.schema)
@@ -168,7 +192,7 @@ def upsert_silver(
         if rows:
             columns = spark.createDataFrame([(batch.schema.json(),)], "columns string")
             columns.coalesce(1).write.mode("overwrite").parquet(f"{path}/columns")
-            _commit(spark, path, new, set())
+            _commit(spark, path, new, set(), batch_of)
         return rows
 
     work = f"{path}/work/{uuid.uuid4().hex}"
@@ -178,7 +202,7 @@ def upsert_silver(
         touched = _merge(
             spark, path, held, new, work, batch.schema, key, only_newer, sizes["key_bytes"]
         )
-        _commit(spark, path, new, touched)
+        _commit(spark, path, new, touched, batch_of)
         return sizes["rows"]
     finally:
         remove_path(spark, work)

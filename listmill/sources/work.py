@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from listmill.operators.joins import key_bytes
 from listmill.session import work_dir
@@ -20,3 +21,10 @@ def stored_keys(keys: DataFrame, purpose: str) -> tuple[DataFrame, int]:
     measured = Observation(purpose)
     table = stored(keys.observe(measured, key_bytes(*keys.columns).alias("bytes")), purpose)
     return table, measured.get["bytes"]
+
+
+def append_counted(rows: DataFrame, path: str) -> int:
+    """Append to the Parquet table at ``path``; the number of rows is counted by the write."""
+    counted = Observation("rows")
+    rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(path)
+    return counted.get["rows"]

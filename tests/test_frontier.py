@@ -2,6 +2,9 @@ import pytest
 from pyspark.sql import Observation
 
 from listmill.operators import frontier
+from listmill.plans.jobs import draw_round, sitemap_round
+from listmill.sources.paths import remove_path
+from listmill.sources.pending import add_pending, fold_pending, read_pending, remove_pending
 from tests.conftest import final_plan
 
 
@@ -73,6 +76,61 @@ def test_a_round_draws_and_looks_up_once(spark, sets):
         assert "TakeOrdered" not in plan and plan.count("Join") <= 1
 
 
+def test_pending_set_shrinks(spark, folder):
+    path = f"{folder}/pending"
+    assert texts(read_pending(spark, path)) == []
+    assert add_pending(spark, path, urls(spark, "u-1", "u-2", "u-2", None)) == 2
+    assert remove_pending(spark, path, urls(spark, "u-1", "u-1", "u-9", None)) == 1
+    assert remove_pending(spark, path, urls(spark, "u-1")) == 0
+    assert texts(read_pending(spark, path)) == ["u-2"]
+    # added again, removed again, added again
+    assert add_pending(spark, path, urls(spark, "u-1", "u-2")) == 1
+    assert texts(read_pending(spark, path)) == ["u-1", "u-2"]
+    assert remove_pending(spark, path, urls(spark, "u-1")) == 1
+    assert add_pending(spark, path, urls(spark, "u-1", "u-3")) == 2
+    fold_pending(spark, path)
+    assert texts(read_pending(spark, path)) == ["u-1", "u-2", "u-3"]
+    # later steps and foldings build on the folded tables
+    assert remove_pending(spark, path, urls(spark, "u-3")) == 1
+    assert add_pending(spark, path, urls(spark, "u-4", "u-1")) == 1
+    assert texts(read_pending(spark, path)) == ["u-1", "u-2", "u-4"]
+    fold_pending(spark, path)
+    assert texts(spark.read.parquet(f"{path}/_folded-2/added")) == ["u-1", "u-2", "u-4"]
+    # one that died before it was complete does not count
+    remove_path(spark, f"{path}/_folded-2/added/_SUCCESS")
+    assert texts(read_pending(spark, path)) == ["u-1", "u-2", "u-4"]
+    assert add_pending(spark, path, urls(spark, "u-5")) == 1
+    fold_pending(spark, path)
+    assert texts(read_pending(spark, path)) == ["u-1", "u-2", "u-4", "u-5"]
+
+
+def test_few_removed_urls_do_not_shuffle_the_set(spark, folder):
+    path = f"{folder}/pending"
+    spark.range(1000).selectExpr("concat('u-', id) AS url").write.parquet(path)
+    remove_pending(spark, path, urls(spark, "u-1", "u-2"))
+    rows = read_pending(spark, path)
+    assert "SortMergeJoin" not in final_plan(rows)
+    assert rows.count() == 998
+
+
+def test_candidates_are_computed_once(spark, sets):
+    """The sitemaps' XML is parsed by the action that stores the URLs, and not after."""
+    documents = spark.createDataFrame(SITEMAPS[:1], "doc int, xml string")
+    todo = sitemap_round(documents, sets[1], "sold")
+    assert "from_xml" not in final_plan(todo).lower() and "xmltostructs" not in final_plan(todo).lower()
+    assert todo.columns == ["doc", "url"] and texts(todo.select("url")) == []
+
+
+def test_a_draw_drops_visited_urls_from_the_stored_set(spark, sets, folder):
+    spark.range(1000, 1003).selectExpr("concat('u-', id) AS url").write.mode("append").parquet(
+        f"{folder}/pending"
+    )
+    drawn = draw_round(spark, f"{folder}/pending", f"{folder}/visited", "sold", n=2000)
+    assert texts(drawn) == ["u-1000", "u-1001", "u-1002"]
+    assert texts(read_pending(spark, f"{folder}/pending")) == texts(drawn)
+    assert draw_round(spark, f"{folder}/pending", f"{folder}/visited", "forsale", n=2).count() == 2
+
+
 def test_candidates_without_url_are_none(spark, sets):
     assert texts(frontier.unvisited(urls(spark, None, "x-7777"), sets[1], "sold")) == ["x-7777"]
 

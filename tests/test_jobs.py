@@ -4,7 +4,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from listmill.operators.refine import FORSALE, SOLD
+from listmill.functions.embedded import parse_message
+from listmill.operators.bronze import to_bronze
+from listmill.operators.refine import FORSALE, SOLD, refine
 from listmill.plans import jobs
 from listmill.plans.jobs import (
     FetchReport,
@@ -18,9 +20,12 @@ from listmill.plans.jobs import (
 )
 from listmill.schemas import BRONZE, LOG_RECORD
 from listmill.session import work_dir
+from listmill.sources.paths import remove_path
+from listmill.sources.pending import add_pending, read_pending
 from listmill.sources.state import reset_offsets
-from listmill.sources.tables import read_bronze, read_silver
+from listmill.sources.tables import append_bronze, read_bronze, read_silver, upsert_silver
 from listmill.streaming.ingest import ingest_stream, replay_stream
+from listmill.streaming.refine import refine_stream
 from tests.test_refine import bronze, page
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -138,6 +143,39 @@ def test_fetches_are_recorded(spark, folder):
     assert record_fetches(spark, frame, *paths, "forsale") == FetchReport(2, 0, 1)
 
 
+def test_fetched_urls_leave_the_pending_set(spark, folder):
+    paths = [f"{folder}/{n}" for n in ("messages", "pending", "visited")]
+    todo = spark.createDataFrame([("http://h/a-1",), ("http://h/b-2",), ("http://h/c-3",)], "url string")
+    add_pending(spark, paths[1], todo)
+    fetches = [
+        ("http://h/a-1", 200, "<link rel=prev href=http://h/c-9>", 1.0),
+        ("http://h/b-2", 404, "", 2.0),
+    ]
+    frame = spark.createDataFrame(fetches, "url string, status int, source string, timestamp double")
+    assert record_fetches(spark, frame, *paths, "sold") == FetchReport(1, 1, 1, 1)
+    left = sorted(r["url"] for r in read_pending(spark, paths[1]).collect())
+    assert left == ["http://h/b-2", "http://h/c-3", "http://h/c-9"]
+    assert record_fetches(spark, frame, *paths, "sold") == FetchReport(1, 0, 0, 0)
+    # related URLs go to one set, fetched ones leave another
+    other = f"{folder}/other"
+    add_pending(spark, other, todo)
+    assert record_fetches(spark, frame, *paths, "forsale", drawn_from=other) == FetchReport(1, 0, 1, 1)
+    assert read_pending(spark, other).count() == 2 and read_pending(spark, paths[1]).count() == 3
+
+
+def test_fetches_are_computed_once(spark, folder):
+    """A source that gives other rows each time still fills all three tables alike."""
+    paths = [f"{folder}/{n}" for n in ("messages", "pending", "visited")]
+    url = F.concat(F.lit("http://h/a-"), F.expr("uuid()"))
+    page = F.concat(F.lit("<link rel='prev' href='"), "url", F.lit("-p'>"))
+    fetches = spark.range(3).select(url.alias("url"), F.lit(200).alias("status"), F.lit(1.0).alias("timestamp"))
+    record_fetches(spark, fetches.withColumn("source", page), *paths, "sold")
+    messages = spark.read.parquet(paths[0]).select(parse_message(F.col("value"))["url"].alias("url"))
+    known = {r["url"].split("-")[-1] for r in messages.collect()}
+    assert {r["id"] for r in spark.read.parquet(paths[2]).collect()} == known
+    assert {r["url"].split("-")[-2] for r in read_pending(spark, paths[1]).collect()} == known
+
+
 def test_a_first_day_without_records(spark, folder):
     source = ReplayTopic("other", log(spark, message(1, 1)))
     reports = run_daily(spark, source, f"{folder}/b", f"{folder}/s", "sold", f"{folder}/o", D1)
@@ -208,3 +246,41 @@ def test_work_folder_is_the_shared_one(folder, master):
     else:
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             work_dir(unset, "x")
+
+
+def test_refining_a_stream_equals_daily_runs(spark, folder):
+    """Each micro-batch is upserted once, also one that is run again after a failure."""
+    rows, silver, checkpoint = f"{folder}/bronze", f"{folder}/silver", f"{folder}/checkpoint"
+    daily = f"{folder}/daily"
+    for day, messages in ((D1, [message(1, 5), message(2, 6)]), (D2, [message(1, 7), message(3, 8)])):
+        append_bronze(to_bronze(log(spark, *messages), day), rows)
+        refine_stream(spark, rows, silver, checkpoint, FORSALE)
+        refine_date(spark, rows, daily, day, FORSALE)
+    assert prices(spark, silver) == prices(spark, daily) == [(1, 7), (2, 6), (3, 8)]
+    # the batch was stored, but the stream died before it said so; the table has changed since
+    remove_path(spark, f"{checkpoint}/commits/1")
+    newer = to_bronze(log(spark, message(1, 9)), D2)
+    assert upsert_silver(spark, silver, refine(newer, FORSALE), "listing_id") == 1
+    refine_stream(spark, rows, silver, checkpoint, FORSALE)
+    assert prices(spark, silver) == [(1, 9), (2, 6), (3, 8)]
+    # nothing new; then a batch in which no row is a listing
+    refine_stream(spark, rows, silver, checkpoint, FORSALE)
+    empty = to_bronze(log(spark, ("http://h/villa-4", "<p>none</p>", 1.0, 0, 99)), D2)
+    append_bronze(empty, rows)
+    refine_stream(spark, rows, silver, checkpoint, FORSALE)
+    assert prices(spark, silver) == [(1, 9), (2, 6), (3, 8)]
+
+
+def test_batches_of_different_streams_do_not_hide_each_other(spark, folder):
+    batches = [refine(to_bronze(log(spark, message(i, i)), D1), FORSALE) for i in (1, 2)]
+    silver = f"{folder}/silver"
+    assert upsert_silver(spark, silver, batches[0], "listing_id", batch_of=("a", 0)) == 1
+    assert upsert_silver(spark, silver, batches[1], "listing_id", batch_of=("b", 0)) == 1
+    assert upsert_silver(spark, silver, batches[1], "listing_id", batch_of=("b", 0)) == 0
+    assert upsert_silver(spark, silver, batches[0], "listing_id", batch_of=("b", 1)) == 1
+    assert prices(spark, silver) == [(1, 1), (2, 2)]
+
+
+def prices(spark, silver):
+    rows = read_silver(spark, silver).select("listing_id", "collected_on").collect()
+    return sorted((int(r["listing_id"]), int(r["collected_on"])) for r in rows)
