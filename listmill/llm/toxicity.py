@@ -5,11 +5,14 @@ into windows of ``WINDOW`` words, each compressed with both; what the toxic dict
 saves, in bytes, is the window's distance. Shares of windows beyond thresholds, the
 mean and the largest distance go through a logistic calibration to a score.
 
-Both dictionaries end with what zstandard's trainer picks from ordinary windows, so
-ordinary text costs the same with either. The toxic one begins with byte sequences
-that many toxic texts have in a word and ordinary ones lack, the most frequent nearest
-to the end of that part. Each label's sample is halved: one half trains the
-dictionaries, the other the calibration, so that neither sees texts it was made from.
+Both dictionaries come from zstandard's trainer, and both end with the one of ordinary windows, so
+ordinary text costs the same with either. The toxic one is trained on the parts of
+words of toxic texts that set them apart: stretches of byte sequences that are ``GRAM_RATIO`` times as
+frequent in toxic texts as in ordinary ones. How many texts such a sequence has to be in is not set:
+training is repeated with ``LEAST`` and its doubles, fewer and surer parts each time, and the pair
+of dictionaries stays whose calibrated scores tell the other half of the sample apart best.
+Each label's sample is halved: one half trains the dictionaries, the other
+the calibration, so that neither sees texts it was made from.
 
 Fitted on a bounded sample: at most ``SAMPLE`` labelled rows of either label, and of
 each at most ``SAMPLE_WINDOWS`` windows, evenly spread over its text. Every window of
@@ -17,8 +20,10 @@ every text is scored.
 
 Defined cases: a null or empty text has no windows and gets the score of no distance;
 repeated rows are scored alike; a document labelled twice counts as toxic if any label
-says so; null labels are no labels; without rows of both labels the score is the share
-of toxic ones (0 without any); no rows give no rows. Other columns play no part.
+says so; null labels are no labels; very long texts are scored window by window like others.
+Without rows of both labels, or where toxic texts have nothing in common that ordinary
+ones lack, nothing can be told: all scores are 0, so no document is dropped. No rows give no
+rows. Other columns play no part.
 """
 
 from __future__ import annotations
@@ -42,13 +47,13 @@ SAMPLE = {1: 1500, 0: 3000}
 SAMPLE_WINDOWS = 200
 THRESHOLD = 0.3
 
-ORDINARY_BYTES = 8192
-TOXIC_BYTES = 768
-# Length of the byte sequences that set toxic words apart.
+# Size of either dictionary.
+DICTIONARY_BYTES = 8192
+# Length of the byte sequences that set toxic words apart, how many times as frequent as in
+# ordinary texts they are, and the least number of toxic texts to begin with.
 GRAM = 5
-# A sequence counts that this share of toxic texts have, so many times the share of ordinary ones.
-GRAM_SHARE = 0.03
-GRAM_RATIO = 100
+GRAM_RATIO = 20
+LEAST = 3
 
 # Distances in bytes beyond which windows are counted.
 STEPS = (1, 2, 3, 5)
@@ -74,8 +79,8 @@ def _word_grams(windows_: list[bytes]) -> tuple[set[bytes], set[bytes]]:
     return words, {w[i : i + GRAM] for w in words for i in range(len(w) - GRAM + 1)}
 
 
-def toxic_segments(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> bytes:
-    """What toxic texts have in common and ordinary ones lack, most frequent last."""
+def toxic_parts(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> Iterator[list[bytes]]:
+    """Parts of words that set toxic texts apart, for rising numbers of texts they have to be in."""
     words, with_gram, without = [], Counter(), Counter()
     for text in toxic:
         own, grams = _word_grams(text)
@@ -83,40 +88,32 @@ def toxic_segments(toxic: list[list[bytes]], ordinary: list[list[bytes]]) -> byt
         with_gram.update(grams)
     for text in ordinary:
         without.update(_word_grams(text)[1])
-    marked = {
-        gram
-        for gram, n in with_gram.items()
-        if n >= 3
-        and n / len(toxic) >= GRAM_SHARE
-        and n / len(toxic) >= GRAM_RATIO * (without[gram] + 0.5) / max(len(ordinary), 1)
-    }
-    spans: Counter[bytes] = Counter()
-    for own in words:
-        found = set()
-        for word in own:
-            start = end = None
-            for i in range(len(word) - GRAM + 2):
-                if word[i : i + GRAM] in marked and i <= len(word) - GRAM:
-                    start, end = (i if start is None else start), i + GRAM
-                elif start is not None:
-                    found.add(word[start:end])
-                    start = None
-        spans.update(found)
-    segments = b""
-    for span, n in sorted(spans.items(), key=lambda x: (-x[1], x[0])):
-        if span not in segments and n >= 3 and len(segments) + len(span) <= TOXIC_BYTES:
-            segments = span + segments
-    return segments
-
-
-def ordinary_segments(ordinary: list[list[bytes]]) -> bytes:
-    """The content zstandard's trainer picks from ordinary windows."""
-    samples = [w for text in ordinary for w in text]
+    share = GRAM_RATIO * len(toxic) / max(len(ordinary), 1)
+    marked = {gram: n for gram, n in with_gram.items() if n >= share * without[gram]}
+    least = LEAST
+    while parts := {part for own in words for word in own for part in _marked_parts(word, marked, least)}:
+        yield sorted(parts)
+        least *= 2
+
+
+def _marked_parts(word: bytes, marked: dict[bytes, int], least: int) -> Iterator[bytes]:
+    """Stretches of the word in which every byte sequence is marked in so many texts."""
+    start = None
+    for i in range(len(word) - GRAM + 2):
+        if marked.get(word[i : i + GRAM], 0) >= least:
+            start = i if start is None else start
+        elif start is not None:
+            yield word[start : i + GRAM - 1]
+            start = None
+
+
+def _trained(samples: list[bytes], k: int) -> bytes:
+    """The content that zstandard's trainer picks from the samples, in segments of ``k`` bytes."""
     try:
-        trained = zstd.train_dictionary(ORDINARY_BYTES + 2048, samples, k=24, d=6, level=3)
+        trained = zstd.train_dictionary(DICTIONARY_BYTES + 2048, samples, k=k, d=6, level=3)
     except zstd.ZstdError:  # too few samples to train on
-        return b"".join(samples)[-ORDINARY_BYTES:]
-    return trained.as_bytes()[-ORDINARY_BYTES:]
+        return b"".join(dict.fromkeys(samples))[-DICTIONARY_BYTES:]
+    return trained.as_bytes()[-DICTIONARY_BYTES:]
 
 
 def _compressor(content: bytes) -> zstd.ZstdCompressor:
@@ -145,7 +142,6 @@ class Model:
     weights: list[float] = field(default_factory=list)
     mean: list[float] = field(default_factory=list)
     scale: list[float] = field(default_factory=list)
-    constant: float = 0.0
 
     def scorer(self) -> Scorer:
         return Scorer(self)
@@ -171,7 +167,7 @@ class Scorer:
     def scores(self, rows: list[list[float]]) -> np.ndarray:
         model = self.model
         if not model.weights:
-            return np.full(len(rows), model.constant)
+            return np.zeros(len(rows))
         x = (np.array(rows) - model.mean) / model.scale
         z = np.concatenate([np.ones((len(rows), 1)), x], axis=1) @ np.array(model.weights)
         return 1 / (1 + np.exp(-z.clip(-30, 30)))
@@ -196,24 +192,29 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray
 def fit(sample: list[tuple[int, list[bytes]]], counts: dict[int, int]) -> Model:
     """Model from (label, windows) rows; ``counts`` are the labels' numbers of all rows."""
     rows = {label: [w for y, w in sample if y == label] for label in (0, 1)}
-    total = sum(counts.values())
-    model = Model(constant=counts.get(1, 0) / total if total else 0.0)
     if min(len(rows[0]), len(rows[1])) < 2:
-        return model
-    model.ordinary = ordinary_segments(rows[0][::2])
-    model.toxic = toxic_segments(rows[1][::2], rows[0][::2])
-    if not (model.ordinary and model.toxic):
-        return model
-    scorer = model.scorer()
-    x = np.array([scorer.features(w) for label in (0, 1) for w in rows[label][1::2]])
+        return Model()
+    ordinary = _trained([w for text in rows[0][::2] for w in text], k=24)
     y = np.array([label for label in (0, 1) for _ in rows[label][1::2]])
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    weights = fit_logistic((x - mean) / scale, y)
     # the sample has the labels in other numbers than the labelled rows
-    weights[0] += np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
-    model.mean, model.scale = mean.tolist(), scale.tolist()
-    model.weights = weights.tolist()
-    return model
+    shift = np.log(counts[1] / counts[0]) - np.log(y.sum() / (len(y) - y.sum()))
+    best, least_loss = Model(), np.inf
+    for parts in toxic_parts(rows[1][::2], rows[0][::2]):
+        # twice, as the trainer looks for what samples have in common
+        toxic = _trained([b" %b " % part for _ in range(2) for part in parts], k=16)
+        model = Model(ordinary, toxic)
+        scorer = model.scorer()
+        x = np.array([scorer.features(w) for label in (0, 1) for w in rows[label][1::2]])
+        mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
+        x = (x - mean) / scale
+        weights = fit_logistic(x, y)
+        z = weights[0] + x @ weights[1:]
+        loss = float(np.logaddexp(0, np.where(y == 1, -z, z)).mean())
+        if loss < least_loss:
+            weights[0] += shift
+            model.mean, model.scale, model.weights = mean.tolist(), scale.tolist(), weights.tolist()
+            best, least_loss = model, loss
+    return best
 
 
 def held_out(doc_id: Column) -> Column:

@@ -453,6 +453,57 @@ def test_toxicity_held_out(spark):
     assert kept.count() == sum(r["score"] < 0.3 for r in got)
 
 
+def toxic_corpus(n_words, n=3000):
+    """Texts of made-up words; a third have four of the toxic words, which share nothing."""
+    rng = random.Random(n_words)
+    syllables = "ba ko ti men ra lu so den fi gar nel pu vor tas mi".split()
+    ordinary = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(3000)]
+    toxic = [
+        "".join(rng.choice("bcdfghjklmnpqrstvwxz") + rng.choice("aeiou") for _ in range(rng.randint(2, 4)))
+        + rng.choice("kxz")
+        for _ in range(n_words)
+    ]
+    rows = []
+    for i in range(n):
+        words = rng.choices(ordinary, k=rng.randint(40, 200))
+        if i % 3 == 0:
+            for _ in range(4):
+                words[rng.randrange(len(words))] = rng.choice(toxic)
+        rows.append((i, " ".join(words), int(i % 3 == 0)))
+    return rows
+
+
+@pytest.mark.parametrize("n_words", [10, 40, 150, 400])
+def test_toxicity_of_small_and_large_vocabularies(n_words):
+    """400 words are in one toxic text of a hundred each."""
+    rows = toxic_corpus(n_words)
+    is_held = [zlib.crc32(str(i).encode()) % 4 == 2 for i, *_ in rows]
+    known = [(y, toxicity.windows(t.encode(), 200)) for (_, t, y), h in zip(rows, is_held, strict=True) if not h]
+    n_toxic = sum(y for y, _ in known)
+    scorer = toxicity.fit(known, {1: n_toxic, 0: len(known) - n_toxic}).scorer()
+    held = [r for r, h in zip(rows, is_held, strict=True) if h]
+    found = scorer.scores([scorer.features(toxicity.windows(t.encode())) for _, t, _ in held]) >= 0.3
+    labels = np.array([y for *_, y in held])
+    assert found[labels == 1].mean() >= 0.9
+    assert found[labels == 0].mean() <= 0.02
+
+
+def test_toxicity_that_cannot_be_told_drops_nothing(spark):
+    """Labels that have nothing to do with the texts, and labels of one kind."""
+    rows = [(i, "the same few words in every text", "a") for i in range(60)]
+    docs = document_frame(spark, rows)
+    for toxic in (lambda i: int(i % 2 == 0), lambda i: 1):
+        marks = spark.createDataFrame([(i, toxic(i)) for i in range(60)], "doc_id long, toxic int")
+        assert toxicity.drop_toxic(docs, marks).count() == 60
+
+
+def test_op5_as_registered(spark):
+    rows = toxicity.op5_toxicity(spark, SF_DIR).collect()
+    assert len(rows) == spark.read.parquet(f"{SF_DIR}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.3) for r in rows)
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
+
+
 def test_toxicity_edge_cases(spark, edge, edge_rows, nothing):
     schema = "doc_id long, toxic int"
     none = spark.createDataFrame([], schema)
