@@ -17,6 +17,10 @@ PROPERTY = "property"
 SOLD_PROPERTY = "sold_property"
 
 
+def has_data_layer(source: Column) -> Column:
+    return source.rlike(r"dataLayer\s*=\s*\[")
+
+
 def embedded_json(source: Column, name: str) -> Column:
     """Text of the object called ``name`` in the page's data layer, '' without one."""
     return F.regexp_extract(source, DATA_LAYER_PATTERN % name, 1)

@@ -5,10 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from listmill.functions.embedded import PROPERTY, SOLD_PROPERTY, embedded_object, parse_message
+from listmill.functions.embedded import (
+    PROPERTY,
+    SOLD_PROPERTY,
+    embedded_json,
+    embedded_object,
+    has_data_layer,
+    parse_message,
+)
 from listmill.functions.urls import url_key, url_type
 from listmill.schemas import CANONICAL_PROPS, FORSALE_PROPS, SOLD_HOME, SOLD_PROPS
 
@@ -69,6 +76,11 @@ SOLD = RefineSpec(
     merge_key="listing_id",
 )
 
+# Why a row is rejected, in the order in which it is tried.
+NO_PAGE, NO_DATA_LAYER, NO_OBJECT = "no page", "no data layer", "no object"
+NO_ID, WRONG_ID = "no id", "id of another type"
+REASONS = (NO_PAGE, NO_DATA_LAYER, NO_OBJECT, NO_ID, WRONG_ID)
+
 SPECS = {spec.target: spec for spec in (FORSALE, SOLD, CANONICAL)}
 
 # Newest first. The date alone ties within one day's batch; with the position in
@@ -113,8 +125,8 @@ def parse_messages(bronze: DataFrame) -> DataFrame:
     )
 
 
-def parse_objects(messages: DataFrame, spec: RefineSpec) -> DataFrame:
-    """Replace the page source by the embedded objects; drop rows without the required id."""
+def _with_objects(messages: DataFrame, spec: RefineSpec, *keep: str) -> DataFrame:
+    """The messages' columns but the page source, unless kept, and the struct ``objects``."""
     objects = F.struct(
         *[
             embedded_object(F.col("source"), name, schema).alias(column)
@@ -122,12 +134,56 @@ def parse_objects(messages: DataFrame, spec: RefineSpec) -> DataFrame:
         ]
     )
     rest = [c for c in messages.columns if c != "source"]
-    parsed = messages.select(*rest, evaluated_once("objects", objects))
-    return parsed.where(F.col(f"objects.{spec.required}").isNotNull()).select(*rest, "objects.*")
+    return messages.select(*rest, *keep, evaluated_once("objects", objects))
+
 
+def _listed(spec: RefineSpec) -> Column:
+    return F.col(f"objects.{spec.required}").isNotNull()
 
-def refine(bronze: DataFrame, spec: RefineSpec) -> DataFrame:
-    """Bronze rows -> silver rows of one batch, one per ``dedup_key``."""
+
+def parse_objects(messages: DataFrame, spec: RefineSpec) -> DataFrame:
+    """Replace the page source by the embedded objects; drop rows without the required id."""
+    rest = [c for c in messages.columns if c != "source"]
+    return _with_objects(messages, spec).where(_listed(spec)).select(*rest, "objects.*")
+
+
+def _reason(spec: RefineSpec) -> Column:
+    """Why a page has no listing; null if it has one, whose source is not searched again."""
+    column, field = spec.required.split(".")
+    text = embedded_json(F.col("source"), spec.objects[column][0])
+    # any value of the field, as text
+    written = F.from_json(text, f"{field} string")[field]
+    return F.when(
+        ~_listed(spec),
+        F.when(F.col("source").isNull(), NO_PAGE)
+        .when(~has_data_layer(F.col("source")), NO_DATA_LAYER)
+        .when(text == "", NO_OBJECT)
+        .when(written.isNull(), NO_ID)
+        .otherwise(WRONG_ID),
+    )
+
+
+def rejected(messages: DataFrame, spec: RefineSpec) -> DataFrame:
+    """The messages that ``parse_objects`` drops, without the page source, and the ``reason``."""
+    rest = [c for c in messages.columns if c != "source"]
+    rows = _with_objects(messages, spec, "source").where(~_listed(spec))
+    return rows.select(*rest, _reason(spec).alias("reason"))
+
+
+def refine(bronze: DataFrame, spec: RefineSpec, counted: Observation | None = None) -> DataFrame:
+    """Bronze rows -> silver rows of one batch, one per ``dedup_key``.
+
+    ``counted`` gets the number of rejected rows by reason when the rows are computed.
+    The sources then pass the parsing, which costs some time.
+    """
     position = [c for c in _NEWEST if c not in ("ingestion_date", "collected_on")]
-    rows = parse_objects(parse_messages(bronze), spec).selectExpr(*spec.output, *position)
+    messages = parse_messages(bronze)
+    if counted is None:
+        parsed = parse_objects(messages, spec)
+    else:
+        rest = [c for c in messages.columns if c != "source"]
+        rows = _with_objects(messages, spec, "source").withColumn("reason", _reason(spec))
+        numbers = [F.count_if(F.col("reason") == r).alias(r) for r in REASONS]
+        parsed = rows.observe(counted, *numbers).where(_listed(spec)).select(*rest, "objects.*")
+    rows = parsed.selectExpr(*spec.output, *position)
     return latest_per_key(rows, spec.dedup_key).drop(*position)

@@ -90,9 +90,12 @@ class IngestReport:
 
 @dataclass(frozen=True)
 class RefineReport:
+    """Rows read and stored; rejected rows by reason where they were to be counted."""
+
     for_date: dt.date
     records: int
     stored: int
+    rejected: dict[str, int] | None = None
 
 
 def parse_date(text: str | dt.date | None) -> dt.date:
@@ -151,10 +154,11 @@ def refine_date(
     spec: RefineSpec,
     only_newer: bool = False,
     table_format: str = "parquet",
+    count_rejected: bool = False,
 ) -> RefineReport:
     """Refine one date of bronze and upsert it into the silver table.
 
-    Both counts are taken by the run that stores the rows.
+    All counts are taken by the run that stores the rows.
     """
     _require(source=source, sink=sink)
     date = parse_date(for_date)
@@ -163,8 +167,10 @@ def refine_date(
     columns = ("ingestion_date", "value", "topic", "partition", "offset")
     bronze = bronze_for_date(read_bronze(spark, source, table_format), date).select(*columns)
     bronze = bronze.observe(read, F.count(F.lit(1)).alias("records"))
-    stored = upsert(spark, sink, refine(bronze, spec), spec.merge_key, only_newer)
-    return RefineReport(date, read.get["records"], stored)
+    counted = Observation("rejected") if count_rejected else None
+    stored = upsert(spark, sink, refine(bronze, spec, counted), spec.merge_key, only_newer)
+    reasons = {r: n for r, n in counted.get.items() if n} if counted else None
+    return RefineReport(date, read.get["records"], stored, reasons)
 
 
 def run_daily(

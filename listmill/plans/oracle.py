@@ -194,6 +194,11 @@ ORACLE = {
     "refine_forsale": _refined("forsale"),
     "refine_sold": _refined("sold"),
     "refine_canonical": _refined("canonical"),
+    "refine_rejects": f"""
+        SELECT {OFFSET} AS "offset", {d.PARTITION} AS partition, CAST(l_orderkey AS VARCHAR) AS url_key,
+            CASE WHEN {d.NO_DATA_LAYER} THEN 'no data layer' WHEN {d.OBJECT_ON_TWO_LINES} THEN 'no object'
+                ELSE 'id of another type' END AS reason
+        FROM lineitem WHERE NOT ({LISTED})""",
     "upsert_first_run": f"SELECT *, false AS before, true AS after FROM ({LINES})",
     "upsert_forsale": _upserted("forsale"),
     "upsert_sold": _upserted("sold"),

@@ -40,6 +40,7 @@ from listmill.operators.refine import (
     parse_messages,
     parse_objects,
     refine,
+    rejected,
 )
 from listmill.plans import derived, jobs
 from listmill.plans.derived import DAY_1, DAY_2, LISTING_TOPIC, SPLIT, flat, table
@@ -271,6 +272,12 @@ def refine_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(refine(_bronze(spark, sf_dir, CANONICAL), CANONICAL))
 
 
+def refine_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that yield no listing, and why."""
+    rows = rejected(parse_messages(_bronze(spark, sf_dir, FORSALE)), FORSALE)
+    return rows.select("offset", "partition", "url_key", "reason")
+
+
 def _upserted(spark: SparkSession, sf_dir: str, spec: RefineSpec) -> DataFrame:
     """Silver table after the batches of both arrival days."""
     folder = work_dir(spark, "silver")
@@ -607,6 +614,7 @@ QUERIES = _NAMED | {
         refine_forsale,
         refine_sold,
         refine_canonical,
+        refine_rejects,
         upsert_first_run,
         upsert_forsale,
         upsert_sold,

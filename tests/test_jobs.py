@@ -190,6 +190,24 @@ def test_refining_a_date_again_changes_nothing(spark, folder):
     assert read_silver(spark, f"{folder}/s").count() == 2
 
 
+def test_rejected_rows_are_counted(spark, folder):
+    pages = [
+        page({"id": 1, "price": 5}),
+        page({"id": "x", "price": 5}),
+        page({"price": 5}),
+        "<script>dataLayer = [{}];</script>",
+        "<p>none</p>",
+        None,
+    ]
+    messages = [(f"http://h/villa-{i}", source, 1.0, 0, i) for i, source in enumerate(pages)]
+    append_bronze(to_bronze(log(spark, *messages), D1), f"{folder}/bronze")
+    report = refine_date(spark, f"{folder}/bronze", f"{folder}/silver", D1, FORSALE, count_rejected=True)
+    reasons = dict.fromkeys(("id of another type", "no id", "no object", "no data layer", "no page"), 1)
+    assert (report.records, report.stored, report.rejected) == (6, 1, reasons)
+    plain = refine_date(spark, f"{folder}/bronze", f"{folder}/other", D1, FORSALE)
+    assert (plain.stored, plain.rejected) == (1, None)
+
+
 def test_two_sales_of_one_home(spark, folder):
     def sale(home, sale_id, offset):
         return (f"http://h/villa-{sale_id}", page({"id": home}, {"id": sale_id}), 1.0, 0, offset)
