@@ -1,8 +1,10 @@
 """Deterministic sharded WARC writer and reader.
 
-Records are sorted by page id. Ids are cut into ``BINS`` equal ranges whose payload
-bytes are summed; consecutive ranges make a shard of about ``SHARD_BYTES``, so shards depend
-on the pages alone. A task writes its shards record by record, each its own gzip
+Records are sorted by page id and digest. The bytes of all pages are added up in that order, and a
+new shard begins wherever the sum passes another ``SHARD_BYTES`` (more if there would be more than
+``SHARDS`` of them), so shards depend on the pages alone, however their ids lie. The sum is one of
+ranges, one row each, plus one within each range; what the tasks that write get is where
+shards begin. A task writes one shard record by record, each its own gzip
 member, and begins a new file when one has ``FILE_BYTES`` compressed. Headers,
 digests and record ids are made anew from the page; nothing depends on time or host.
 
@@ -17,7 +19,8 @@ id is written in full, others as revisits of it. A marker row per revisit is sor
 of its page, so the pages are shuffled once.
 
 Defined cases: a null html is an empty payload; a null url is an empty target URI; a null id is
-written last in its own range, and revisits a page with an id if one has its payload;
+written last, and revisits a page with an id if one has its payload; one id on many pages, or
+none, is cut by digest; rows equal in id and payload stay in one shard, whose files are rolled;
 equal rows are written once each, and if they have the smallest id of their payload all are
 responses; no pages make an empty manifest. Other columns are not written.
 """
@@ -28,6 +31,7 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,8 +43,9 @@ from listmill.llm.common import stored, table
 from listmill.operators.joins import join_unique
 from listmill.session import work_dir
 
-BINS = 1 << 14
 SHARD_BYTES = 16 << 20
+# Most shards; their beginnings take 5 MB.
+SHARDS = 1 << 16
 FILE_BYTES = 8 << 20
 REVISIT_BYTES = 100
 # Bytes of headers counted per record.
@@ -207,24 +212,48 @@ def revisits(pages: DataFrame) -> DataFrame:
     )
 
 
-def page_shards(pages: DataFrame, shard_bytes: int) -> tuple[DataFrame, int, float, int]:
-    """(bin, shard) of at most ``BINS`` + 1 ranges, with first id, width and number of shards."""
-    ends = pages.agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).first()
-    first = ends["a"] or 0
-    width = ((ends["b"] or 0) - first + 1) / BINS
-    bins = pages.groupBy(_bin(first, width).alias("bin")).agg(
-        F.sum(F.col("n") + HEADER_BYTES).alias("bytes")
+def page_shards(pages: DataFrame, shard_bytes: int) -> list[tuple[bool, int, str]]:
+    """The first (id is null, id, digest) of each shard, in order."""
+    order = [F.col("page_id").asc_nulls_last(), F.col("digest")]
+    groups = pages.groupBy("page_id", "digest").agg(F.sum(F.col("n") + HEADER_BYTES).alias("bytes"))
+    # stored, so that the ranges stay as they are for both sums
+    ranges = stored(
+        groups.repartitionByRange(*order).withColumn("range", F.spark_partition_id()), "warc-ranges"
     )
-    before = Window.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    shard = F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / shard_bytes)
-    bins = stored(bins.select("bin", shard.cast("int").alias("shard")), "warc-shards")
-    last = bins.agg(F.max("shard").alias("last")).first()["last"]
-    return bins, first, width, (last or 0) + 1
+    sums = ranges.groupBy("range").agg(F.sum("bytes").alias("bytes")).orderBy("range").collect()
+    total = sum(r["bytes"] for r in sums)
+    size = max(shard_bytes, -(-total // SHARDS))
+    starts, so_far = [], 0
+    for r in sums:
+        starts.append((r["range"], so_far))
+        so_far += r["bytes"]
+    offsets = pages.sparkSession.createDataFrame(starts, "range int, start long")
+    before = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.col("start") + F.coalesce(F.sum("bytes").over(before), F.lit(0))
+    key = F.struct(
+        F.col("page_id").isNull().alias("none"),
+        F.coalesce("page_id", F.lit(0)).alias("id"),
+        "digest",
+    )
+    shards = (
+        ranges.join(F.broadcast(offsets), "range")  # a row per range
+        .select(key.alias("key"), F.floor(place / size).alias("shard"))
+        .groupBy("shard")
+        .agg(F.min("key").alias("key"))
+    )
+    return sorted((r["none"], r["id"], r["digest"]) for r in shards.select("key.*").collect())
+
+
+def _shard(begins: list[tuple[bool, int, str]]):
+    """The shard of a page's id and digest."""
 
+    @F.arrow_udf("int")
+    def shard(ids: pa.Array, digests: pa.Array) -> pa.Array:
+        rows = zip(ids.to_pylist(), digests.to_pylist(), strict=True)
+        found = [bisect_right(begins, (i is None, i or 0, d)) - 1 for i, d in rows]
+        return pa.array(found, pa.int32())
 
-def _bin(first: int, width: float):
-    place = F.floor((F.col("page_id") - F.lit(first)) / F.lit(width)).cast("int")
-    return F.coalesce(F.least(place, F.lit(BINS - 1)), F.lit(BINS))
+    return shard
 
 
 def write_warc(
@@ -243,7 +272,7 @@ def write_warc(
         rows.select("page_id", "digest", F.octet_length("payload").cast("long").alias("n")),
         "warc-pages",
     )
-    bins, first, width, shards = page_shards(slim, shard_bytes)
+    begins = page_shards(slim, shard_bytes)
     nothing = F.lit(None)
     full = rows.select("*", nothing.cast("long").alias("refers_to"), F.lit(1).alias("is_page"))
     marks = revisits(slim).select(
@@ -256,10 +285,8 @@ def write_warc(
     )
     ranged = (
         full.unionByName(marks)
-        .withColumn("bin", _bin(first, width))
-        .join(F.broadcast(bins), "bin")  # at most BINS + 1 rows
-        .drop("bin")
-        .repartitionByRange(shards, "shard")
+        .withColumn("shard", _shard(begins)("page_id", "digest"))
+        .repartitionById(max(len(begins), 1), "shard")
         .sortWithinPartitions("shard", F.asc_nulls_last("page_id"), "digest", "is_page")
     )
     where, path = fs.FileSystem.from_uri(folder)

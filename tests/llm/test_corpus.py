@@ -351,6 +351,26 @@ def test_warc_of_nothing(spark, folder):
     assert warc.read_warc(spark, f"{folder}/w").count() == 0
 
 
+SPREADS = {
+    "outlier": [*range(1, 400), 1 << 62],
+    "clustered": [10**12 + i // 40 * 10**9 + i % 40 for i in range(400)],
+    "one id": [7] * 400,
+    "no id": [None] * 400,
+    "far apart": [-(2**63) + 1, *range(398), 2**63 - 1],
+}
+
+
+@pytest.mark.parametrize("ids", SPREADS.values(), ids=SPREADS.keys())
+def test_no_warc_shard_is_larger_than_it_should_be(spark, folder, ids):
+    pages = [(i, f"http://a/{n}", f"{n} " + "x" * (200 + n % 7 * 100)) for n, i in enumerate(ids)]
+    manifest = warc.write_warc(page_frame(spark, pages), f"{folder}/w", 20_000, 1 << 30)
+    assert rows_of(warc.read_warc(spark, f"{folder}/w")) == sorted(brute_pages(pages), key=repr)
+    sizes = manifest.select("records").collect()
+    most = 20_000 // (200 + warc.HEADER_BYTES) + 1
+    assert len(sizes) >= 400 * (500 + warc.HEADER_BYTES) // 20_000
+    assert max(r["records"] for r in sizes) <= most
+
+
 # --- repeated windows ---------------------------------------------------------------------
 
 
