@@ -14,9 +14,14 @@ as many words as the radius has bits, whose overflow marks a distance beyond
 the radius, and comparing stops when all fingerprints of a block have overflowed.
 Short groups of one key are laid side by side and compared with themselves shifted by
 1, 2, ... places. Long groups go query by query against blocks, and blocks that are
-wholly in the query's component are left out, so a dense group costs about one
-comparison per member. Each group returns links that span its components, fewer
-than it has members.
+wholly in the query's component are left out. Each group returns links that span its
+components, fewer than it has members.
+
+Hot keys. A key with more than ``LONG_GROUP`` fingerprints is refined: the bits it leaves
+open are cut into ``RADIUS + 1`` parts, and near fingerprints agree in one of them at
+least, so its rows go to that many finer keys. As long as one is hot, it is refined again. A
+key that leaves 12 bits open has at most 4,096 fingerprints, so five times are enough
+for the radius of 3, and no task gets a larger group.
 
 Components. Links become components by large-star and small-star steps on DataFrames,
 each of them stored, until nothing changes.
@@ -49,6 +54,8 @@ BITS = 64
 SHORT_GROUP = 64
 # Fingerprints of a long group that are compared as one block.
 BLOCK = 4096
+# Fingerprints of one key that are compared in one task.
+LONG_GROUP = 4096
 # Rows taken together by a task, more only where one key has more.
 ROWS_AT_ONCE = 1 << 17
 
@@ -105,14 +112,63 @@ def block_tables(radius: int) -> list[tuple[int, ...]]:
     return list(combinations(blocks, 2))
 
 
+def _key(mask: Column) -> Column:
+    """Names the rows that agree in the bits of the mask.
+
+    Groups whose names are equal by chance are compared as one, by all their bits.
+    """
+    return F.xxhash64(mask, F.col("fp").bitwiseAND(mask))
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
 def with_keys(nodes: DataFrame, radius: int) -> DataFrame:
-    """A row per fingerprint and pair of blocks; the key holds the pair and its bits."""
-    keys = []
-    for number, ((s1, w1), (s2, w2)) in enumerate(block_tables(radius)):
-        first = F.shiftrightunsigned("fp", s1).bitwiseAND(F.lit((1 << w1) - 1))
-        second = F.shiftrightunsigned("fp", s2).bitwiseAND(F.lit((1 << w2) - 1))
-        keys.append(F.lit(number << 40).cast("long") + F.shiftleft(first, w2) + second)
-    return nodes.select("fp", F.explode(F.array(*keys)).alias("key"))
+    """(fp, mask, key): a row per fingerprint and pair of blocks."""
+    masks = [
+        _signed(sum(((1 << width) - 1) << shift for shift, width in pair))
+        for pair in block_tables(radius)
+    ]
+    rows = nodes.select("fp", F.explode(F.array(*map(F.lit, masks))).alias("mask"))
+    return rows.withColumn("key", _key(F.col("mask")))
+
+
+def finer_masks(mask: int, radius: int) -> list[int]:
+    """The mask with one of ``radius + 1`` parts of its open bits added; none if they are too few."""
+    bits = [b for b in range(BITS) if not mask >> b & 1]
+    if len(bits) <= radius:
+        return []
+    edges = [len(bits) * i // (radius + 1) for i in range(radius + 2)]
+    parts = [bits[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+    return [_signed(mask % (1 << BITS) | sum(1 << b for b in part)) for part in parts]
+
+
+def comparison_groups(nodes: DataFrame, radius: int, most: int | None = None) -> DataFrame:
+    """(fp, key): rows of equal key are compared, at most ``most`` (``LONG_GROUP``) of a key.
+
+    Hot keys are looked for by a count that is combined before it is shuffled, and only
+    their rows are refined. The masks are known beforehand: ten, and four times as many
+    with each refinement.
+    """
+    most = LONG_GROUP if most is None else most
+    spark = nodes.sparkSession
+    rows, groups = with_keys(nodes, radius), None
+    masks = [_signed(sum(((1 << w) - 1) << s for s, w in pair)) for pair in block_tables(radius)]
+    while True:
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        hot = stored(sizes.where(F.col("n") > most).select("key"), "hot-keys")
+        finer = [(m, f) for m in masks for f in finer_masks(m, radius)]
+        if not finer or hot.isEmpty():
+            part = rows.select("fp", "key")
+            return part if groups is None else groups.unionByName(part)
+        part = join_unique(rows, hot, "key", "left_anti").select("fp", "key")
+        groups = part if groups is None else groups.unionByName(part)
+        table_of = F.broadcast(spark.createDataFrame(finer, "mask long, finer long"))
+        found = join_unique(rows, hot, "key", "inner").join(table_of, "mask")
+        found = found.select("fp", F.col("finer").alias("mask"))
+        rows = stored(found.distinct().withColumn("key", _key(F.col("mask"))), "finer-keys")
+        masks = sorted({f for _, f in finer})
 
 
 def bit_planes(fps: np.ndarray) -> np.ndarray:
@@ -201,7 +257,7 @@ def long_group_links(fps: np.ndarray, radius: int, block: int = BLOCK) -> list[t
     sets, links = _Sets(len(fps)), []
     planes = [bit_planes(fps[at : at + block]) for at in range(0, len(fps), block)]
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
-    whole: dict[int, bool] = {}  # complete blocks of one component
+    whole: dict[int, bool] = {}  # complete blocks, and whether they are of one component
     for i, fp in enumerate(fps.tolist()):
         query = [ones if fp >> b & 1 else np.uint64(0) for b in range(BITS)]
         for number in range(i // block, -1, -1):
@@ -218,9 +274,10 @@ def long_group_links(fps: np.ndarray, radius: int, block: int = BLOCK) -> list[t
                 if sets.join(first + j, i):
                     links.append((first + j, i))
         if (i + 1) % block == 0:
-            number = i // block
-            roots = {sets.find(j) for j in range(number * block, i + 1)}
-            whole[number] = len(roots) == 1
+            whole[i // block] = False
+            for number in [n for n, one in whole.items() if not one]:  # links may have united them
+                roots = {sets.find(j) for j in range(number * block, (number + 1) * block)}
+                whole[number] = len(roots) == 1
     return links
 
 
@@ -243,7 +300,7 @@ def _links_of(keys: np.ndarray, fps: np.ndarray, radius: int) -> np.ndarray:
 def near_links(nodes: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(a, b): links between different fingerprints that span the near ones."""
     # sorting by fingerprint too puts near ones of a long group side by side
-    rows = with_keys(nodes, radius).repartition("key").sortWithinPartitions("key", "fp")
+    rows = comparison_groups(nodes, radius).repartition("key").sortWithinPartitions("key", "fp")
 
     def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)

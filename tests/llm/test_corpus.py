@@ -950,6 +950,60 @@ def test_group_links_span_without_all_pairs():
     assert all((int(numbers[a]) ^ int(numbers[b])).bit_count() <= 3 for a, b in links)
 
 
+def of_one_key(count, seed, flips=2, centres=40):
+    """Different numbers that agree in the first two blocks, near each other or not."""
+    rng = random.Random(seed)
+    middles = [rng.getrandbits(64 - 26) << 26 for _ in range(centres)]
+    out = set()
+    while len(out) < count:
+        x = rng.choice(middles)
+        for _ in range(rng.randint(0, flips)):
+            x ^= 1 << rng.randrange(26, 64)
+        out.add(x)
+    return sorted(out)
+
+
+def number_frame(spark, numbers):
+    signed = np.array(numbers, np.uint64).view(np.int64).tolist()
+    return spark.createDataFrame([(x,) for x in signed], "fp long")
+
+
+def test_a_hot_key_is_refined_to_the_same_components(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "LONG_GROUP", 30)
+    numbers = of_one_key(1500, 4, 6)
+    rows = number_frame(spark, numbers)
+    sizes = simhash.comparison_groups(rows, 3).groupBy("key").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 30
+    groups = defaultdict(set)
+    for r in simhash.near_groups(rows).collect():
+        groups[r["group"]].add(int(np.int64(r["fp"]).view(np.uint64)))
+    want = defaultdict(set)
+    for fp, root in brute_groups(set(numbers)).items():
+        want[root].add(fp)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, want.values()))
+
+
+def test_fifty_thousand_fingerprints_of_one_key_are_many_groups(spark):
+    rng = np.random.default_rng(8)
+    numbers = np.unique(rng.integers(0, 1 << 38, 50_000, dtype=np.uint64)) << np.uint64(26)
+    groups = simhash.comparison_groups(number_frame(spark, numbers.tolist()), 3)
+    sizes = groups.groupBy("key").count()
+    assert sizes.agg(F.max("count")).first()[0] <= simhash.LONG_GROUP
+    assert sizes.where(F.col("count") > 10).count() > 100
+
+
+def test_finer_masks_lose_no_near_pair():
+    rng = random.Random(3)
+    for _ in range(200):
+        mask, x = rng.getrandbits(64) & rng.getrandbits(64), rng.getrandbits(64)
+        y = x
+        for _ in range(3):
+            y ^= 1 << rng.choice([b for b in range(64) if not mask >> b & 1])
+        masks = simhash.finer_masks(mask, 3)
+        assert any(x & m % (1 << 64) == y & m % (1 << 64) for m in masks)
+        assert all(m & mask == mask for m in masks)
+
+
 def test_components_of_a_chain(spark):
     order = list(range(200))
     random.Random(1).shuffle(order)
