@@ -13,8 +13,10 @@ document is contaminated.
 Tokens are words in lower case without punctuation at either end; what is only
 punctuation is no token. An item of fewer than ``TILE`` tokens is one seed by itself.
 
-The benchmark is cut into blocks of a bounded number of tokens. One block at a time is
-broadcast, and each document is read once per block, so a benchmark of any size works.
+The benchmark is cut into blocks of a bounded number of tokens, which Spark stores in the shared
+folder. A task holds some documents and goes through the blocks, one index at a time, so
+one plan reads each document once, whatever the size of the benchmark; neither the
+driver nor a task has all of it.
 
 Defined cases: null and empty texts contain nothing and items without tokens are in
 nothing; repeated documents are judged alike, equal items each for itself; null ids
@@ -30,16 +32,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow.parquet as pq
+from pyarrow import fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from listmill.llm.common import chunks, stored, table, word_count
+from listmill.session import work_dir
 
 TILE = 5
 COVERAGE = 0.6
 
-# Tokens of the benchmark items that are broadcast at once: about 64 MB of Python objects.
+# Tokens of the benchmark items that are indexed at once: about 64 MB of Python objects.
 BLOCK_TOKENS = 1 << 18
+# Bytes of text that a task takes through all blocks at once.
+TEXT_BYTES = 32 << 20
 
 _EDGES = b""".,;:!?*#$%&|"'()[]{}<>-_/\\"""
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -164,22 +171,74 @@ class _Items:
             yield item, covered / len(item_words), len(tiles)
 
 
-def item_blocks(
-    benchmark: DataFrame, item_id: str, block_tokens: int
-) -> Iterator[list[tuple[object, str | None]]]:
-    """The items in blocks of a bounded number of words, one item at least.
+def store_blocks(benchmark: DataFrame, block_tokens: int) -> str:
+    """The folder of a table with the items in blocks of ``block_tokens`` words, one item at least.
 
-    The window adds up one number per item.
+    Which items make a block does not matter for the result, so they are dealt out
+    evenly and each task cuts what it has. A block is a row, an Arrow stream.
     """
-    items = benchmark.select(
-        F.col(item_id).alias("item_id"), F.col("text"), word_count(F.col("text")).alias("n")
-    )
-    in_order = Window.orderBy("item_id", "text").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("n").over(in_order), F.lit(0))
-    blocks = items.withColumn("block", F.floor(before / block_tokens))
-    for row in blocks.select("block").distinct().orderBy("block").collect():
-        part = blocks.where(F.col("block") == row["block"]).select("item_id", "text").collect()
-        yield [(r["item_id"], r["text"]) for r in part]
+    items = benchmark.select("item_id", F.col("text").cast("string").alias("text"))
+    words = items.agg(F.sum(word_count(F.col("text")))).first()[0] or 0
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, words = [], 0
+        for batch in batches:
+            for row in range(batch.num_rows):
+                n = len((batch.column(1)[row].as_py() or "").split())
+                if held and words + n > block_tokens:
+                    yield _packed(held)
+                    held, words = [], 0
+                held.append(batch.slice(row, 1))
+                words += n
+        if held:
+            yield _packed(held)
+
+    folder = work_dir(benchmark.sparkSession, "benchmark-blocks")
+    dealt = items.repartition(int(words // block_tokens) + 1)
+    dealt.mapInArrow(packed, "block binary").write.parquet(folder)
+    return folder
+
+
+def _packed(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    items = pa.Table.from_batches(rows).combine_chunks()
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, items.schema) as stream:
+        stream.write_table(items)
+    return pa.RecordBatch.from_arrays([pa.array([sink.getvalue().to_pybytes()])], ["block"])
+
+
+class _Blocks:
+    """The stored blocks as indexes, one of them in memory."""
+
+    def __init__(self, folder: str, tile_size: int):
+        self.where, path = fs.FileSystem.from_uri(folder)
+        self.tile_size = tile_size
+        self.names = []
+        for info in self.where.get_file_info(fs.FileSelector(path)):
+            if info.base_name.endswith(".parquet"):
+                with self.where.open_input_file(info.path) as file:
+                    count = pq.ParquetFile(file).metadata.num_rows
+                self.names += [(info.path, n) for n in range(count)]
+        self.names.sort()
+        self.held = None
+
+    def _read(self, path: str, number: int) -> pa.Table:
+        with self.where.open_input_file(path) as file:
+            rows = pq.ParquetFile(file).iter_batches(batch_size=1)
+            block = next(row for n, row in enumerate(rows) if n == number)
+        return pa.ipc.open_stream(block.column(0)[0].as_py()).read_all()
+
+    def indexes(self) -> Iterator[tuple[_Items, pa.DataType]]:
+        """All blocks; the next call begins with the last one, which is still there."""
+        for name in self.names:
+            if self.held is None or self.held[0] != name:
+                self.held = None
+                block = self._read(*name)
+                rows = zip(block.column(0).to_pylist(), block.column(1).to_pylist(), strict=True)
+                index = _Items.of(list(rows), self.tile_size)
+                self.held = (name, index, block.schema.field(0).type)
+            yield self.held[1:]
+        self.names.reverse()
 
 
 def overlaps(
@@ -191,43 +250,59 @@ def overlaps(
     id_columns: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """(id columns, item_id, coverage, tiles) of contaminated documents."""
-    spark = documents.sparkSession
     rows = documents.select(*id_columns, F.col("text").cast("string").alias("_text"))
     item_type = benchmark.schema["item_id"].dataType
     schema = rows.drop("_text").schema.add("item_id", item_type).add("coverage", "double")
     schema = schema.add("tiles", "long")
-    found = spark.createDataFrame([], schema)
-    for items in item_blocks(benchmark, "item_id", block_tokens):
-        block = spark.sparkContext.broadcast(items)
-        found = found.unionByName(
-            rows.mapInArrow(_tiler(block, tile_size, coverage, len(id_columns)), schema)
-        )
-    return found
+    folder = store_blocks(benchmark, block_tokens)
+    return rows.mapInArrow(_tiler(folder, tile_size, coverage, len(id_columns)), schema)
+
 
+def _together(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[list[pa.RecordBatch]]:
+    """Lists of batches with about ``limit`` bytes."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= limit:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
-def _tiler(block, tile_size: int, coverage: float, id_count: int):
+
+def _tiler(folder: str, tile_size: int, coverage: float, id_count: int):
     def tiled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items = _Items.of(block.value, tile_size)
-        item_type = pa.array([item for item, _ in block.value]).type
-        for batch in chunks(batches, "_text"):
-            at, found = [], []
-            for row, text in enumerate(batch.column(id_count).cast(pa.binary()).to_pylist()):
-                for hit in items.coverages(text or b"", tile_size):
-                    if hit[1] >= coverage:
-                        at.append(row)
-                        found.append(hit)
-            if not found:
-                continue
-            names, shares, tiles = zip(*found, strict=True)
-            columns = [c.take(pa.array(at)) for c in batch.columns[:id_count]]
-            columns += [pa.array(names, item_type), pa.array(shares), pa.array(tiles, pa.int64())]
-            yield pa.RecordBatch.from_arrays(
-                columns, [*batch.schema.names[:id_count], "item_id", "coverage", "tiles"]
-            )
+        blocks = _Blocks(folder, tile_size)
+        for together in _together(chunks(batches, "_text"), TEXT_BYTES):
+            for items, item_type in blocks.indexes():
+                for batch in together:
+                    found = _hits(batch, items, tile_size, coverage, id_count)
+                    if not found:
+                        continue
+                    at, names, shares, tiles = zip(*found, strict=True)
+                    columns = [c.take(pa.array(at)) for c in batch.columns[:id_count]]
+                    columns += [pa.array(names, item_type), pa.array(shares), pa.array(tiles, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(
+                        columns, [*batch.schema.names[:id_count], "item_id", "coverage", "tiles"]
+                    )
 
     return tiled
 
 
+def _hits(
+    batch: pa.RecordBatch, items: _Items, tile_size: int, coverage: float, id_count: int
+) -> list[tuple[int, object, float, int]]:
+    """(row, item, coverage, tiles) of the contaminated rows."""
+    texts = batch.column(id_count).cast(pa.binary())
+    return [
+        (row, *hit)
+        for row in range(batch.num_rows)
+        for hit in items.coverages(texts[row].as_py() or b"", tile_size)
+        if hit[1] >= coverage
+    ]
+
+
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that contain no benchmark item."""
     key = F.xxhash64(F.col("doc_id"), F.col("text"))

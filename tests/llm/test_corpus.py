@@ -840,6 +840,22 @@ def test_contaminated_documents(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [3, 4, 5, 6]
 
 
+def test_a_benchmark_of_many_blocks_is_one_plan(spark, monkeypatch):
+    """Fifty blocks or more: one scan of the documents, the same rows, no window."""
+    monkeypatch.setattr(decontamination, "TEXT_BYTES", 2000)
+    items = [(i, prose(5000 + i, 25)) for i in range(120)]
+    bench = spark.createDataFrame([*items, (None, items[7][1])], "item_id long, text string")
+    rows = [(i, f"{prose(i, 40)} {items[i][1]} {prose(900 + i, 60)}", "a") for i in range(0, 120, 3)]
+    docs = document_frame(spark, [*rows, (500, items[7][1], "a")])
+    found = decontamination.overlaps(docs, bench, block_tokens=50)
+    folder = decontamination.store_blocks(bench, 50)
+    assert spark.read.parquet(folder).count() >= 50
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan") == 1 and "Window" not in plan and "Union" not in plan
+    got = sorted((r["doc_id"], -1 if r["item_id"] is None else r["item_id"]) for r in found.collect())
+    assert got == sorted([(i, i) for i in range(0, 120, 3)] + [(500, 7), (500, -1)])
+
+
 def test_op9_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
     items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()
