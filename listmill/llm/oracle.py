@@ -11,8 +11,9 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 OP1 = rf"""
 WITH sizes AS (
   SELECT doc_id, source, CAST(len({WORDS}) AS BIGINT) AS size,
-    (CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13)
-      AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
+    1.0::DOUBLE + least(len({WORDS}) // 64, 8) / 8.0::DOUBLE AS weight,
+    (CAST(CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':'
+      || md5(coalesce(text, ''))), 1, 13) AS UBIGINT) AS DOUBLE) + 0.5) / 4503599627370496.0 AS u
   FROM documents
 ), totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -34,10 +35,27 @@ WITH sizes AS (
   SELECT source, source_size,
     CASE WHEN final.level IS NULL THEN top ELSE least(top, final.level * w) END AS target
   FROM levels, final
+), classes AS (
+  SELECT source, weight, sum(size) AS size FROM sizes GROUP BY source, weight
+), class_levels AS (
+  SELECT c.source, c.weight,
+    CASE WHEN sum(c.size * c.weight) OVER behind > 0 THEN
+      (t.target - 2.0::DOUBLE * coalesce(sum(c.size) OVER heavier, 0)) / sum(c.size * c.weight) OVER behind
+    END AS level
+  FROM classes c JOIN targets t ON c.source IS NOT DISTINCT FROM t.source
+  WINDOW heavier AS (PARTITION BY c.source ORDER BY c.weight DESC
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    behind AS (PARTITION BY c.source ORDER BY c.weight DESC
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), rates AS (
+  SELECT source, coalesce(max_by(level, weight) FILTER (WHERE level * weight <= 2),
+    2.0::DOUBLE / min(weight)) AS rate
+  FROM class_levels GROUP BY source
 ), rated AS (
   SELECT s.doc_id, s.source, s.size, s.u, t.source_size, t.target,
-    CASE WHEN t.source_size > 0 THEN least(t.target / t.source_size, 2.0) ELSE 0.0 END AS rate
+    CASE WHEN t.source_size > 0 THEN least(r.rate * s.weight, 2.0::DOUBLE) ELSE 0.0 END AS rate
   FROM sizes s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+    JOIN rates r ON s.source IS NOT DISTINCT FROM r.source
 ), ranked AS (
   SELECT *, floor(rate) AS whole,
     CASE WHEN rate > floor(rate)
@@ -46,7 +64,8 @@ WITH sizes AS (
 ), summed AS (
   SELECT *, target - sum(whole * size) OVER (PARTITION BY source) AS open,
     CASE WHEN rank IS NOT NULL THEN
-      sum(size) OVER (PARTITION BY source, rank IS NULL ORDER BY rank, doc_id NULLS FIRST) - size / 2
+      sum(size) OVER (PARTITION BY source, rank IS NULL ORDER BY rank, CAST(doc_id AS VARCHAR) NULLS FIRST)
+        - sum(size) OVER (PARTITION BY source, rank, doc_id) / 2
     END AS middle
   FROM ranked
 )

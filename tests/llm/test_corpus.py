@@ -6,10 +6,12 @@ import datetime as dt
 import hashlib
 import random
 import re
+import statistics
 import string
 import zlib
 from collections import defaultdict
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -32,6 +34,7 @@ from listmill.llm import (
     url_filter,
     warc,
 )
+from listmill.llm.oracle import ORACLE
 from listmill.llm.queries import QUERIES
 from tests.compare import mismatch
 
@@ -176,6 +179,52 @@ def test_mix_with_weights_prefers_heavier_documents(spark):
     assert 280 <= sum(counts.values()) <= 320
 
 
+def test_mix_prefers_long_documents_within_a_source(spark):
+    rows = [(i, prose(i, 10 if i % 2 else 700), "ab"[i % 4 // 2]) for i in range(800)]
+    docs = document_frame(spark, rows, clashing=False)
+    out = mixing.with_copies(*mixing.mixing_plan(docs, share=0.5)).collect()
+    for source in "ab":
+        mean = {
+            long: statistics.mean(r["copies"] for r in out if r["source"] == source and (r["size"] > 64) == long)
+            for long in (True, False)
+        }
+        assert mean[True] > 1.4 * mean[False] > 0
+        words = sum(r["copies"] * r["size"] for r in out if r["source"] == source)
+        assert abs(words - next(r["target"] for r in out if r["source"] == source)) <= 700
+
+
+def test_mix_against_brute_force_in_few_bins(spark, edge_rows, monkeypatch):
+    rows = [r for r in edge_rows if r[0] != 11]  # rows equal in id and text share their fate
+    docs = document_frame(spark, rows)
+    want = sorted((repr(r[0]), len(words_of(r[1])), n) for r, n in zip(rows, brute_mix(rows), strict=True))
+    for bins in (2, 1024):
+        monkeypatch.setattr(mixing, "BINS", bins)
+        got = mixing.with_copies(*mixing.mixing_plan(docs)).collect()
+        assert sorted((repr(r["doc_id"]), r["size"], r["copies"] if r["size"] else 0) for r in got) == [
+            (i, n, c if n else 0) for i, n, c in want
+        ]
+
+
+def test_mix_of_many_null_ids_meets_the_target(spark):
+    rows = [(None if i % 3 else 7, prose(i, 20), "a" if i % 5 else "b") for i in range(900)]
+    out = mixing.with_copies(*mixing.mixing_plan(document_frame(spark, rows), share=0.7)).collect()
+    for source in "ab":
+        own = [r for r in out if r["source"] == source]
+        assert abs(sum(r["copies"] * r["size"] for r in own) - own[0]["target"]) <= 20
+
+
+def test_mix_sql_agrees_on_edge_cases(spark, edge, folder):
+    edge.select("doc_id", "text", "source").write.parquet(f"{folder}/rows")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/rows/*.parquet'")
+    want = con.execute(ORACLE["op1_mix"]).fetchall()
+    sizes, cuts = mixing.mixing_plan(edge)
+    got = mixing.with_copies(sizes, cuts).select(
+        "doc_id", "size", "source_size", "target", F.col("copies") * F.col("size")
+    )
+    assert rows_of(got) == sorted(want, key=repr)
+
+
 def test_mix_of_nothing(nothing):
     assert mixing.mix(nothing).count() == 0
 
@@ -1041,30 +1090,45 @@ def test_one_document_of_each_group_stays(spark, edge, edge_rows, nothing):
 # --- pipeline -----------------------------------------------------------------------------
 
 
+def brute_rate(rows, target):
+    """Rate of a source's (words, weight), by capping documents at two copies again and again."""
+    left, open_ = target, [r for r in rows if r[0]]
+    while open_:
+        rate = left / sum(n * w for n, w in open_)
+        over = [r for r in open_ if rate * r[1] > 2]
+        if not over:
+            return rate
+        left -= sum(2 * n for n, _ in over)
+        open_ = [r for r in open_ if rate * r[1] <= 2]
+    return 2.0 if any(n for n, _ in rows) else 0.0
+
+
 def brute_mix(rows):
     """How often each row is taken, source by source in the order of the ranks."""
-    sizes = defaultdict(int)
-    for _, text, source in rows:
-        sizes[source] += len(words_of(text))
+    words, sizes = [len(words_of(r[1])) for r in rows], defaultdict(int)
+    for n, (_, _, source) in zip(words, rows, strict=True):
+        sizes[source] += n
+    weights = [1 + min(n // 64, 8) / 8 for n in words]
     targets, copies = brute_targets(sizes), [0] * len(rows)
     for source, target in targets.items():
-        rate = min(target / sizes[source], 2.0) if sizes[source] else 0.0
-        whole, p = int(rate), rate - int(rate)
         own = [i for i, r in enumerate(rows) if r[2] == source]
-        open_ = target - sum(whole * len(words_of(rows[i][1])) for i in own)
-        ranked = []
+        rate = brute_rate([(words[i], weights[i]) for i in own], target)
+        ranked, open_ = [], target
         for i in own:
-            copies[i] = whole
-            digest = hashlib.md5(f"mix:{rows[i][0]}".encode()).hexdigest()
+            expected = min(rate * weights[i], 2.0)
+            copies[i], p = int(expected), expected - int(expected)
+            open_ -= copies[i] * words[i]
+            text = hashlib.md5((rows[i][1] or "").encode()).hexdigest()
+            name = "" if rows[i][0] is None else rows[i][0]
+            digest = hashlib.md5(f"mix:{name}:{text}".encode()).hexdigest()
             u = (int(digest[:13], 16) + 0.5) / 16.0**13
             if p > 0:
-                ranked.append(((u / (1 - u)) / (p / (1 - p)), str(rows[i][0]), i))
+                ranked.append(((u / (1 - u)) / (p / (1 - p)), str(name), i))
         taken = 0
         for _, _, i in sorted(ranked):
-            size = len(words_of(rows[i][1]))
-            if taken + size / 2 > open_:
+            if taken + words[i] / 2 > open_:
                 break
-            taken += size
+            taken += words[i]
             copies[i] += 1
     return copies
 
