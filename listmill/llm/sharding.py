@@ -9,12 +9,16 @@ Law: ``bytes``. The first version deals the slots out in turn. Rebalancing takes
 each shard the slots that lift it over the mean and gives them, largest first, to the
 shard that has least; the same edit fills a shard that is added.
 
+A slot that holds more than an eighth of a shard, as the many copies of one row make it, is
+dealt out: its rows go to all slots by their place in the table. They are stored with
+their slots, so that a lost task cannot deal them out anew.
+
 A record's place in its shard is its place in its slot behind the slots before, so no
 task ranks more than one slot.
 
 Defined cases: a null text has no bytes (size 8, CRC of nothing); a null id is hashed
-like any value; equal rows share a slot and get places of their own; no rows give no
-rows. Columns other than id and text play no part in the slot.
+like any value; equal rows share a slot, unless it is dealt out, and get places of their own; no
+rows give no rows. Columns other than id and text play no part in the slot.
 """
 
 from __future__ import annotations
@@ -32,6 +36,8 @@ SHARDS = 24
 # What a record takes besides its text.
 ROW_BYTES = 8
 LAW = "bytes"
+# Slots are dealt out if fewer than this many would fill a shard.
+LEAST_SLOTS = 8
 
 _MAP = "version int, slot int, shard int, first_place long"
 
@@ -78,6 +84,12 @@ def rebalanced(owners: dict[int, int], sizes: dict[int, int], shards: int) -> di
     return kept
 
 
+def _by_slot(totals: DataFrame) -> tuple[dict[int, int], dict[int, int]]:
+    """Bytes and rows of each slot."""
+    found = totals.collect()  # one row per slot
+    return {r["slot"]: r["bytes"] for r in found}, {r["slot"]: r["rows"] for r in found}
+
+
 class SlotMap:
     """The stored versions of a slot-to-shard map; all of it is ``slots`` rows a version."""
 
@@ -108,19 +120,35 @@ class SlotMap:
     def rebalance(self, version: int, totals: DataFrame, shards: int) -> int:
         """Edit the newest version by the slots' bytes; returns the new version."""
         owners = {r["slot"]: r["shard"] for r in self.read(version).collect()}
-        found = totals.collect()  # one row per slot
-        sizes = {r["slot"]: r["bytes"] for r in found}
-        rows = {r["slot"]: r["rows"] for r in found}
+        sizes, rows = _by_slot(totals)
         self.write(version + 1, rebalanced(owners, sizes, shards), rows)
         return version + 1
 
 
-def balanced_map(records: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(slot, shard, first_place) of a new map that is balanced for these records."""
+def heavy_slots(sizes: dict[int, int], rows: dict[int, int], shards: int) -> list[int]:
+    """Slots of several rows with more than their share of a shard."""
+    most = sum(sizes.values()) / shards / LEAST_SLOTS
+    return sorted(slot for slot, size in sizes.items() if size > most and rows[slot] > 1)
+
+
+def balanced(records: DataFrame, shards: int = SHARDS) -> tuple[DataFrame, DataFrame]:
+    """The records with their final slots, and (slot, shard, first_place) of a new map for them.
+
+    ``records`` has slot and size; those of heavy slots are stored with the slots they are dealt to.
+    """
     spark = records.sparkSession
+    totals = stored(slot_totals(records), "slot-totals")
+    heavy = heavy_slots(*_by_slot(totals), shards)
+    if heavy:
+        is_heavy = F.col("slot").isin(heavy)
+        dealt = records.where(is_heavy).withColumn("slot", slot_of(F.monotonically_increasing_id()))
+        dealt = stored(dealt, "dealt-out")
+        records = records.where(~is_heavy).unionByName(dealt)
+        totals = totals.where(~is_heavy).unionByName(slot_totals(dealt))
+        totals = totals.groupBy("slot").agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows"))
     slot_map = SlotMap(spark, work_dir(spark, "slot-map"))
     slot_map.create(shards)
-    return slot_map.read(slot_map.rebalance(1, slot_totals(records), shards))
+    return records, slot_map.read(slot_map.rebalance(1, totals, shards))
 
 
 def _slotted(documents: DataFrame, *keep) -> DataFrame:
@@ -135,9 +163,9 @@ def _slotted(documents: DataFrame, *keep) -> DataFrame:
 
 def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     """The documents with a column ``shard``, in place of one of that name."""
-    owners = balanced_map(_slotted(documents).select("slot", "size"), shards)
     rest = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "shard"]
-    rows = _slotted(documents, F.struct(*rest).alias("row")).select("row", "slot")
+    rows = _slotted(documents, F.struct(*rest).alias("row")).select("row", "slot", "size")
+    rows, owners = balanced(rows, shards)
     # a map has SLOTS rows
     return rows.join(F.broadcast(owners), "slot").select("row.*", "shard")
 
@@ -145,7 +173,7 @@ def shard(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
 def op8_shard(spark, sf_dir: str) -> DataFrame:
     """Shard of every document and its place there."""
     records = stored(_slotted(table(spark, sf_dir, "documents")), "shard-records")
-    owners = balanced_map(records)
+    records, owners = balanced(records)
     in_slot = Window.partitionBy("slot").orderBy("doc_id", "text_crc32", "size")
     placed = records.withColumn("n", F.row_number().over(in_slot) - 1)
     return placed.join(F.broadcast(owners), "slot").select(
