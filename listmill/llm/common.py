@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,3 +56,13 @@ def chunks(
             held += n
         if start < len(sizes):
             yield batch.slice(start)
+
+
+def rows_of_table(folder: str) -> Iterator[dict]:
+    """Inside a task: the rows of a stored table of few, large rows, one in memory at a time."""
+    where, path = fs.FileSystem.from_uri(folder)
+    found = where.get_file_info(fs.FileSelector(path))
+    for name in sorted(i.path for i in found if i.base_name.endswith(".parquet")):
+        with where.open_input_file(name) as file:
+            for row in pq.ParquetFile(file).iter_batches(batch_size=1):
+                yield row.to_pylist()[0]

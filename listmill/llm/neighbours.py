@@ -8,9 +8,11 @@ anything shares with it. Then it ascends in all of them together, one bit at a t
 until the ranges hold ``SHARE`` of the block's vectors, ``LEAST`` at least.
 These candidates are measured exactly, and the block's best go on to the query's list.
 
-The index is a stored table with one row per block. Queries are a stated set of rows;
-they are broadcast in blocks of about ``QUERIES`` against all of the index, and
-nothing larger than such a block is in one place.
+The index is a stored table with one row per block. Queries are a stated set of rows, in
+blocks of about ``QUERIES``, a row each of another stored table; a task takes one block of the index
+through all of them, and holds no more than one of each. ``LEAST`` is a floor for blocks of less than
+1,280 vectors, of which tables of fewer rows than ``BLOCK`` may consist: there more than ``SHARE`` of
+a block is measured, never less.
 
 ``SHARE`` trades time for recall. The given vectors have no structure to find, their nearest
 neighbours being three quarters as far as any others; recall of 0.9 takes about four tenths.
@@ -30,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from listmill.llm.common import stored, table
+from listmill.llm.common import rows_of_table, stored, table
+from listmill.session import work_dir
 
 NEAREST = 10
 TREES = 48
@@ -42,6 +45,7 @@ QUERIES = 2048
 EVERY = 100
 
 _INDEX = "dim int, block long, ids binary, vectors binary, strings binary, places binary"
+_QUERIES = "dim int, ids binary, hashes binary, vectors binary"
 _FOUND = "query_id long, query_hash long, vec_id long, score double"
 
 
@@ -165,43 +169,59 @@ class Forest:
             yield q, self.ids[places[best]], away[best]
 
 
-def _search(block, count: int, share: float, trees: int, bits: int):
+def _search(folder: str, count: int, share: float, trees: int, bits: int):
+    """Each block of the index against all blocks of queries in the folder."""
+
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dim, ids, hashes, queries = block.value
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                if row["dim"] != dim:
-                    continue
-                found = list(Forest(row, trees, bits).nearest(ids, queries, count, share))
-                each = np.array([len(f[1]) for f in found])
-                q = np.repeat([f[0] for f in found], each)
-                columns = [
-                    ids[q],
-                    hashes[q],
-                    np.concatenate([f[1] for f in found]),
-                    np.concatenate([f[2] for f in found]),
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in columns], ["query_id", "query_hash", "vec_id", "score"]
-                )
+                forest = Forest(row, trees, bits)
+                for block in rows_of_table(folder):
+                    if block["dim"] == row["dim"]:
+                        yield _found(forest, block, count, share)
 
     return searched
 
 
-def query_blocks(queries: DataFrame, size: int) -> Iterator[tuple]:
-    """(dim, ids, hashes, vectors) of blocks of about ``size`` queries."""
-    counts = queries.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy("dim").collect()
-    for row in counts:
-        blocks = -(-row["n"] // size)
-        of_dim = queries.where(F.col("dim") == row["dim"])
-        for block in range(blocks):
-            part = of_dim.where(F.pmod(F.col("h"), F.lit(blocks)) == block)
-            rows = part.select("vec_id", "h", "vector").orderBy("vec_id", "h").collect()
-            if rows:
-                ids = np.array([r["vec_id"] for r in rows], np.int64)
-                hashes = np.array([r["h"] for r in rows], np.int64)
-                yield row["dim"], ids, hashes, np.array([r["vector"] for r in rows], np.float64)
+def _found(forest: Forest, block: dict, count: int, share: float) -> pa.RecordBatch:
+    ids, hashes = (np.frombuffer(block[c], np.int64) for c in ("ids", "hashes"))
+    queries = np.frombuffer(block["vectors"], np.float64).reshape(len(ids), -1)
+    found = list(forest.nearest(ids, queries, count, share))
+    q = np.repeat([f[0] for f in found], [len(f[1]) for f in found])
+    columns = [
+        ids[q],
+        hashes[q],
+        np.concatenate([f[1] for f in found]),
+        np.concatenate([f[2] for f in found]),
+    ]
+    names = ["query_id", "query_hash", "vec_id", "score"]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    ids, hashes = (group[c].to_numpy() for c in ("vec_id", "h"))
+    dim = group["dim"][0].as_py()
+    vectors = group["vector"].combine_chunks().flatten().to_numpy().reshape(-1, dim)
+    order = np.lexsort((hashes, ids))
+    row = {"dim": pa.array([dim], pa.int32())}
+    for name, column in (("ids", ids), ("hashes", hashes), ("vectors", vectors)):
+        row[name] = [column[order].tobytes()]
+    return pa.table(row)
+
+
+def store_queries(queries: DataFrame, size: int) -> str:
+    """The folder of a table with the different queries in blocks of about ``size``, a row each."""
+    rows = queries.dropDuplicates(["vec_id", "h"])
+    counts = rows.groupBy(F.col("dim").alias("d")).agg(F.count(F.lit(1)).alias("n"))
+    # a row per vector length
+    blocks = stored(counts.select("d", F.ceil(F.col("n") / size).alias("blocks")), "query-counts")
+    dealt = rows.join(blocks, F.col("dim") == F.col("d")).select(
+        "vec_id", "h", "vector", "dim", F.pmod(F.col("h"), F.col("blocks")).alias("block")
+    )
+    folder = work_dir(queries.sparkSession, "query-blocks")
+    dealt.groupBy("dim", "block").applyInArrow(_packed, _QUERIES).write.parquet(folder)
+    return folder
 
 
 def nearest_neighbours(
@@ -213,16 +233,11 @@ def nearest_neighbours(
     bits: int = BITS,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score); both frames as ``usable`` gives them."""
-    spark = vectors.sparkSession
     index = build_index(vectors, trees, bits)
     blocks = max(index.count(), 1)
-    queries = stored(queries.dropDuplicates(["vec_id", "h"]), "queries")
-    found = spark.createDataFrame([], _FOUND)
-    for part in query_blocks(queries, QUERIES):
-        block = spark.sparkContext.broadcast(part)
-        search = _search(block, count, share, trees, bits)
-        rows = index.repartition(blocks, "dim", "block").mapInArrow(search, _FOUND)
-        found = found.unionByName(stored(rows, "found"))
+    search = _search(store_queries(queries, QUERIES), count, share, trees, bits)
+    found = index.repartition(blocks, "dim", "block").mapInArrow(search, _FOUND)
+    found = stored(found, "found")
     best = Window.partitionBy("query_id", "query_hash").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))
