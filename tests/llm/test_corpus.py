@@ -753,6 +753,37 @@ def test_a_repeated_vector_is_dealt_out_once(spark, monkeypatch):
     assert sizes.value == 201
 
 
+def test_op7_recall_as_registered(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    got = QUERIES["op7_neighbours"](spark, sf_dir).collect()
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()
+    ids = np.array([r["vec_id"] for r in table])
+    vectors = np.array([r["embedding"] for r in table], float)
+    found = defaultdict(set)
+    for r in got:
+        found[r["query_id"]].add(r["vec_id"])
+    hits = 0
+    queries = [i for i in range(len(ids)) if ids[i] % 100 == 0]
+    for q in queries:
+        away = np.sqrt(((vectors - vectors[q]) ** 2).sum(axis=1))
+        away[q] = np.inf
+        hits += len(found[ids[q]] & set(ids[np.lexsort((ids, away))[:10]].tolist()))
+    assert len(found) == len(queries) and hits >= 0.9 * 10 * len(queries)
+
+
+def test_queries_in_many_blocks_are_one_plan(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=4 + i % 2).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    vectors = neighbours.usable(frame)
+    few = neighbours.nearest_neighbours(vectors, vectors)
+    monkeypatch.setattr(neighbours, "QUERIES", 7)
+    many = neighbours.nearest_neighbours(vectors, vectors)
+    assert rows_of(few) == rows_of(many)
+    plans = [len(df._jdf.queryExecution().optimizedPlan().toString()) for df in (few, many)]
+    assert plans[1] < 1.2 * plans[0]
+
+
 def test_neighbours_of_nothing(spark):
     vectors = neighbours.usable(spark.createDataFrame([], "vec_id long, embedding array<float>"))
     assert neighbours.nearest_neighbours(vectors, vectors).count() == 0
@@ -809,6 +840,39 @@ def test_op8_rows(spark):
     assert all(sorted(p) == list(range(len(p))) for p in places.values())
 
 
+def shard_sizes(rows):
+    sizes = dict.fromkeys(range(24), 0)
+    for shard, size in rows:
+        sizes[shard] += size
+    return sizes.values()
+
+
+def test_op8_sizes_are_near_equal(spark):
+    rows = QUERIES["op8_shard"](spark, "/root/testdata/sf0.1").select("shard", "size").collect()
+    sizes = shard_sizes(rows)
+    assert max(sizes) - min(sizes) <= 0.01 * max(sizes)
+
+
+def test_copies_of_one_row_are_dealt_out(spark, folder):
+    """A third of all rows are one row; others are null throughout."""
+    rows = [(i, prose(i, 12), "a") for i in range(1500)] + [(7, prose(7, 12), "a")] * 1000
+    rows += [(None, None, None)] * 500
+    docs = document_frame(spark, rows, clashing=False)
+    docs.write.parquet(f"{folder}/documents.parquet")
+    got = QUERIES["op8_shard"](spark, folder).collect()
+    assert len(got) == 3000
+    sizes = shard_sizes((r["shard"], r["size"]) for r in got)
+    assert max(sizes) - min(sizes) <= 0.05 * max(sizes)
+    places = defaultdict(list)
+    for r in got:
+        places[r["shard"]].append(r["slot"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    out = sharding.shard(docs).collect()
+    assert sorted(r["doc_id"] or -1 for r in out) == sorted(r[0] or -1 for r in rows)
+    sizes = shard_sizes((r["shard"], len(r["text"] or "") + 8) for r in out)
+    assert max(sizes) - min(sizes) <= 0.05 * max(sizes)
+
+
 def test_shards_of_nothing(nothing):
     assert sharding.shard(nothing).count() == 0
 
