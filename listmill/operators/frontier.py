@@ -33,9 +33,10 @@ SAMPLE_SIZE = 2400
 
 def _known(members: DataFrame, keys: DataFrame, size: int) -> DataFrame:
     """The keys, each there once, that the set has; ``size`` is what they take."""
-    found = join_unique(
-        members.select(*keys.columns), broadcast_if_small(keys, size), keys.columns, "left_semi"
-    )
+    # Members and stored keys are there once each: no key is hot, and a set that is
+    # stored in buckets by the key stays where it is.
+    rows = members.select(*keys.columns).dropna()
+    found = rows.join(broadcast_if_small(keys, size), keys.columns, "left_semi")
     known, size = stored_keys(found.distinct(), "known")
     return broadcast_if_small(known, size)
 
@@ -97,8 +98,9 @@ def to_remove(pending: DataFrame, done: DataFrame) -> DataFrame:
 
 def new_visited(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:
     """Rows to append to the visited set for URLs that are done."""
-    ids = done.select(F.lit(target).alias("target"), url_id(F.col("url")).alias("id"))
-    return _new_members(visited, ids)
+    ids = done.select(url_id(F.col("url")).alias("id"))
+    fresh = _new_members(visited.where(F.col("target") == target), ids)
+    return fresh.select(F.lit(target).alias("target"), "id")
 
 
 def visited_add(visited: DataFrame, done: DataFrame, target: str) -> DataFrame:

@@ -23,13 +23,19 @@ from listmill.operators.frontier import (
 )
 from listmill.operators.offsets import behind, next_offsets, resume
 from listmill.operators.refine import SPECS, RefineSpec, refine
-from listmill.schemas import OFFSETS, TARGETS, VISITED
+from listmill.schemas import OFFSETS, TARGETS
 from listmill.sources.delta import upsert_delta
 from listmill.sources.log import kafka_options, read_kafka
-from listmill.sources.paths import read_or_empty
 from listmill.sources.pending import add_pending, read_pending, remove_pending
 from listmill.sources.state import commit_offsets, read_offsets
-from listmill.sources.tables import append_bronze, read_bronze, upsert_silver
+from listmill.sources.tables import (
+    append_bronze,
+    bronze_files,
+    read_bronze,
+    read_bronze_files,
+    upsert_silver,
+)
+from listmill.sources.visited import append_visited, read_visited
 from listmill.sources.work import append_counted, stored
 
 
@@ -127,7 +133,8 @@ def ingest(
 
     The offsets come from the rows that were stored, so they never run ahead of
     them; a run that dies in between leaves rows that the next one reads again,
-    and refining keeps one of them. The log is read once.
+    and refining keeps one of them. The log is read once, and of bronze only the files
+    that this run has added (of a Delta table, the date).
     """
     _require(topic=source.topic, sink=sink, state=state)
     if target not in TARGETS:
@@ -138,10 +145,15 @@ def ingest(
 
     offsets = read_offsets(spark, state, target).where(F.col("topic") == source.topic)
     unread = to_bronze(source.unread(spark, target, offsets), date)
+    by_file = table_format == "parquet"
+    before = bronze_files(spark, sink, date) if by_file else set()
     rows = append_bronze(unread, sink, table_format=table_format)
     if rows:
-        stored = bronze_for_date(read_bronze(spark, sink, table_format), date)
-        read = stored.where(F.col("topic") == source.topic)
+        if by_file:
+            added = read_bronze_files(spark, sink, bronze_files(spark, sink, date) - before)
+        else:
+            added = bronze_for_date(read_bronze(spark, sink, table_format), date)
+        read = added.where(F.col("topic") == source.topic)
         commit_offsets(next_offsets(read, target), state)
     return IngestReport(date, rows)
 
@@ -225,8 +237,8 @@ def record_fetches(
     ok = stored(ok, "fetched")
     written = append_counted(ok.select("value"), messages)
     added = add_pending(spark, pending, ok.select(F.col("related").alias("url")))
-    seen = read_or_empty(spark, visited, VISITED)
-    marked = append_counted(new_visited(seen, ok, target), visited)
+    seen = read_visited(spark, visited)
+    marked = append_visited(new_visited(seen, ok, target), visited)
     removed = remove_pending(spark, drawn_from or pending, ok.select("url"))
     return FetchReport(written, added, marked, removed)
 
@@ -235,9 +247,7 @@ def draw_round(
     spark: SparkSession, pending: str, visited: str, target: str, n: int = SAMPLE_SIZE, seed: str = ""
 ) -> DataFrame:
     """URLs to fetch, from a sample of the stored pending set; those visited already leave it."""
-    drawn = draw(
-        read_pending(spark, pending), read_or_empty(spark, visited, VISITED), target, n, seed
-    )
+    drawn = draw(read_pending(spark, pending), read_visited(spark, visited), target, n, seed)
     remove_pending(spark, pending, drawn.stale)
     return drawn.to_fetch
 

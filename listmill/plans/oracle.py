@@ -57,6 +57,42 @@ SOLD = _parsed(d.SOLD, "sold_props")
 HOME_ID = f"CASE WHEN {d.NO_HOME} THEN NULL ELSE TRY_CAST(l_orderkey AS INT) END"
 
 
+def _json_fields(fields: dict) -> str:
+    """JSON text of the fields as the page says them, each behind a comma; nulls are left out."""
+    items = []
+    for field, value in fields.items():
+        if isinstance(value, dict):
+            items.append(f"""',"{field}":{{' || substr({_json_fields(value)}, 2) || '}}'""")
+        elif isinstance(value, list):
+            items.append(f"""',"{field}":' || CAST(to_json([{', '.join(value)}]) AS VARCHAR)""")
+        else:
+            said = value[0] if isinstance(value, tuple) else value
+            items.append(
+                f"""CASE WHEN ({said}) IS NULL THEN '' ELSE ',"{field}":' || CAST(to_json({said}) AS VARCHAR) END"""
+            )
+    return f"({' || '.join(items)})"
+
+
+def _object(fields: dict) -> str:
+    """Text of the page object, line break and wrong values included."""
+    rest = {k: v for k, v in fields.items() if k not in ("id", "water_distance")}
+    distance = ""
+    if "water_distance" in fields:
+        distance = f"""',"water_distance":', l_partkey, CASE WHEN {d.DISTANCE_IS_FRACTION} THEN '.5' ELSE '' END,"""
+    return f"""concat('{{', CASE WHEN {d.OBJECT_ON_TWO_LINES} THEN chr(10) ELSE '' END, '"id":',
+        CASE WHEN {d.ID_IS_TEXT} THEN '"n/a"' ELSE CAST(l_orderkey AS VARCHAR) END,
+        {distance} {_json_fields(rest)}, '}}')"""
+
+
+TRAILING = f"""CASE WHEN {d.TRAILING_KEYS} THEN ',"user":{{"login":false}}' ELSE '' END"""
+
+FORSALE_PAGE = f"""concat('<!DOCTYPE html>', chr(10), '<html><head><meta charset="utf-8"><script>', chr(10),
+    CASE WHEN {d.NO_DATA_LAYER} THEN 'var x = 1;' ELSE
+        concat('dataLayer =', CASE WHEN {d.BREAK_BEFORE_BRACKET} THEN concat(chr(10), '  ') ELSE ' ' END,
+            '[{{"page":"listing","property":', {_object(d.FORSALE)}, {TRAILING}, '}}];') END,
+    chr(10), '</script></head>', chr(10), '<body><h1>Listing ', l_orderkey, '</h1></body></html>')"""
+
+
 def _silver(date: str, target: str) -> str:
     """Rows of all line items before one per key is kept, with their order."""
     common = f"""{date} AS ingestion_date, {LINE_URL} AS url, CAST(l_linenumber AS DOUBLE) AS collected_on,
@@ -110,9 +146,10 @@ def _each_match(condition: str) -> str:
         WHERE listing_id NOT IN (SELECT listing_id FROM t)"""
 
 
-def _embedded(found: str, number: str) -> str:
+def _embedded(found: str, number: str, fields: dict) -> str:
     return f"""SELECT CAST(l_orderkey AS VARCHAR) AS url_key, {OFFSET} AS "offset", {d.PARTITION} AS partition,
-        {found} AS found, CASE WHEN {found} AND NOT ({d.ID_IS_TEXT}) THEN {number} END AS id FROM lineitem"""
+        md5(CASE WHEN {found} THEN concat({_object(fields)}, {TRAILING}) ELSE '' END) AS text_md5,
+        CASE WHEN {found} AND NOT ({d.ID_IS_TEXT}) THEN {number} END AS id FROM lineitem"""
 
 
 HAS_OBJECT = f"NOT ({d.NO_DATA_LAYER} OR {d.OBJECT_ON_TWO_LINES})"
@@ -172,15 +209,15 @@ ORACLE = {
     "envelope_parse": f"""
         SELECT {SHIP_DATE} AS ingestion_date, {OFFSET} AS "offset", {d.PARTITION} AS partition, {LINE_URL} AS url,
             CAST(l_linenumber AS DOUBLE) AS collected_on, CAST(l_orderkey AS VARCHAR) AS url_key,
-            {d.PROP_TYPE} AS prop_type, true AS has_source
+            {d.PROP_TYPE} AS prop_type, md5({FORSALE_PAGE}) AS source_md5
         FROM lineitem""",
     "url_key": """
         SELECT page_id, tail, list_extract(string_split(tail, '-'), -1) AS url_key,
             list_extract(string_split(tail, '-'), 1) AS prop_type
         FROM (SELECT page_id, list_extract(string_split(url, '/'), -1) AS tail FROM pages)""",
     "url_id_whole": "SELECT page_id, list_extract(string_split(url, '-'), -1) AS id FROM pages",
-    "datalayer_property": _embedded(HAS_OBJECT, "l_orderkey"),
-    "datalayer_sold": _embedded(HAS_OBJECT, "l_orderkey"),
+    "datalayer_property": _embedded(HAS_OBJECT, "l_orderkey", d.FORSALE),
+    "datalayer_sold": _embedded(HAS_OBJECT, "l_orderkey", d.SOLD),
     "props_forsale": f"""
         SELECT {OFFSET} AS "offset", {d.PARTITION} AS partition, {FORSALE} FROM lineitem WHERE {LISTED}""",
     "props_canonical": f"""
@@ -220,6 +257,9 @@ ORACLE = {
     "frontier_unvisited": f"""
         SELECT {LINE_URL} AS url, l_linenumber, l_shipdate FROM lineitem
         WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus = 'F')""",
+    "visited_buckets": f"""
+        SELECT {LINE_URL} AS url, l_linenumber, l_shipdate FROM lineitem
+        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus IN ('F', 'P'))""",
     "frontier_commit": f"""
         SELECT 'pending' AS part, {ORDER_URL} AS item FROM orders WHERE o_orderstatus <> 'F'
         UNION ALL SELECT 'visited', CAST(o_orderkey AS VARCHAR) FROM orders
@@ -248,6 +288,7 @@ ORACLE = {
     "sitemap_urls": f"""
         SELECT o_orderkey, url, false AS broken FROM ({SITEMAP_URLS}) WHERE NOT {CUT_OFF}
         UNION ALL SELECT o_orderkey, NULL, true FROM orders WHERE {CUT_OFF}""",
+    "sitemap_files": f"SELECT url FROM ({SITEMAP_URLS})",
     "sitemap_round": f"""
         SELECT o_orderkey, url FROM ({SITEMAP_URLS}) WHERE NOT (o_orderstatus = 'F' AND url LIKE '{LISTING_ORDER}%')""",
     "fetch_round": f"""

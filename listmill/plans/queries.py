@@ -50,6 +50,7 @@ from listmill.session import work_dir
 from listmill.sources.log import read_replay
 from listmill.sources.paths import remove_path
 from listmill.sources.pending import add_pending, read_pending
+from listmill.sources.sitemaps import read_sitemap_files
 from listmill.sources.state import commit_offsets, read_offsets, reset_offsets
 from listmill.sources.tables import (
     append_bronze,
@@ -58,6 +59,7 @@ from listmill.sources.tables import (
     silver_exists,
     upsert_silver,
 )
+from listmill.sources.visited import append_visited, lay_out, read_visited
 from listmill.streaming.ingest import ingest_stream
 from listmill.streaming.refine import refine_stream
 
@@ -200,7 +202,7 @@ def envelope_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def envelope_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = parse_messages(_bronze(spark, sf_dir, FORSALE))
-    return messages.withColumn("has_source", F.length("source") > 0).drop("source", "topic")
+    return messages.withColumn("source_md5", F.md5("source")).drop("source", "topic")
 
 
 def url_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,7 +225,7 @@ def _embedded(spark: SparkSession, sf_dir: str, spec: RefineSpec, name: str) ->
     found = messages.select("url_key", "offset", "partition", text.alias("text"))
     number = F.from_json("text", "id long")["id"]
     return found.select(
-        "url_key", "offset", "partition", (F.col("text") != "").alias("found"), number.alias("id")
+        "url_key", "offset", "partition", F.md5("text").alias("text_md5"), number.alias("id")
     )
 
 
@@ -436,6 +438,21 @@ def frontier_unvisited(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frontier.unvisited(candidates, _visited(spark, sf_dir), "sold")
 
 
+def visited_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates looked up in a set in buckets: laid out, appended to, laid out anew."""
+    path = f"{work_dir(spark, 'visited')}/set"
+    urls = derived.order_urls(spark, sf_dir)
+    for part, buckets in (("o_orderstatus = 'F'", 16), ("o_orderstatus = 'P'", 4)):
+        done = urls.where(part).select("url")
+        append_visited(frontier.new_visited(read_visited(spark, path), done, "sold"), path)
+        lay_out(spark, path, buckets)
+    append_visited(frontier.new_visited(read_visited(spark, path), urls, "forsale"), path)
+    candidates = table(spark, sf_dir, "lineitem").select(
+        derived.listing_url().alias("url"), "l_linenumber", "l_shipdate"
+    )
+    return frontier.unvisited(candidates, read_visited(spark, path), "sold")
+
+
 def frontier_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both sets after finished orders were fetched for the other target too."""
     pending = derived.order_urls(spark, sf_dir).select("url")
@@ -534,6 +551,21 @@ def sitemap_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sitemap_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The URLs of the same documents, joined to large ones, a compressed file each."""
+    folder = work_dir(spark, "sitemaps")
+    items = F.regexp_extract("xml", "(?s)<urlset[^>]*>(.*)</urlset>", 1)
+    head = F.regexp_extract("xml", "(?s)^(.*<urlset[^>]*>)", 1)
+    large = (
+        _sitemaps(spark, sf_dir)
+        .groupBy(F.expr("o_orderkey div 10000").alias("part"))
+        .agg(F.first(head).alias("head"), F.array_join(F.collect_list(items), "\n").alias("items"))
+    )
+    text = large.select(F.concat("head", "items", F.lit("</urlset>")).alias("xml"))
+    text.write.option("maxRecordsPerFile", 1).text(folder, compression="gzip")
+    return read_sitemap_files(spark, folder).select("url")
+
+
 def sitemap_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sitemaps' URLs that are not visited."""
     return jobs.sitemap_round(_sitemaps(spark, sf_dir), _visited(spark, sf_dir), "sold")
@@ -628,6 +660,7 @@ QUERIES = _NAMED | {
         daily_run_sold,
         stream_refine,
         frontier_unvisited,
+        visited_buckets,
         frontier_commit,
         pending_add,
         frontier_sample,
@@ -637,6 +670,7 @@ QUERIES = _NAMED | {
         link_extract_sold,
         related_link,
         sitemap_urls,
+        sitemap_files,
         sitemap_round,
         fetch_ok,
         fetch_round,

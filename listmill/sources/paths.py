@@ -29,6 +29,15 @@ def folder_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in files.listStatus(folder) if s.isDirectory()]
 
 
+def file_paths(spark: SparkSession, path: str) -> set[str]:
+    """Paths of the data files in ``path``, as far as it exists."""
+    files, folder = _folder(spark, path)
+    if not files.exists(folder):
+        return set()
+    found = (s.getPath() for s in files.listStatus(folder) if s.isFile())
+    return {p.toString() for p in found if p.getName()[0] not in "._"}
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The Parquet table at ``path``, or no rows where nothing has been written."""
     if path_exists(spark, path):

@@ -34,7 +34,7 @@ from listmill.operators import merge
 from listmill.operators.joins import broadcast_if_small, key_bytes
 from listmill.operators.merge import DATE
 from listmill.schemas import BRONZE
-from listmill.sources.paths import folder_names, path_exists, read_or_empty, remove_path
+from listmill.sources.paths import file_paths, folder_names, path_exists, read_or_empty, remove_path
 
 # Where Spark's file sink lists the files of a stream's table.
 STREAM_LOG = "_spark_metadata"
@@ -75,6 +75,16 @@ def read_bronze(spark: SparkSession, path: str, table_format: str = "parquet") -
     return spark.read.format(table_format).load(path)
 
 
+def bronze_files(spark: SparkSession, path: str, date: dt.date) -> set[str]:
+    """Paths of the Parquet files that hold a date of the bronze table."""
+    return file_paths(spark, f"{path}/{DATE}={date}")
+
+
+def read_bronze_files(spark: SparkSession, path: str, files: set[str]) -> DataFrame:
+    """The rows of some of the table's Parquet files."""
+    return spark.read.schema(BRONZE).option("basePath", path).parquet(*sorted(files))
+
+
 def _entries(spark: SparkSession, path: str) -> DataFrame:
     return read_or_empty(spark, f"{path}/dates", _DATES)
 

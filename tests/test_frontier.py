@@ -1,9 +1,13 @@
+import gzip
+
 import pytest
 from pyspark.sql import Observation
 
 from listmill.operators import frontier
 from listmill.plans.jobs import draw_round, sitemap_round
 from listmill.sources.paths import remove_path
+from listmill.sources.sitemaps import SITEMAP, read_sitemap_files
+from listmill.sources.visited import append_visited, lay_out, read_visited, visited_among
 from listmill.sources.pending import add_pending, fold_pending, read_pending, remove_pending
 from tests.conftest import final_plan
 
@@ -189,3 +193,64 @@ def test_extraction_keeps_the_page_columns(spark):
     assert sorted(map(tuple, frontier.extract_links(pages).collect())) == [(1, "/a"), (1, "/b")]
     related = spark.createDataFrame([("<link rel='prev' href='/p'>",)] * 3 + [("",)], "html string")
     assert texts(frontier.related_links(related)) == ["/p"]
+
+
+def test_a_set_in_buckets_is_looked_up_where_it_is(spark, sets, conf, folder):
+    path = f"{folder}/visited"
+    before = read_visited(spark, path).count()
+    lay_out(spark, path, 8)
+    assert read_visited(spark, path).count() == before
+    new = spark.createDataFrame([("sold", "it's new"), ("forsale", "5")], "target string, id string")
+    assert append_visited(new, path) == 2
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", listmill__broadcastBytes="0")
+    ids, _ = frontier.stored_keys(spark.range(0, 2000, 2).selectExpr("cast(id AS string) AS id"), "ids")
+    members = read_visited(spark, path).where("target = 'sold'").select("id")
+    found = members.join(ids, "id", "left_semi")
+    plan = final_plan(found)
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    some = urls(spark, "u-1", "v-it's new", "w-5", "x-7777", None)
+    assert texts(frontier.unvisited(some, read_visited(spark, path), "sold")) == ["x-7777"]
+    fresh = frontier.new_visited(read_visited(spark, path), some, "forsale")
+    assert sorted(r["id"] for r in fresh.collect()) == ["1", "7777", "it's new"]
+    lay_out(spark, path, 4)
+    assert read_visited(spark, path).count() == before + 2
+
+
+def test_few_ids_are_read_from_their_buckets(spark, sets, folder):
+    path = f"{folder}/visited"
+    lay_out(spark, path, 8)
+    found = visited_among(spark, path, "sold", ["17", "nowhere"])
+    assert [r["id"] for r in found.collect()] == ["17"]
+    scan = found._jdf.queryExecution().sparkPlan().collectLeaves().head()
+    assert scan.optionalBucketSet().get().cardinality() <= 2
+    with pytest.raises(ValueError):
+        visited_among(spark, path, "sold", ["1"] * 1001)
+
+
+def test_a_layout_that_died_is_none(spark, sets, folder):
+    path = f"{folder}/visited"
+    lay_out(spark, path, 4)
+    lay_out(spark, path, 8)
+    remove_path(spark, f"{path}/_buckets-2/_SUCCESS")
+    assert read_visited(spark, path).count() == 1000
+    assert append_visited(spark.sql("SELECT 'sold' AS target, 'x' AS id"), path) == 1
+    lay_out(spark, path, 2)
+    assert read_visited(spark, path).count() == 1001
+
+
+def test_sitemap_files(spark, folder):
+    head = '<?xml version="1.0"?>\n<urlset xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'
+    items = "".join(f"<url>\n <loc> http://h/a-{i}&amp;x=1 </loc><priority>1</priority></url>" for i in range(50))
+    with open(f"{folder}/a.xml", "w") as f:
+        f.write(f"{head}{items}</urlset>")
+    with gzip.open(f"{folder}/b.xml.gz", "wt") as f:
+        f.write("<sitemapindex><sitemap><loc>http://h/map</loc></sitemap><sitemap/></sitemapindex>")
+    rows = read_sitemap_files(spark, folder).collect()
+    assert sorted(r["url"] for r in rows) == sorted(f"http://h/a-{i}&x=1" for i in range(50))
+    assert {r["file"].rsplit("/", 1)[1] for r in rows} == {"a.xml"}
+    maps = read_sitemap_files(spark, folder, SITEMAP).collect()
+    assert [r["url"] for r in maps] == ["http://h/map"]
+    with open(f"{folder}/c.xml", "w") as f:
+        f.write(f"{head}<url><loc>http://h/c</lok></url></urlset>")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_sitemap_files(spark, folder).collect()

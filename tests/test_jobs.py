@@ -85,6 +85,21 @@ def test_ingest_resumes(spark, folder):
     assert ingest(spark, ReplayTopic("t", more), f"{folder}/sold", "sold", state).rows == 5
 
 
+def test_offsets_come_from_the_files_of_the_run(spark, folder, monkeypatch):
+    read, whole = [], jobs.next_offsets
+
+    def noting(rows, target):
+        read.append(set(rows.inputFiles()))
+        return whole(rows, target)
+
+    monkeypatch.setattr(jobs, "next_offsets", noting)
+    messages = [message(i, i) for i in range(1, 5)]
+    for n in (2, 4):
+        ingest(spark, ReplayTopic("t", log(spark, *messages[:n])), f"{folder}/b", "sold", f"{folder}/o", D1)
+    assert read[0] and read[1] and not read[0] & read[1]
+    assert len(positions(spark, f"{folder}/b")) == 4
+
+
 def test_a_lost_commit_reads_again(spark, folder, monkeypatch):
     rows, silver, state = f"{folder}/rows", f"{folder}/silver", f"{folder}/state"
     source = ReplayTopic("t", log(spark, message(1, 1), message(2, 2)))
