@@ -18,6 +18,8 @@ from tokenizers import Tokenizer
 
 # Words that are encoded at once.
 SLICE = 1 << 14
+# Punctuation behind words whose ids are remembered.
+TAILS = 1 << 12
 
 # Words that both byte-level vocabularies cut in the same simple way: letters up to U+00FF,
 # then punctuation without an apostrophe. All others take the tokenizer's own way.
@@ -59,25 +61,36 @@ def word_encoder(
     Plain words go to the merges directly, which leaves out the work of normalizing
     and of keeping offsets.
     """
-    tokenize = tokenizer.model.tokenize
+    tokenize, plain = tokenizer.model.tokenize, _PLAIN.fullmatch
     first = "".join(_LETTERS[b] for b in before.encode())
+    # few and frequent, unlike the words that they end
+    tails: dict[str, list[int]] = {}
 
-    def letters(part: str) -> str:
-        return part if part.isascii() else part.encode().decode("latin-1").translate(_LETTERS)
+    def tail_ids(tail: str) -> list[int]:
+        ids = tails.get(tail)
+        if ids is None:
+            if len(tails) >= TAILS:
+                tails.clear()
+            ids = tails[tail] = [t.id for t in tokenize(tail)]
+        return ids
 
     def encode(words: list[str]) -> list[list[int]]:
         found: list = []
         rest = []
         for word in words:
-            m = _PLAIN.fullmatch(word)
+            m = plain(word)
             if m is None:
                 rest.append(len(found))
                 found.append(None)
                 continue
             head, tail = m.groups()
-            ids = [t.id for t in tokenize(first + letters(head.lower() if lower else head))]
+            if lower:
+                head = head.lower()
+            if not head.isascii():
+                head = head.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in tokenize(first + head)]
             if tail:
-                ids += [t.id for t in tokenize(tail)]
+                ids += tail_ids(tail)
             found.append(ids)
         others = [before + words[i] for i in rest]
         for i, e in zip(rest, tokenizer.encode_batch(others, add_special_tokens=False), strict=True):
@@ -88,22 +101,26 @@ def word_encoder(
 
 
 class WordIds:
-    """Ids of words by an encoder, remembered up to ``limit`` words."""
+    """Ids of words by an encoder, remembered up to about ``limit`` words.
+
+    The older half goes when there are that many, so words that come again and again stay.
+    """
 
     def __init__(self, encode: Callable[[list[str]], list[list[int]]], limit: int = 1 << 18):
         self.encode, self.limit = encode, limit
         # ids as the bytes of 32-bit integers, which take a third of a list
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def of_words(self, words: pa.Array) -> pa.ListArray:
         """A list of ids for every word."""
         distinct = words.dictionary_encode()
         own = distinct.dictionary.to_pylist()
-        known = self.known
+        if len(self.known) > self.limit // 2:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        known.update((w, older[w]) for w in own if w in older)
         new = [w for w in own if w not in known]
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            new = own
         for at in range(0, len(new), SLICE):
             part = new[at : at + SLICE]
             known.update((w, array("i", i).tobytes()) for w, i in zip(part, self.encode(part), strict=True))
