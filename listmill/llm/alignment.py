@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
@@ -40,7 +41,7 @@ from listmill.llm.tokens import WordIds, byte_letters, filled, load, read_file,
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 # SentencePiece writes a space so.
 _SPACE = "▁"
@@ -149,6 +150,14 @@ def _marked_numbers(most: int) -> pa.Array:
     return pa.array([f"{i}{mark}" for i in range(most) for mark in ",|;"], pa.large_binary())
 
 
+@lru_cache(maxsize=1)
+def _sides(byte_level: bytes, pieces: bytes) -> tuple[_Side, _Side, pa.Array]:
+    """Both sides and the marked numbers of their ids, loaded once in a worker, not in each task:
+    freed tokenizers leave holes, so a worker would grow with its tasks."""
+    a_side, b_side = byte_level_side(byte_level), piece_side(pieces)
+    return a_side, b_side, _marked_numbers(max(len(a_side.texts), len(b_side.texts)))
+
+
 def _group_texts(
     a: pa.Table, b: pa.Table, last_a: np.ndarray, last_b: np.ndarray, whose: np.ndarray, numbers: pa.Array
 ) -> tuple[memoryview, np.ndarray]:
@@ -243,8 +252,7 @@ def _pieces(rows: DataFrame, byte_level: str, pieces: str, digest: bool) -> Data
     names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a_side, b_side = byte_level_side(models.value[0]), piece_side(models.value[1])
-        numbers = _marked_numbers(max(len(a_side.texts), len(b_side.texts)))
+        a_side, b_side, numbers = _sides(*models.value)
         piece = TaskContext.get().partitionId() << 32
         for batch in chunks(batches, "_text", PIECE_BYTES):
             columns, distinct, n, uses = _aligned(batch.column(1), a_side, b_side, numbers, digest)

@@ -8,12 +8,13 @@ from itertools import accumulate
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from listmill.llm import alignment, packing, spelling
-from listmill.llm.tokens import byte_letters
+from listmill.llm.tokens import WordIds, byte_letters, read_file
 
 TEXTS = [
     None,
@@ -311,3 +312,23 @@ def test_near_words_share_more_grams_than_are_affected(spark, alphabet):
             assert common >= len(grams[w]) - bound >= 1
     rows = spelling.near_pairs(found).collect()
     assert {tuple(sorted((r["word"], r["other"]))) for r in rows} == pairs and len(rows) == len(pairs)
+
+
+def test_frequent_words_stay_known():
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[len(w)] for w in words]
+
+    ids = WordIds(encode, limit=8)
+    for i in range(50):
+        assert ids.of_words(pa.array(["the", f"w{i}"])).to_pylist() == [[3], [len(f"w{i}")]]
+        assert len(ids.known) + len(ids.older) <= 8 + 4
+    assert asked.count("the") == 1
+
+
+def test_alignment_loads_its_models_once_in_a_worker():
+    byte_level, pieces = read_file(alignment.BYTE_LEVEL), read_file(alignment.PIECES)
+    first = alignment._sides(byte_level, pieces)
+    assert alignment._sides(bytes(bytearray(byte_level)), bytes(bytearray(pieces))) is first
