@@ -13,8 +13,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from listmill.operators.refine import evaluated_once
-
 LISTING_TOPIC = "listings"
 
 # Two days of ingestion: lines shipped before the split arrived on the first.
@@ -124,8 +122,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Tasks that build pages, which takes far longer than reading the lines does.
+# Tasks that build pages, which takes far longer than reading the lines does: so many at least, and
+# more where a task would get more lines than it can sort as pages in its share of memory.
 PAGE_TASKS = 32
+PAGE_LINES = 1 << 18
 
 
 def json_column(fields: dict) -> Column:
@@ -190,7 +190,8 @@ def listing_url() -> Column:
 def listing_log(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     """Log record per line item, of the ship date's time."""
     lines = table(spark, sf_dir, "lineitem")
-    lines = lines.repartition(PAGE_TASKS, *lines.columns)
+    tasks = max(PAGE_TASKS, -(-lines.count() // PAGE_LINES))
+    lines = lines.repartition(tasks, *lines.columns)
     value = F.to_json(
         F.struct(
             listing_url().alias("url"),
@@ -201,8 +202,7 @@ def listing_log(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit(dt.date(1990, 1, 1))).cast("long")
     return lines.select(
         F.lit(None).cast("binary").alias("key"),
-        # as in a real log, the value is there before anything reads it
-        evaluated_once("value", value.cast("binary")),
+        value.cast("binary").alias("value"),
         F.lit(LISTING_TOPIC).alias("topic"),
         F.expr(PARTITION).alias("partition"),
         (days * 10**12 + F.col("l_partkey") * 10 + F.col("l_linenumber")).alias("offset"),
