@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from sentencepiece import SentencePieceProcessor
 
 from listmill.llm.common import chunks, stored, table
-from listmill.llm.tokens import WordIds, byte_letters, filled, load, read_file, word_encoder
+from listmill.llm.tokens import WordIds, Words, byte_letters, filled, load, read_file, word_encoder
 
 BYTE_LEVEL = "byte_bpe_50k.json"
 PIECES = "piece_bpe_32k.model"
@@ -84,9 +84,9 @@ class _Side:
         self.words, self.whole, self.texts = words, whole, texts
         self.sizes = pc.cast(pc.binary_length(texts), pa.int64())
 
-    def ids(self, texts: pa.Array, tied: pa.Array) -> pa.ListArray:
-        """By words where spaces stand alone, else by whole texts."""
-        by_word = self.words.of_texts(pc.split_pattern(pc.if_else(tied, "", texts), " "))
+    def ids(self, texts: pa.Array, tied: pa.Array, words: Words) -> pa.ListArray:
+        """By words where spaces stand alone, else by whole texts, which are empty in ``words``."""
+        by_word = self.words.of_texts(words)
         which = np.flatnonzero(tied.to_numpy(zero_copy_only=False))
         if not len(which):
             return by_word
@@ -183,7 +183,8 @@ def _aligned(texts: pa.Array, a_side: _Side, b_side: _Side, numbers: pa.Array, d
     texts = filled(texts)
     tied = pc.match_substring_regex(texts, _TIED)
     expected = pc.cast(pc.binary_join_element_wise("", texts, " "), pa.large_binary())
-    a_ids, b_ids = a_side.ids(texts, tied), b_side.ids(texts, tied)
+    words = Words.of(pc.split_pattern(pc.if_else(tied, "", texts), " "))
+    a_ids, b_ids = a_side.ids(texts, tied, words), b_side.ids(texts, tied, words)
     good = pc.and_(
         pc.equal(a_side.spelled(a_ids), expected), pc.equal(b_side.spelled(b_ids), expected)
     )

@@ -9,6 +9,8 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import public_tokenizers
@@ -100,6 +102,21 @@ def word_encoder(
     return encode
 
 
+class Words(NamedTuple):
+    """The words of texts, made once for all encoders: each distinct one, which of them the words
+    are, and where each text's begin, the last one's end behind them."""
+
+    distinct: list[str]
+    indices: pa.Array
+    ends: np.ndarray
+
+    @classmethod
+    def of(cls, words: pa.ListArray) -> Words:
+        found = words.flatten().dictionary_encode()
+        ends = np.asarray(words.offsets) - words.offsets[0].as_py()
+        return cls(found.dictionary.to_pylist(), found.indices, ends)
+
+
 class WordIds:
     """Ids of words by an encoder, remembered up to about ``limit`` words.
 
@@ -112,30 +129,46 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def of_words(self, words: pa.Array) -> pa.ListArray:
-        """A list of ids for every word."""
-        distinct = words.dictionary_encode()
-        own = distinct.dictionary.to_pylist()
+    def _of_distinct(self, words: list[str]) -> pa.ListArray:
+        """A list of ids for every word, of which there is none twice."""
         if len(self.known) > self.limit // 2:
             self.known, self.older = {}, self.known
         known, older = self.known, self.older
-        known.update((w, older[w]) for w in own if w in older)
-        new = [w for w in own if w not in known]
-        for at in range(0, len(new), SLICE):
-            part = new[at : at + SLICE]
-            known.update((w, array("i", i).tobytes()) for w, i in zip(part, self.encode(part), strict=True))
-        found = [known[w] for w in own]
+        found = list(map(known.get, words))
+        new = []
+        for at, ids in enumerate(found):
+            if ids is None:
+                word = words[at]
+                ids = older.get(word)
+                if ids is None:
+                    new.append(at)
+                else:
+                    found[at] = known[word] = ids
+        for start in range(0, len(new), SLICE):
+            part = new[start : start + SLICE]
+            lists = self.encode([words[at] for at in part])
+            data = array("i", chain.from_iterable(lists)).tobytes()
+            begin = 0
+            for at, ids in zip(part, lists, strict=True):
+                end = begin + 4 * len(ids)
+                found[at] = known[words[at]] = data[begin:end]
+                begin = end
         ends = np.zeros(len(found) + 1, np.int32)
-        np.cumsum([len(i) // 4 for i in found], out=ends[1:])
+        np.cumsum(np.fromiter(map(len, found), np.int32, len(found)) // 4, out=ends[1:])
         ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(found))])
-        return pa.ListArray.from_arrays(pa.array(ends), ids).take(distinct.indices)
+        return pa.ListArray.from_arrays(pa.array(ends), ids)
+
+    def of_words(self, words: pa.Array) -> pa.ListArray:
+        """A list of ids for every word."""
+        distinct = words.dictionary_encode()
+        return self._of_distinct(distinct.dictionary.to_pylist()).take(distinct.indices)
 
-    def of_texts(self, words: pa.ListArray) -> pa.ListArray:
+    def of_texts(self, words: pa.ListArray | Words) -> pa.ListArray:
         """A list of ids for every list of words."""
-        lists = self.of_words(words.flatten())
-        at = np.asarray(words.offsets) - words.offsets[0].as_py()
+        words = words if isinstance(words, Words) else Words.of(words)
+        lists = self._of_distinct(words.distinct).take(words.indices)
         ends = np.asarray(lists.offsets)
-        return pa.ListArray.from_arrays(pa.array(ends[at], pa.int32()), lists.flatten())
+        return pa.ListArray.from_arrays(pa.array(ends[words.ends], pa.int32()), lists.flatten())
 
 
 def filled(texts: pa.Array) -> pa.Array:

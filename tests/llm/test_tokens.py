@@ -14,7 +14,7 @@ from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
 from listmill.llm import alignment, packing, spelling
-from listmill.llm.tokens import WordIds, byte_letters, read_file
+from listmill.llm.tokens import WordIds, Words, byte_letters, read_file
 
 TEXTS = [
     None,
@@ -332,3 +332,21 @@ def test_alignment_loads_its_models_once_in_a_worker():
     byte_level, pieces = read_file(alignment.BYTE_LEVEL), read_file(alignment.PIECES)
     first = alignment._sides(byte_level, pieces)
     assert alignment._sides(bytes(bytearray(byte_level)), bytes(bytearray(pieces))) is first
+
+
+def test_words_are_split_and_told_apart_once_for_both_tokenizers(monkeypatch):
+    made = []
+    of = Words.of.__func__
+    monkeypatch.setattr(Words, "of", classmethod(lambda cls, words: made.append(1) or of(cls, words)))
+    sides = alignment._sides(read_file(alignment.BYTE_LEVEL), read_file(alignment.PIECES))
+    texts = pa.array(["", "one two one", None, " tied  words ", "two"])
+    columns, *_ = alignment._aligned(texts, *sides, False)
+    assert len(made) == 1
+    assert [n > 0 for n in columns[0].to_pylist()] == [False, True, False, True, True]
+
+
+def test_ids_of_a_slice_of_texts_come_in_order_of_its_words():
+    texts = pa.array([["x"], ["bb", "a", "bb"], [], ["ccc", "a"]])
+    ids = WordIds(lambda words: [[len(w)] * len(w) for w in words], limit=4)
+    for _ in range(3):  # words that are new, known, and known from before
+        assert ids.of_texts(texts[1:]).to_pylist() == [[2, 2, 1, 2, 2], [], [3, 3, 3, 1]]
