@@ -12,6 +12,10 @@ from listmill.schemas import PAGE_MESSAGE
 # capture may carry text after the object, which JSON parsing ignores.
 DATA_LAYER_PATTERN = r'dataLayer\s*=\s*\[.*"%s":\s*(\{.*)\}\];'
 
+# The same from the first name on. Where a page has the name once it can only match the same
+# text, and need not go to the end of the line and back to find it.
+FIRST_NAME_PATTERN = DATA_LAYER_PATTERN.replace(r"\[.*", r"\[.*?")
+
 # Names of the embedded objects.
 PROPERTY = "property"
 SOLD_PROPERTY = "sold_property"
@@ -21,9 +25,15 @@ def has_data_layer(source: Column) -> Column:
     return source.rlike(r"dataLayer\s*=\s*\[")
 
 
+def data_layer_pattern(source: Column, name: str) -> Column:
+    """The pattern that finds the object called ``name`` in the page soonest."""
+    once = F.regexp_count(source, F.lit(f'"{name}":')) <= 1
+    return F.when(once, FIRST_NAME_PATTERN % name).otherwise(DATA_LAYER_PATTERN % name)
+
+
 def embedded_json(source: Column, name: str) -> Column:
     """Text of the object called ``name`` in the page's data layer, '' without one."""
-    return F.regexp_extract(source, DATA_LAYER_PATTERN % name, 1)
+    return F.call_function("regexp_extract", source, data_layer_pattern(source, name), F.lit(1))
 
 
 def embedded_object(source: Column, name: str, schema: str) -> Column:

@@ -8,17 +8,17 @@ from pyspark.sql import functions as F
 
 def url_tail(url: Column) -> Column:
     """Text after the last slash; the query string stays on it."""
-    return F.element_at(F.split(url, "/"), -1)
+    return F.substring_index(url, "/", -1)
 
 
 def url_key(url: Column) -> Column:
     """Last dash-separated token of the URL's tail: the listing id."""
-    return F.element_at(F.split(url_tail(url), "-"), -1)
+    return F.substring_index(url_tail(url), "-", -1)
 
 
 def url_type(url: Column) -> Column:
     """First dash-separated token of the URL's tail: the kind of home."""
-    return F.element_at(F.split(url_tail(url), "-"), 1)
+    return F.substring_index(url_tail(url), "-", 1)
 
 
 def url_id(url: Column) -> Column:
@@ -26,4 +26,4 @@ def url_id(url: Column) -> Column:
 
     Differs from ``url_key`` where the tail has no dash.
     """
-    return F.element_at(F.split(url, "-"), -1)
+    return F.substring_index(url, "-", -1)

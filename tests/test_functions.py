@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -49,6 +51,29 @@ PAGES = [
 ]
 
 
+def test_embedded_json_is_what_the_greedy_pattern_finds(spark):
+    """Random pages of the parts that matter, with the name not at all, once and more often."""
+    rng = random.Random(3)
+    parts = ['dataLayer', "dataLayer = [", '"property":', '"property":{', '{"id":5', "}];", "}", "=", "[", " ", "\n"]
+    pages = ["".join(rng.choices(parts, k=rng.randint(3, 14))) for _ in range(6000)]
+    pages += [f"dataLayer = [{p}}}];" for p in pages[:3000]]
+    greedy = F.regexp_extract("x", embedded.DATA_LAYER_PATTERN % "property", 1)
+    rows = values(spark, pages, embedded.embedded_json(F.col("x"), "property"), greedy)
+    assert all(found == expected for found, expected in rows)
+    names = [p.count('"property":') for p, (_, text) in zip(pages, rows, strict=True) if text]
+    assert names.count(1) > 100 and sum(n > 1 for n in names) > 100
+
+
+def test_a_single_name_is_searched_from_the_front(spark):
+    """Of pages with the name once, the pattern that goes to the line's end and back reads none."""
+    [(pattern,)] = (
+        spark.createDataFrame([(PAGES[0][0],)], "x string")
+        .select(embedded.data_layer_pattern(F.col("x"), "property"))
+        .collect()
+    )
+    assert pattern == embedded.FIRST_NAME_PATTERN % "property"
+
+
 def test_embedded_objects(spark):
     rows = values(
         spark,
@@ -236,3 +261,21 @@ def test_sitemap(spark):
     one = "<urlset><url><loc>x</loc></url></urlset>"
     rows = values(spark, [xml, one, "<urlset></urlset>"], links.sitemap_locs(links.sitemap(F.col("x"))))
     assert rows == [(["https://h/a-1", "https://h/?a=1&b=2"],), (["x"],), (None,)]
+
+
+def test_url_parts_are_those_of_a_split(spark):
+    """Without an array of all parts: the plans of these columns split nothing."""
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("a/-?Å", k=rng.randint(0, 9))) for _ in range(2000)] + [None]
+    x = F.col("x")
+    tail = F.element_at(F.split(x, "/"), -1)
+    expected = (
+        tail,
+        F.element_at(F.split(tail, "-"), -1),
+        F.element_at(F.split(tail, "-"), 1),
+        F.element_at(F.split(x, "-"), -1),
+    )
+    found = (urls.url_tail(x), urls.url_key(x), urls.url_type(x), urls.url_id(x))
+    assert all(r[:4] == r[4:] for r in values(spark, texts, *found, *expected))
+    plan = spark.createDataFrame([("a",)], "x string").select(*found)._jdf.queryExecution()
+    assert "split(" not in plan.optimizedPlan().toString()
