@@ -151,7 +151,7 @@ def _object_text(fields: dict) -> Column:
     if "water_distance" in fields:
         fraction = F.when(F.expr(DISTANCE_IS_FRACTION), F.lit(".5")).otherwise(F.lit(""))
         text += [F.lit(',"water_distance":'), F.col("l_partkey").cast("string"), fraction]
-    return F.concat(*text, F.lit(","), F.substring(F.to_json(json_column(rest)), 2, 1 << 30))
+    return F.concat(*text, F.lit(","), F.ltrim(F.to_json(json_column(rest)), F.lit("{")))
 
 
 def _data_layer(objects: Column) -> Column:

@@ -1,6 +1,7 @@
 """Input building: tasks that grow with the table, pages that only their readers pay for."""
 
 import datetime as dt
+import json
 import re
 
 import pytest
@@ -51,3 +52,14 @@ def test_bronze_is_packed(spark, lines, folder):
     assert append_bronze(rows, f"{folder}/bronze") == 100
     files = file_paths(spark, f"{folder}/bronze/ingestion_date=2024-01-01")
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_page_objects_are_joined_without_counting_their_characters(spark, lines):
+    source = derived.page_source("forsale").alias("source")
+    pages = spark.read.parquet(f"{lines}/lineitem.parquet").select("l_orderkey", source)
+    assert "substring(" not in plan(pages)
+    text = pages.where("l_orderkey = 8").first()["source"]
+    [found] = re.findall(r'"property":(\{.*\})\}\];', text.replace(',"user":{"login":false}', ""))
+    prop = json.loads(found)
+    assert (prop["id"], prop["water_distance"], prop["broker_firm"]) == (8, 8, "firm-8")
+    assert prop["locations"]["city"] == "city\\N" and prop["amenities"] == ["balcony", "lift-2"]
