@@ -9,9 +9,13 @@ through HTML and JSON with them, the oracle evaluates them directly.
 from __future__ import annotations
 
 import datetime as dt
+import json
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 LISTING_TOPIC = "listings"
 
@@ -187,18 +191,142 @@ def listing_url() -> Column:
     return F.expr(f"concat('{LISTING_URL}', {PROP_TYPE}, '-3rum-', l_orderkey)")
 
 
-def listing_log(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
-    """Log record per line item, of the ship date's time."""
-    lines = table(spark, sf_dir, "lineitem")
-    tasks = max(PAGE_TASKS, -(-lines.count() // PAGE_LINES))
-    lines = lines.repartition(tasks, *lines.columns)
-    value = F.to_json(
+# Columns that a page is made of.
+SAID = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus",
+)
+
+
+def is_plain(schema: StructType) -> Column:
+    """Whether all that a line says reads the same in JSON as by itself."""
+
+    def plain(field: StructField) -> Column:
+        if field.dataType.typeName() == "string":
+            return F.col(field.name).rlike(r"\A[ !#-\[\]-~]*\z")
+        if field.dataType.typeName() in ("double", "float"):
+            return F.abs(field.name) < F.lit(float("inf"))
+        return F.col(field.name).isNotNull()
+
+    return F.coalesce(reduce(and_, [plain(f) for f in schema.fields if f.name in SAID]), F.lit(False))
+
+
+class PlainText:
+    """Texts of the pages of plain lines, as parts, where ``to_json`` writes values one by one."""
+
+    def __init__(self, lines: DataFrame):
+        fields = [StructField(f.name, f.dataType, nullable=False) for f in lines.schema.fields]
+        self.plain = lines.sparkSession.createDataFrame([], StructType(fields))
+
+    def value(self, expression: str) -> tuple[list[str | Column], bool]:
+        """Parts of an expression's value in the page, and whether it may be null."""
+        field = self.plain.select(F.expr(expression).alias("x")).schema["x"]
+        column = F.expr(expression)
+        if field.dataType.typeName() != "string":
+            return [column.cast("string")], field.nullable
+        if '"' in expression or "chr(" in expression:  # the others have nothing to escape
+            # in the object and, with all of the page, once more in the message
+            column = F.replace(column, F.lit("\\"), F.lit("\\" * 4))
+            column = F.replace(column, F.lit('"'), F.lit("\\" * 3 + '"'))
+        return ['"', column, '"'], field.nullable
+
+    def fields(self, fields: dict) -> list[str | Column]:
+        """The fields' parts, each with a comma before it; null ones are left out."""
+        parts = []
+        for name, said in fields.items():
+            nullable = False
+            if isinstance(said, dict):
+                value = ["{", *self.fields(said), "}"]
+                value[1] = value[1].removeprefix(",")  # the first is never null
+            elif isinstance(said, list):
+                value = ["["]
+                for item in said:
+                    value += [*self.value(item)[0], ","]
+                value[-1] = "]"
+            else:
+                value, nullable = self.value(said[0] if isinstance(said, tuple) else said)
+            value = [f',"{name}":', *value]
+            parts += [F.coalesce(in_message(value), F.lit(""))] if nullable else value
+        return parts
+
+
+def in_message(parts: list[str | Column]) -> Column:
+    """The parts as one text; what is written here is escaped as in a message, columns are so already."""
+    joined = []
+    for part in parts:
+        if isinstance(part, str) and joined and isinstance(joined[-1], str):
+            joined[-1] += part
+        else:
+            joined.append(part)
+    escaped = [
+        F.lit(json.dumps(p, ensure_ascii=False)[1:-1]) if isinstance(p, str) else p for p in joined
+    ]
+    return F.concat(*escaped)
+
+
+def _named_parts(name: str, fields: dict, text: PlainText) -> list[str | Column]:
+    rest = {k: v for k, v in fields.items() if k not in ("id", "water_distance")}
+    two_lines = F.when(F.expr(OBJECT_ON_TWO_LINES), in_message(['{\n"id":']))
+    said = F.when(F.expr(ID_IS_TEXT), in_message(['"n/a"'])).otherwise(F.col("l_orderkey").cast("string"))
+    parts = [f'"{name}":', two_lines.otherwise(in_message(['{"id":'])), said]
+    if "water_distance" in fields:
+        fraction = F.when(F.expr(DISTANCE_IS_FRACTION), F.lit(".5")).otherwise(F.lit(""))
+        parts += [',"water_distance":', F.col("l_partkey").cast("string"), fraction]
+    return [*parts, *text.fields(rest), "}"]
+
+
+def plain_message(target: str, lines: DataFrame) -> Column:
+    """The message of a plain line's page, joined from parts that are escaped already.
+
+    The same text as ``message`` gives, which writes the page's object as JSON and then once more,
+    character by character, the page in the message.
+    """
+    text = PlainText(lines)
+    if target == "sold":
+        home = in_message(['"property":{"id":', F.col("l_orderkey").cast("string"), ',"k":"v"},'])
+        objects = [F.when(F.expr(NO_HOME), F.lit("")).otherwise(home), *_named_parts("sold_property", SOLD, text)]
+    else:
+        objects = _named_parts("property", {"forsale": FORSALE, "canonical": CANONICAL}[target], text)
+    start = F.when(F.expr(BREAK_BEFORE_BRACKET), in_message(["dataLayer =\n  ["]))
+    end = F.when(F.expr(TRAILING_KEYS), in_message([',"user":{"login":false}}];']))
+    script = [
+        start.otherwise(in_message(["dataLayer = ["])), '{"page":"listing",', *objects, end.otherwise(in_message(["}];"])),
+    ]
+    return F.concat(
+        F.lit('{"url":"'),
+        listing_url(),
+        F.lit('","source":"'),
+        in_message(['<!DOCTYPE html>\n<html><head><meta charset="utf-8"><script>\n']),
+        F.when(F.expr(NO_DATA_LAYER), F.lit("var x = 1;")).otherwise(in_message(script)),
+        in_message(["\n</script></head>\n<body><h1>Listing "]),
+        F.col("l_orderkey").cast("string"),
+        F.lit('</h1></body></html>","timestamp":'),
+        F.col("l_linenumber").cast("double").cast("string"),
+        F.lit("}"),
+    )
+
+
+def message(target: str) -> Column:
+    """The message of any line's page."""
+    return F.to_json(
         F.struct(
             listing_url().alias("url"),
             page_source(target).alias("source"),
             F.col("l_linenumber").cast("double").alias("timestamp"),
         )
     )
+
+
+def listing_log(spark: SparkSession, sf_dir: str, target: str) -> DataFrame:
+    """Log record per line item, of the ship date's time."""
+    lines = table(spark, sf_dir, "lineitem")
+    tasks = max(PAGE_TASKS, -(-lines.count() // PAGE_LINES))
+    plain = F.when(F.col("is_plain"), plain_message(target, lines))
+    lines = lines.withColumn("is_plain", is_plain(lines.schema)).repartition(tasks, *lines.columns)
+    # Looked at before the shuffle, and the text named twice, so that Spark leaves it a projection
+    # of its own: the JVM does not compile methods of more than 8,000 bytes.
+    lines = lines.withColumn("plain", plain)
+    value = F.when(F.col("plain").isNotNull(), F.col("plain")).otherwise(message(target))
     days = F.datediff(F.col("l_shipdate").cast("date"), F.lit(dt.date(1990, 1, 1))).cast("long")
     return lines.select(
         F.lit(None).cast("binary").alias("key"),

@@ -63,3 +63,42 @@ def test_page_objects_are_joined_without_counting_their_characters(spark, lines)
     prop = json.loads(found)
     assert (prop["id"], prop["water_distance"], prop["broker_firm"]) == (8, 8, "firm-8")
     assert prop["locations"]["city"] == "city\\N" and prop["amenities"] == ["balcony", "lift-2"]
+
+
+def test_plain_lines_have_their_messages_joined_as_json_writes_them(spark):
+    day = dt.datetime(1998, 1, 1)
+    plain = [
+        (i, i + 3, i % 9, i % 7 + 1, q, 1234567.5 * i, i % 3 / 20, i % 5 / 50, "NAR"[i % 3], "OF"[i % 2], day)
+        for i, q in enumerate([1.0, 2.0, 26.0, 50.0] * 21)
+    ]
+    rows = plain + [(2**40, -1, 0, 0, -0.0, 1e-9, 1e20 / 1e11, 0.0, "", "~ x", day)]
+    odd = [
+        (*rows[0][:i], value, *rows[0][i + 1 :])
+        for i, values in {
+            **{i: [None] for i in range(10)},
+            7: [float("nan"), float("-inf"), None],
+            8: ['"', "\\", "a\nb", "\u0001", " ", None],
+            9: ["Å", "{", "\x7f", None],
+        }.items()
+        for value in values
+    ]
+    lines = spark.createDataFrame(rows + odd, LINES).repartition(2)
+    for target in ("forsale", "sold", "canonical"):
+        texts = lines.select(
+            derived.is_plain(lines.schema).alias("plain"),
+            derived.plain_message(target, lines).alias("joined"),
+            derived.message(target).alias("written"),
+        ).collect()
+        said = [t for t in texts if t["plain"]]
+        assert len(said) == len(rows) + 1  # the brace needs no escape
+        assert all(t["joined"] == t["written"] for t in said)
+
+
+@pytest.mark.parametrize("target", ["forsale", "sold", "canonical"])
+def test_pages_are_built_by_methods_that_the_jvm_compiles(spark, lines, conf, target):
+    conf(spark__sql__adaptive__enabled="false")
+    rows = to_bronze(derived.listing_log(spark, lines, target), derived.arrival_day())
+    parts = rows._jdf.queryExecution().debug().codegenToSeq()
+    assert parts.size() and all(
+        parts.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(parts.size())
+    )
