@@ -40,13 +40,13 @@ def join_unique(
     condition: Column | None = None,
     spread_by: list[str] | None = None,
 ) -> DataFrame:
-    """Join with a right side that has each key once; ``how`` is inner, left_semi or left_anti.
+    """Join with a right side that has each key once; ``how`` is inner, left, left_semi or left_anti.
 
     Left rows with null keys are spread by a hash of the columns ``spread_by``, all
     unless given; name few where the others are not needed, so that they are not read.
 
     ``condition`` may compare further columns, as ``a.x`` (left) and ``b.y`` (right).
-    The result has the left columns, for an inner join then the right's.
+    The result has the left columns, for an inner or left join then the right's.
     """
     keys = [key] if isinstance(key, str) else key
     a = _with_spread(left, keys, left.columns if spread_by is None else spread_by).alias("a")
@@ -55,7 +55,7 @@ def join_unique(
     if condition is not None:
         on.append(condition)
     columns = [F.col(f"a.{c}") for c in left.columns]
-    if how == "inner":
+    if how in ("inner", "left"):
         columns += [F.col(f"b.{c}") for c in right.columns if c not in keys]
     return a.join(b, reduce(and_, on), how).select(*columns)
 

@@ -40,6 +40,11 @@ def matched_keys(matched: DataFrame, key: str) -> DataFrame:
     return matched.groupBy(key).agg(F.max("batch_date").alias("batch_date"))
 
 
+def repeated_keys(matched: DataFrame, key: str) -> DataFrame:
+    """Keys of more than one table row that the batch matches."""
+    return matched.groupBy(key).agg(F.count(F.lit(1)).alias("hits")).where("hits > 1").select(key)
+
+
 def conflicting_keys(matched: DataFrame, key: str) -> DataFrame:
     """Keys that are in the table and more than once in the batch."""
     return matched.where("copies > 1").groupBy(key).agg(F.max("copies").alias("copies"))
@@ -61,3 +66,11 @@ def updated_rows(
 def added_rows(matched: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Batch rows that match no table row."""
     return drop_matching(batch, matched.select(key).distinct(), key)
+
+
+def changed_rows(matched: DataFrame, batch: DataFrame, key: str, only_newer: bool = False) -> DataFrame:
+    """Updated and added rows in one join, where no key of ``matched`` is repeated."""
+    replaces = F.col("batch_date") >= F.col(DATE) if only_newer else F.lit(True)
+    hits = matched.select(key, F.coalesce(replaces, F.lit(False)).alias("_replaces"))
+    joined = join_unique(batch, hits, key, "left")
+    return joined.where(F.coalesce("_replaces", F.lit(True))).select(*batch.columns)

@@ -256,9 +256,12 @@ def _merge(
         matched = spark.read.schema(hits.schema).parquet(f"{work}/matched")
         hit_keys = broadcast_if_small(merge.matched_keys(matched, key), found.get["bytes"])
         hit_dates = _checked_dates(matched, key)
-        changed = merge.updated_rows(matched, batch, key, only_newer).unionByName(
-            merge.added_rows(matched, batch, key)
-        )
+        if merge.repeated_keys(matched, key).isEmpty():
+            changed = merge.changed_rows(matched, batch, key, only_newer)
+        else:  # maybe a hot key of the table, which only an inner join divides over tasks
+            changed = merge.updated_rows(matched, batch, key, only_newer).unionByName(
+                merge.added_rows(matched, batch, key)
+            )
     touched = hit_dates | (_dates_in(spark, f"{work}/batch") & held.keys())
     if touched:
         old = _read_dates(spark, path, {d: held[d] for d in touched})

@@ -196,3 +196,33 @@ def test_few_matches_of_a_large_batch_keep_rows_without_a_shuffle(spark, folder,
 def test_delta_needs_its_package(spark, folder):
     with pytest.raises(RuntimeError, match="not installed"):
         upsert_delta(spark, folder, frame(spark, ("a", 1, D1)), "k")
+
+
+@pytest.mark.parametrize("only_newer", [False, True])
+def test_changed_rows_take_one_join(spark, only_newer):
+    table = frame(spark, ("a", 1, D1), ("b", 1, D3), ("c", 1, D1), (None, 1, D1))
+    batch = frame(spark, ("a", 2, D2), ("b", 2, D2), ("d", 2, D2), ("d", 3, D2), (None, 2, D2))
+    matched = merge.matched_rows(table, merge.batch_keys(batch, "k"), "k")
+    assert merge.repeated_keys(matched, "k").isEmpty()
+    changed = merge.changed_rows(matched, batch, "k", only_newer)
+    apart = merge.updated_rows(matched, batch, "k", only_newer).unionByName(
+        merge.added_rows(matched, batch, "k")
+    )
+    assert rows(changed) == rows(apart)
+    assert (("b", 2, D2) in rows(changed)) is not only_newer
+    joins = [df._jdf.queryExecution().optimizedPlan().toString().count("Join ") for df in (changed, apart)]
+    assert joins[0] < joins[1]
+
+
+def test_a_batch_is_joined_once_unless_the_table_repeats_its_keys(spark, folder, monkeypatch):
+    joined = []
+    for name in ("changed_rows", "updated_rows", "added_rows"):
+        real = getattr(merge, name)
+        monkeypatch.setattr(merge, name, lambda *a, n=name, f=real: joined.append(n) or f(*a))
+    upsert_silver(spark, f"{folder}/once", frame(spark, ("a", 1, D1), ("b", 1, D1)), "k")
+    upsert_silver(spark, f"{folder}/once", frame(spark, ("a", 2, D2), ("c", 2, D2)), "k")
+    assert joined == ["changed_rows"]
+    upsert_silver(spark, f"{folder}/twice", frame(spark, ("a", 1, D1), ("a", 2, D1)), "k")
+    upsert_silver(spark, f"{folder}/twice", frame(spark, ("a", 3, D2), ("c", 3, D2)), "k")
+    assert joined[1:] == ["updated_rows", "added_rows"]
+    assert rows(read_silver(spark, f"{folder}/twice")) == Counter({("a", 3, D2): 2, ("c", 3, D2): 1})
