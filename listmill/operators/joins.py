@@ -17,6 +17,7 @@ from operator import add, and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 _SPREAD = "_spread"
 
@@ -78,11 +79,32 @@ def key_bytes(*keys: str) -> Column:
     return F.coalesce(F.sum(size.cast("long")), F.lit(0).cast("long"))
 
 
+def _value_bytes(value: Column, kind: DataType) -> Column:
+    if isinstance(kind, StructType):
+        return reduce(add, [_value_bytes(value[f.name], f.dataType) for f in kind.fields], F.lit(16))
+    if isinstance(kind, ArrayType):
+        items = F.aggregate(value, F.lit(0), lambda n, x: n + _value_bytes(x, kind.elementType))
+        return F.coalesce(items, F.lit(0)) + 16
+    return F.coalesce(F.octet_length(value.cast("string")), F.lit(0)) + 16
+
+
+def row_bytes(schema: StructType) -> Column:
+    """Aggregate: upper bound of what these rows take, whole, in a broadcast table."""
+    sizes = [_value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields]
+    size = reduce(add, sizes) + ROW_OVERHEAD
+    return F.coalesce(F.sum(size.cast("long")), F.lit(0).cast("long"))
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     """Bytes of keys up to which a side is broadcast: the session's, else ``BROADCAST_LIMIT``."""
     return int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_LIMIT)))
 
 
 def broadcast_if_small(df: DataFrame, size: int) -> DataFrame:
-    """Ask for a broadcast where the measured ``size`` in bytes is within the limit."""
-    return F.broadcast(df) if size <= broadcast_limit(df.sparkSession) else df
+    """Ask for a broadcast where the measured ``size`` in bytes is within the limit, else for none.
+
+    Spark's own estimate starts from the size of compressed files, which says little of the rows:
+    keys of a few bytes each in zstd files pass its threshold by the million, and all of them go
+    through the driver. A sort-merge join sends nothing there.
+    """
+    return F.broadcast(df) if size <= broadcast_limit(df.sparkSession) else df.hint("merge")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from listmill.operators import merge
-from listmill.operators.joins import broadcast_if_small, key_bytes
+from listmill.operators.joins import broadcast_if_small, broadcast_limit, key_bytes, row_bytes
 from listmill.operators.merge import DATE
 from listmill.schemas import BRONZE
 from listmill.sources.paths import file_paths, folder_names, path_exists, read_or_empty, remove_path
@@ -240,7 +240,7 @@ def _merge(
 
     Reads the table twice: key and date of all rows, to find the matches, and then
     all columns of the touched dates. Rows are kept by the keys that matched, which are
-    measured on their own and mostly fewer than the batch's.
+    measured on their own and mostly fewer than the batch's. Only what is measured is broadcast.
     """
     batch = spark.read.schema(schema).parquet(f"{work}/batch")
     keys = broadcast_if_small(merge.batch_keys(batch, key), keys_size)
@@ -254,13 +254,18 @@ def _merge(
             f"{work}/matched"
         )
         matched = spark.read.schema(hits.schema).parquet(f"{work}/matched")
-        hit_keys = broadcast_if_small(merge.matched_keys(matched, key), found.get["bytes"])
+        hits_size = found.get["bytes"]
+        hit_keys = broadcast_if_small(merge.matched_keys(matched, key), hits_size)
         hit_dates = _checked_dates(matched, key)
+        joined = broadcast_if_small(matched, hits_size)
         if merge.repeated_keys(matched, key).isEmpty():
-            changed = merge.changed_rows(matched, batch, key, only_newer)
+            changed = merge.changed_rows(joined, batch, key, only_newer)
         else:  # maybe a hot key of the table, which only an inner join divides over tasks
-            changed = merge.updated_rows(matched, batch, key, only_newer).unionByName(
-                merge.added_rows(matched, batch, key)
+            rows = batch
+            if hits_size > broadcast_limit(spark):  # a small batch goes to where they are
+                rows = broadcast_if_small(batch, batch.agg(row_bytes(schema)).first()[0])
+            changed = merge.updated_rows(joined, rows, key, only_newer).unionByName(
+                merge.added_rows(joined, batch, key)
             )
     touched = hit_dates | (_dates_in(spark, f"{work}/batch") & held.keys())
     if touched:

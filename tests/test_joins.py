@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from listmill.operators.joins import drop_matching, join_unique
+from listmill.operators.joins import drop_matching, join_unique, row_bytes
 from tests.conftest import final_plan
 
 SMALL = {
@@ -59,3 +59,14 @@ def test_several_keys_and_a_condition(spark):
     assert sorted(kept.collect(), key=str) == sorted(
         left.where("o <> 3").collect(), key=str
     )
+
+
+def test_bytes_of_whole_rows(spark):
+    schema = "k string, n int, s struct<a: string, b: array<string>, c: struct<d: double>>"
+    row = ("k" * 1000, 1, ("a" * 2000, ["b" * 3000, None, ""], (1.5,)))
+    size = spark.createDataFrame([row], schema)
+    measured = size.agg(row_bytes(size.schema)).first()[0]
+    assert 6000 < measured < 7000
+    nulls = spark.createDataFrame([(None, None, None), (None, None, (None, None, None))], schema)
+    assert 0 < nulls.agg(row_bytes(nulls.schema)).first()[0] < 1000
+    assert nulls.limit(0).agg(row_bytes(nulls.schema)).first()[0] == 0

@@ -18,6 +18,7 @@ from listmill.sources.tables import (
     silver_exists,
     upsert_silver,
 )
+from tests.conftest import final_plan
 
 SCHEMA = "k string, v int, ingestion_date date"
 D1, D2, D3 = (dt.date(2024, 1, d) for d in (1, 2, 3))
@@ -226,3 +227,51 @@ def test_a_batch_is_joined_once_unless_the_table_repeats_its_keys(spark, folder,
     upsert_silver(spark, f"{folder}/twice", frame(spark, ("a", 3, D2), ("c", 3, D2)), "k")
     assert joined[1:] == ["updated_rows", "added_rows"]
     assert rows(read_silver(spark, f"{folder}/twice")) == Counter({("a", 3, D2): 2, ("c", 3, D2): 1})
+
+
+JOINS = ("matched_rows", "changed_rows", "updated_rows", "added_rows", "kept_rows")
+
+
+@pytest.fixture
+def join_plans(monkeypatch):
+    """The plans, after adaptive execution, of the joins that an upsert takes, by name."""
+    plans = {}
+
+    def noted(name, real):
+        def call(*args):
+            result = real(*args)
+            plans[name] = final_plan(result)
+            return result
+
+        return call
+
+    for name in JOINS:
+        monkeypatch.setattr(merge, name, noted(name, getattr(merge, name)))
+    return plans
+
+
+@pytest.mark.parametrize("repeated", [False, True])
+def test_keys_beyond_the_limit_do_not_go_through_the_driver(spark, folder, conf, join_plans, repeated):
+    """Spark would broadcast them: their files are small."""
+    conf(spark__sql__autoBroadcastJoinThreshold="10m", listmill__broadcastBytes="2000")
+    table = [(f"k{i}", 1, D1 if i % 2 else D2) for i in range(300)] + [(None, 1, D1)]
+    table += [("k7", 0, D1)] * 3 if repeated else []
+    batch = [(f"k{i}", 2, D2) for i in range(200, 400)] + [("k7", 2, D2), (None, 2, D2)]
+    upsert_silver(spark, folder, frame(spark, *table), "k")
+    upsert_silver(spark, folder, frame(spark, *batch), "k")
+    changed = {"updated_rows", "added_rows"} if repeated else {"changed_rows"}
+    assert join_plans.keys() == {"matched_rows", "kept_rows", *changed}
+    for name, plan in join_plans.items():
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan, name
+    assert rows(read_silver(spark, folder)) == brute_force(table, batch)
+
+
+def test_a_hot_key_of_the_table_meets_a_small_batch_where_it_is(spark, folder, conf, join_plans):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1", listmill__broadcastBytes="2000")
+    table = [("hot", i, D1) for i in range(100)] + [("b", 1, D1)]
+    batch = [("hot", 2, D2), ("c", 2, D2), (None, 2, D2)]
+    upsert_silver(spark, folder, frame(spark, *table), "k")
+    upsert_silver(spark, folder, frame(spark, *batch), "k")
+    assert "BroadcastHashJoin" in join_plans["updated_rows"] and "BuildRight" in join_plans["updated_rows"]
+    assert "BroadcastExchange" not in join_plans["kept_rows"]
+    assert rows(read_silver(spark, folder)) == brute_force(table, batch)
