@@ -69,8 +69,14 @@ def added_rows(matched: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 
 def changed_rows(matched: DataFrame, batch: DataFrame, key: str, only_newer: bool = False) -> DataFrame:
-    """Updated and added rows in one join, where no key of ``matched`` is repeated."""
-    replaces = F.col("batch_date") >= F.col(DATE) if only_newer else F.lit(True)
+    """Updated and added rows, where no key of ``matched`` is repeated.
+
+    Each batch row then replaces one row or is added, so that all of them are the batch itself;
+    one join leaves out those that replace none because they are older.
+    """
+    if not only_newer:
+        return batch
+    replaces = F.col("batch_date") >= F.col(DATE)
     hits = matched.select(key, F.coalesce(replaces, F.lit(False)).alias("_replaces"))
     joined = join_unique(batch, hits, key, "left")
     return joined.where(F.coalesce("_replaces", F.lit(True))).select(*batch.columns)

@@ -250,20 +250,24 @@ def join_plans(monkeypatch):
     return plans
 
 
-@pytest.mark.parametrize("repeated", [False, True])
-def test_keys_beyond_the_limit_do_not_go_through_the_driver(spark, folder, conf, join_plans, repeated):
+@pytest.mark.parametrize("repeated, only_newer", [(False, False), (False, True), (True, False)])
+def test_keys_beyond_the_limit_do_not_go_through_the_driver(
+    spark, folder, conf, join_plans, repeated, only_newer
+):
     """Spark would broadcast them: their files are small."""
     conf(spark__sql__autoBroadcastJoinThreshold="10m", listmill__broadcastBytes="2000")
     table = [(f"k{i}", 1, D1 if i % 2 else D2) for i in range(300)] + [(None, 1, D1)]
     table += [("k7", 0, D1)] * 3 if repeated else []
     batch = [(f"k{i}", 2, D2) for i in range(200, 400)] + [("k7", 2, D2), (None, 2, D2)]
     upsert_silver(spark, folder, frame(spark, *table), "k")
-    upsert_silver(spark, folder, frame(spark, *batch), "k")
+    upsert_silver(spark, folder, frame(spark, *batch), "k", only_newer)
     changed = {"updated_rows", "added_rows"} if repeated else {"changed_rows"}
     assert join_plans.keys() == {"matched_rows", "kept_rows", *changed}
+    if not repeated and not only_newer:  # all of the batch, and no join
+        assert "Join" not in join_plans.pop("changed_rows")
     for name, plan in join_plans.items():
         assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan, name
-    assert rows(read_silver(spark, folder)) == brute_force(table, batch)
+    assert rows(read_silver(spark, folder)) == brute_force(table, batch, only_newer)
 
 
 def test_a_hot_key_of_the_table_meets_a_small_batch_where_it_is(spark, folder, conf, join_plans):
